@@ -1,0 +1 @@
+"""The job is a scheduled batch over daily bars; it has no stream, watermark or stateful operator."""
