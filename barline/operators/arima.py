@@ -96,6 +96,10 @@ def _long_ar(lags: int):
     return fitted
 
 
+def _array(names: list[str]) -> Column:
+    return F.array(*names) if names else F.array().cast("array<double>")
+
+
 def _max_root(coef: np.ndarray) -> np.ndarray:
     """Largest modulus among the companion eigenvalues of each coefficient row; below 1 is stable."""
     size, order = coef.shape
@@ -194,7 +198,7 @@ def fit_arima(
         long_lags = [f"w{i}" for i in range(1, LONG_AR + 1)]
         lagged = rows.withColumns({c: lag("w", i) for i, c in enumerate(long_lags, 1)})
         train = lagged.where("split = 'train'")
-        stage1 = gram_sums(train, [F.col(c) for c in long_lags], F.col("w")).select(
+        stage1 = gram_sums(train, F.array(*long_lags), F.col("w")).select(
             SERIES, _long_ar(LONG_AR)("gram").alias("long")
         )
         fitted = dot("long", [F.lit(1.0), *[F.col(c) for c in long_lags]])
@@ -215,7 +219,7 @@ def fit_arima(
         "e_tail": F.array(F.col("e"), *[lag("e", i) for i in range(1, TAIL)]),
         "dy": F.col("y") - lag("y"),
     })
-    gram = gram_sums(lagged.where("split = 'train'"), [F.col(c) for c in w_lags + e_lags], F.col("w"))
+    gram = gram_sums(lagged.where("split = 'train'"), _array(w_lags + e_lags), F.col("w"))
     state = lagged.groupBy(SERIES).agg(
         F.max("date").alias("fit_end"),
         F.first("d").alias("d"),

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barline.functions.dates import nth_business_day
-from barline.functions.numeric import dot, ratio, z_value
+from barline.functions.numeric import array_dot, ratio, z_value
 from barline.operators.linear import gram_sums, solve, unpack
 from barline.operators.split import train_plus_val
 from barline.schema import CHANGEPOINT_PRIOR, CONFIDENCE, DATE, HORIZON, SEASONALITY_PRIOR, SERIES, by_series
@@ -34,21 +34,31 @@ def to_ds_y(df: DataFrame, value: str = "close") -> DataFrame:
     return df.select(SERIES, F.col(DATE).cast("timestamp_ntz").alias("ds"), F.col(value).alias("y"))
 
 
-def hinges(t: Column) -> list[Column]:
-    """``max(t - c, 0)`` at changepoints spread over the first part of the fitted span."""
-    spots = [CHANGEPOINT_RANGE * (i + 1) / N_CHANGEPOINTS for i in range(N_CHANGEPOINTS)]
-    return [F.greatest(t - c, F.lit(0.0)) for c in spots]
+def hinges(t: Column) -> Column:
+    """Array of 1, t and ``max(t - c, 0)`` at changepoints spread over the first part of the span."""
+    spots = F.transform(
+        F.sequence(F.lit(1), F.lit(N_CHANGEPOINTS)),
+        lambda i: F.greatest(t - i * (CHANGEPOINT_RANGE / N_CHANGEPOINTS), F.lit(0.0)),
+    )
+    return F.concat(F.array(F.lit(1.0), t), spots)
 
 
-def seasonal(day: Column) -> list[Column]:
-    """Yearly and weekly sine and cosine terms of a date."""
+def seasonal(day: Column) -> Column:
+    """Array of the yearly and weekly sine and cosine terms of a date."""
     days = F.datediff(day, F.lit("1970-01-01").cast("date")).cast("double")
-    terms = []
-    for period, order in ((YEARLY_DAYS, YEARLY_ORDER), (WEEKLY_DAYS, WEEKLY_ORDER)):
-        for k in range(1, order + 1):
-            angle = days * (2 * math.pi * k / period)
-            terms += [F.sin(angle), F.cos(angle)]
-    return terms
+
+    def waves(wave, order: int, period: float) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.lit(order)), lambda k: wave(days * k * (2 * math.pi / period)))
+
+    return F.concat(*[
+        waves(wave, order, period)
+        for order, period in ((YEARLY_ORDER, YEARLY_DAYS), (WEEKLY_ORDER, WEEKLY_DAYS))
+        for wave in (F.sin, F.cos)
+    ])
+
+
+N_TREND = N_CHANGEPOINTS + 2
+N_SEASON = 2 * (YEARLY_ORDER + WEEKLY_ORDER)
 
 
 def _elapsed(day: Column, start: Column, end: Column) -> Column:
@@ -101,15 +111,13 @@ def fit_decomposition(scaled: DataFrame, origin: str = "val_end", value: str = "
         "y": ratio(F.col("price"), F.col("unit")),
     })
     t = F.col("t")
-    n_trend = N_CHANGEPOINTS + 1
-    trend = gram_sums(rows, [t, *hinges(t)], F.col("y")).select(
-        SERIES, _ridge(n_trend, 2, CHANGEPOINT_PRIOR, True)("gram").alias("trend")
+    trend = gram_sums(rows, F.slice(hinges(t), 2, N_TREND - 1), F.col("y")).select(
+        SERIES, _ridge(N_TREND - 1, 2, CHANGEPOINT_PRIOR, True)("gram").alias("trend")
     )
-    level = dot("trend", [F.lit(1.0), t, *hinges(t)])
+    level = array_dot(F.slice("trend", 1, N_TREND), hinges(t))
     detrended = rows.join(trend.where("trend is not null"), SERIES).withColumn("r", ratio(F.col("y"), level) - 1.0)
-    terms = seasonal(F.col(DATE))
-    season = gram_sums(detrended, terms, F.col("r")).select(
-        SERIES, _ridge(len(terms), 0, SEASONALITY_PRIOR, False)("gram").alias("season")
+    season = gram_sums(detrended, seasonal(F.col(DATE)), F.col("r")).select(
+        SERIES, _ridge(N_SEASON, 0, SEASONALITY_PRIOR, False)("gram").alias("season")
     )
     span = rows.groupBy(SERIES).agg(*[F.first(c).alias(c) for c in ("fit_start", "fit_end", "unit")])
     ok = F.col("trend").isNotNull() & F.col("season").isNotNull()
@@ -121,8 +129,8 @@ def fit_decomposition(scaled: DataFrame, origin: str = "val_end", value: str = "
             F.lit("prophet").alias("model"),
             "fit_end",
             F.when(ok, F.create_map(
-                F.lit("trend"), F.slice("trend", 1, n_trend + 1),
-                F.lit("season"), F.slice("season", 1, len(terms)),
+                F.lit("trend"), F.slice("trend", 1, N_TREND),
+                F.lit("season"), F.slice("season", 1, N_SEASON),
                 F.lit("sigma"), F.array(F.element_at("season", -1)),
                 F.lit("start"), F.array(start),
                 F.lit("unit"), F.array(F.col("unit")),
@@ -156,8 +164,8 @@ def forecast_decomposition(
     ).withColumn("day", nth_business_day(F.col("fit_end"), F.col("step")))
     t = _elapsed(F.col("day"), F.col("fit_start"), F.col("fit_end"))
     level = steps.withColumn("t", t).withColumns({
-        "level": dot("trend", [F.lit(1.0), F.col("t"), *hinges(F.col("t"))]),
-        "ratio": dot("season", seasonal(F.col("day"))),
+        "level": array_dot(F.col("trend"), hinges(F.col("t"))),
+        "ratio": array_dot(F.col("season"), seasonal(F.col("day"))),
     })
     half = F.abs(F.col("level")) * F.col("sigma") * z_value(CONFIDENCE) * F.col("unit")
     point = F.col("level") * (1.0 + F.col("ratio")) * F.col("unit")

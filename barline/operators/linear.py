@@ -16,32 +16,32 @@ from pyspark.sql import functions as F
 from barline.schema import SERIES
 
 
-def gram_sums(df: DataFrame, x: list[Column], y: Column, key: str = SERIES) -> DataFrame:
-    """Sums of all products of (1, x..., y), upper triangle row by row, in the array column ``gram``.
+def _partial_sums(batches):
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        keys = pdf["key"].to_numpy()
+        rows = np.stack(pdf["row"].to_numpy())
+        upper = np.triu_indices(rows.shape[1])
+        edges = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1], True])
+        runs = [rows[a:b] for a, b in zip(edges[:-1], edges[1:])]
+        yield pd.DataFrame({"key": keys[edges[:-1]], "part": [(r.T @ r)[upper] for r in runs]})
 
-    Rows with a missing regressor or target are left out.  The first element is the row count, the
-    last the sum of squares of the target.  Each Arrow batch is reduced to one partial matrix per run
-    of equal keys, so a key of any size is summed piecewise before the shuffle.  The regressors travel
-    as one array column: as columns of their own they would multiply in the optimizer's constraints.
-    """
-    upper = np.triu_indices(len(x) + 2)
 
-    def partial_sums(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            keys = pdf["key"].to_numpy()
-            rows = np.stack(pdf["row"].to_numpy())
-            edges = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1], True])
-            runs = [rows[a:b] for a, b in zip(edges[:-1], edges[1:])]
-            yield pd.DataFrame({"key": keys[edges[:-1]], "part": [(r.T @ r)[upper] for r in runs]})
+def gram_sums(df: DataFrame, x: Column, y: Column, key: str = SERIES) -> DataFrame:
+    """Sums of all products of (1, x..., y), upper triangle row by row, in the array column ``gram``.
 
-    row = F.array(F.lit(1.0), *[c.cast("double") for c in (*x, y)])
+    ``x`` is an array of equal length on every row.  Rows with a missing regressor or target are left
+    out.  The first element is the row count, the last the sum of squares of the target.  Each Arrow
+    batch is reduced to one partial matrix per run of equal keys, so a key of any size is summed
+    piecewise before the shuffle.
+    """
+    row = F.concat(F.array(F.lit(1.0)), x, F.array(y.cast("double")))
     kind = dict(df.select(key).dtypes)[key]
     return (
         df.select(F.col(key).alias("key"), row.alias("row"))
         .where(F.forall("row", lambda v: v.isNotNull()))
-        .mapInPandas(partial_sums, f"key {kind}, part array<double>")
+        .mapInPandas(_partial_sums, f"key {kind}, part array<double>")
         .groupBy(F.col("key").alias(key))
         .agg(vector_to_array(Summarizer.sum(array_to_vector("part"))).alias("gram"))
     )

@@ -85,4 +85,4 @@ def stale_series(
 def write_bars(df: DataFrame, path: str, loaded_at: Column | None = None, buckets: int | None = None) -> None:
     """Store bars; given series replace their old rows, the others stay."""
     stamped = df.withColumn("loaded_at", loaded_at if loaded_at is not None else F.current_timestamp())
-    save_series(stamped, path, **({"buckets": buckets} if buckets else {}))
+    save_series(stamped, path, buckets=buckets)

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from barline.schema import DATE, SERIES
 
-BUCKETS = 16
 LAYOUT = ["buckets", "bucket"]
 
 
@@ -46,13 +45,15 @@ def _bucket(series, buckets):
     return F.pmod(F.xxhash64(series), buckets).cast("int")
 
 
-def save_series(df: DataFrame, path: str, extra: tuple[str, ...] = (), buckets: int = BUCKETS) -> None:
+def save_series(df: DataFrame, path: str, extra: tuple[str, ...] = (), buckets: int | None = None) -> None:
     """Insert or replace whole series; the other series of the table stay.
 
     ``extra`` names further partition columns, such as the model: a (series, extra) group is then the
-    unit that is replaced.  The bucket count of an existing table is kept.
+    unit that is replaced.  A new table gets as many buckets as the session has shuffle partitions; the
+    count of an existing table is kept.
     """
     spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     old = read_or_none(spark, path)
     if old is not None:
         row = old.select("buckets").limit(1).collect()

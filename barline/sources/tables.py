@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barline.operators.metrics import METRICS, aggregate_summary
-from barline.schema import BENCHMARK, DATE, SERIES
+from barline.schema import BENCHMARK, SERIES
 from barline.sources.layout import load_series, read_or_none, save_series
 
 # Published tables: those laid out by series, and plain ones with their format.
@@ -157,6 +157,3 @@ def manifest_totals(manifest: DataFrame) -> DataFrame:
     """Files and bytes per table."""
     return manifest.groupBy("table").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
 
-
-def forecast_order(wide: DataFrame) -> DataFrame:
-    return wide.orderBy(SERIES, DATE)
