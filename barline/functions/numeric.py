@@ -34,6 +34,24 @@ def pct_change(value: Column, base: Column) -> Column:
     return F.when(base > 0, (value - base) / base * 100)
 
 
+def exact_round(c: Column, decimals: int) -> Column:
+    """Rounding of the exact binary value, ties to even, as ``round`` and ``%.nf`` do outside the JVM.
+
+    ``bround`` and ``format_string`` round the shortest decimal text of a double instead, and differ on
+    every value whose text ends in a 5 (-21.45 is -21.4499...).  Here the product with the power of ten
+    is split into its rounded value and its exact error, and the error decides the apparent ties.
+    """
+    power = F.lit(float(10**decimals))
+    x = F.abs(c)
+    high = x * 134217729.0 - (x * 134217729.0 - x)
+    product = x * power
+    error = (high * power - product) + (x - high) * power
+    whole = F.floor(product)
+    rest = product - whole
+    up = (rest > 0.5) | ((rest == 0.5) & ((error > 0) | ((error == 0) & (whole % 2 == 1))))
+    return F.signum(c) * (whole + up.cast("int")) / power
+
+
 def cents(c: Column) -> Column:
     """Half-even rounding to two decimals."""
     return F.bround(c, 2)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barline.functions.numeric import exact_round
 from barline.schema import MODES
 
 # Display names.
@@ -24,25 +25,29 @@ def model_name(code: Column) -> Column:
 
 
 def fixed(c: Column, decimals: int) -> Column:
-    return F.format_string(f"%.{decimals}f", c)
+    return F.format_string(f"%.{decimals}f", exact_round(c, decimals))
 
 
 def percent(c: Column, decimals: int) -> Column:
-    return F.format_string(f"%.{decimals}f%%", c)
+    return F.format_string(f"%.{decimals}f%%", exact_round(c, decimals))
+
+
+def signed_percent(c: Column) -> Column:
+    return F.format_string("%+.1f%%", exact_round(c, 1))
 
 
 def dollars(c: Column) -> Column:
-    return F.format_string("$%.2f", c)
+    return F.format_string("$%.2f", exact_round(c, 2))
 
 
 def vs_naive(pct: Column) -> Column:
     """``baseline`` for exactly 0, else a signed percentage with one decimal."""
-    return F.when(pct == 0.0, "baseline").when(pct.isNotNull(), F.format_string("%+.1f%%", pct))
+    return F.when(pct == 0.0, "baseline").when(pct.isNotNull(), signed_percent(pct))
 
 
 def change_class(pct: Column) -> Column:
     """Class of a change against the baseline, judged on the displayed one-decimal value."""
-    shown = F.bround(pct, 1)
+    shown = exact_round(pct, 1)
     return (
         F.when(pct == 0.0, "baseline")
         .when(shown < -5, "strong")
@@ -79,3 +84,8 @@ def parse_requests(df: DataFrame, payload: str = "payload") -> DataFrame:
         names("models").alias("model_names"),
         F.coalesce(field("benchmark"), F.lit(True)).alias("benchmark"),
     )
+
+
+def json_text(df: DataFrame) -> DataFrame:
+    """Each row as one JSON text."""
+    return df.select(F.to_json(F.struct("*")).alias("json"))

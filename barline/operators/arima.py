@@ -16,10 +16,8 @@ from pyspark.sql import types as T
 from barline.functions.numeric import array_dot, dot, z_value
 from barline.operators.linear import gram_sums, solve, unpack
 from barline.operators.split import train_plus_val
-from barline.schema import CONFIDENCE, HORIZON, MAX_D, MAX_P, MAX_Q, SERIES, TARGET, by_date, by_series
+from barline.schema import CONFIDENCE, HORIZON, KPSS_CRITICAL, MAX_D, MAX_P, MAX_Q, SERIES, TARGET, by_date, by_series
 
-# Fixed value: 5 % critical value of the KPSS level test (Kwiatkowski et al. 1992).
-KPSS_CRITICAL = 0.463
 LONG_AR = 10  # lags of the first-stage autoregression that supplies residuals
 TAIL = max(MAX_P, MAX_Q)
 
@@ -150,6 +148,7 @@ def _select_order(max_p: int, max_q: int, fixed: tuple[int, int] | None):
                 coef[better] = 0.0
                 coef[np.ix_(np.flatnonzero(better), cols)] = w[better]
         found = np.isfinite(score)
+        score = np.where(found, score, np.nan)
 
         def padded(part):
             out = np.zeros((size, TAIL))
@@ -163,7 +162,7 @@ def _select_order(max_p: int, max_q: int, fixed: tuple[int, int] | None):
             "ma": padded(coef[:, 1 + max_p:]),
             "sigma2": sigma2,
             "aic": score,
-            "error": [None if f else "singular" for f in found],
+            "error": [None if f else ("too few rows" if m < 3 else "singular") for f, m in zip(found, n)],
         })
 
     return best
@@ -234,18 +233,12 @@ def fit_arima(
     one = F.array
     return (
         state.join(gram, SERIES, "left")
-        .where(F.col("gram").isNotNull())
         .select(SERIES, "fit_end", "s", fit.alias("f"))
-        .unionByName(
-            state.join(gram, SERIES, "left_anti").select(
-                SERIES, "fit_end", "s", F.lit(None).cast(FIT).alias("f")
-            )
-        )
         .select(
             SERIES,
             F.lit("arima").alias("model"),
             "fit_end",
-            F.when(F.col("f.error").isNull() & F.col("f").isNotNull(), F.create_map(
+            F.when(F.col("f.error").isNull(), F.create_map(
                 F.lit("order"), F.col("f.order"),
                 F.lit("const"), one(F.col("f.const")),
                 F.lit("ar"), F.col("f.ar"),
@@ -256,7 +249,7 @@ def fit_arima(
                 F.lit("e"), filled("s.e_tail"),
                 F.lit("last"), one(F.col("s.y"), F.coalesce(F.col("s.dy"), F.lit(0.0))),
             )).alias("params"),
-            F.when(F.col("f").isNull(), "too few rows").otherwise(F.col("f.error")).alias("error"),
+            F.col("f.error").alias("error"),
         )
     )
 

@@ -48,11 +48,11 @@ def gram_sums(df: DataFrame, x: Column, y: Column, key: str = SERIES) -> DataFra
 
 
 def unpack(grams, k: int) -> np.ndarray:
-    """Upper triangles back to a batch of symmetric k x k matrices."""
+    """Upper triangles back to a batch of symmetric k x k matrices; zeros for a series without rows."""
     g = np.zeros((len(grams), k, k))
     rows, cols = np.triu_indices(k)
     if len(grams):
-        flat = np.stack(list(grams))
+        flat = np.stack([np.zeros(len(rows)) if x is None else x for x in grams])
         g[:, rows, cols] = flat
         g[:, cols, rows] = flat
     return g

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barline.functions.numeric import cents, pct_change
-from barline.functions.text import COLUMN_NAMES, fixed, model_name, percent, vs_naive
+from barline.functions.numeric import cents, exact_round, pct_change
+from barline.functions.text import COLUMN_NAMES, fixed, model_name, percent, signed_percent, vs_naive
 from barline.schema import REPORT_ORDER, SERIES, by_date, by_series
 
 METRICS = ["rmse", "mape", "mae"]
@@ -68,8 +68,8 @@ def benchmark_table(models: DataFrame, naive: DataFrame) -> DataFrame:
         attach_naive(both)
         .where(F.col("naive_rmse").isNotNull())
         .select(
-            SERIES, "model", *[F.bround(m, 4).alias(m) for m in METRICS],
-            F.bround(change, 2).alias("rmse_vs_naive_pct"),
+            SERIES, "model", *[exact_round(F.col(m), 4).alias(m) for m in METRICS],
+            exact_round(change, 2).alias("rmse_vs_naive_pct"),
         )
     )
 
@@ -98,6 +98,12 @@ def _best(metric: str):
     return F.min_by(F.when(is_model, F.col("model")), F.when(is_model, F.struct(metric, "model")))
 
 
+def _average_change():
+    """Mean change over all model rows, from the sums and counts per model."""
+    is_model = F.col("model") != "naive"
+    return F.try_divide(F.sum(F.when(is_model, F.col("pct_sum"))), F.sum(F.when(is_model, F.col("pct_n"))))
+
+
 def best_model(bench: DataFrame, metric: str = "rmse") -> DataFrame:
     """One row with the model of the smallest mean; NULL when the benchmark holds no model."""
     return _per_model(bench).agg(_best(metric).alias("model"))
@@ -110,9 +116,7 @@ def aggregate_summary(bench: DataFrame) -> DataFrame:
         F.when(is_model, F.struct("model", F.struct(*[F.bround(m, 4).alias(m) for m in METRICS])))
     )))
     over_models = _per_model(bench).agg(
-        F.bround(
-            F.try_divide(F.sum(F.when(is_model, F.col("pct_sum"))), F.sum(F.when(is_model, F.col("pct_n")))), 2
-        ).alias("avg_rmse_reduction_pct"),
+        exact_round(_average_change(), 2).alias("avg_rmse_reduction_pct"),
         _best("rmse").alias("best_model_by_rmse"),
         _best("mape").alias("best_model_by_mape"),
         F.bround(F.max(F.when(~is_model, F.col("rmse"))), 4).alias("naive_avg_rmse"),
@@ -124,16 +128,19 @@ def aggregate_summary(bench: DataFrame) -> DataFrame:
 
 def kpi_summary(bench: DataFrame) -> DataFrame:
     """Headline row: average change, best model by display name, number of series."""
-    return aggregate_summary(bench).select(
-        F.format_string("%+.1f%%", "avg_rmse_reduction_pct").alias("avg_rmse_reduction"),
-        model_name(F.col("best_model_by_rmse")).alias("best_model"),
+    headline = _per_model(bench).agg(_average_change().alias("pct"), _best("rmse").alias("best"))
+    return headline.where(F.col("best").isNotNull()).crossJoin(
+        bench.agg(F.countDistinct(SERIES).alias("n_series"))
+    ).select(
+        signed_percent(F.col("pct")).alias("avg_rmse_reduction"),
+        model_name(F.col("best")).alias("best_model"),
         "n_series",
     )
 
 
-def pivot_metric(bench: DataFrame, metric: str = "rmse") -> DataFrame:
+def pivot_metric(bench: DataFrame, metric: str = "rmse", order: list[str] = REPORT_ORDER) -> DataFrame:
     """One metric per series, a column per model in report order."""
-    return bench.groupBy(SERIES).pivot("model", REPORT_ORDER).agg(F.first(metric))
+    return bench.groupBy(SERIES).pivot("model", order).agg(F.first(metric))
 
 
 def filter_series(df: DataFrame, series: str) -> DataFrame:
@@ -148,7 +155,9 @@ def filter_series_or_all(df: DataFrame, series: str | None) -> DataFrame:
     return df.crossJoin(known).where(~F.col("_known") | (F.col(SERIES) == series)).drop("_known")
 
 
-def ordered_report(bench: DataFrame, universe: DataFrame | None = None) -> DataFrame:
+def ordered_report(
+    bench: DataFrame, universe: DataFrame | None = None, models: list[str] = REPORT_ORDER
+) -> DataFrame:
     """Report rows: series order, then models in report order; the best model is marked once."""
     if universe is not None:
         rows = bench.join(universe.select(SERIES, "ordinal"), SERIES)
@@ -157,13 +166,13 @@ def ordered_report(bench: DataFrame, universe: DataFrame | None = None) -> DataF
         rows, order = bench, F.col(SERIES)
     first = rows.agg(F.min_by(SERIES, order).alias("_first"))
     mark = (F.col("model") != "naive") & (F.col("model") == F.col("_best")) & (F.col(SERIES) == F.col("_first"))
-    rank = F.array_position(F.array(*[F.lit(m) for m in REPORT_ORDER]), F.col("model"))
+    rank = F.array_position(F.array(*[F.lit(m) for m in models]), F.col("model"))
     return (
         rows.crossJoin(first).crossJoin(best_model(bench).select(F.col("model").alias("_best")))
         .select(
             SERIES, "model", *METRICS,
             F.when(F.col("model") == "naive", "baseline")
-            .otherwise(F.format_string("%+.1f%%", "rmse_vs_naive_pct")).alias("vs_naive"),
+            .otherwise(signed_percent(F.col("rmse_vs_naive_pct"))).alias("vs_naive"),
             F.when(mark, "best").otherwise("").alias("marker"),
             order.alias("_order"), rank.alias("_rank"),
         )

@@ -15,6 +15,7 @@ from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barline.functions.numeric import z_value
 from barline.operators.split import train_plus_val
@@ -149,7 +150,7 @@ def _roll(window, coef, mean, const, shape, steps, masks=None):
     return out
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
 def _point_path(
     window: pd.Series, coef: pd.Series, mean: pd.Series, const: pd.Series, shape: pd.Series, horizon: pd.Series
 ) -> pd.Series:

@@ -33,6 +33,7 @@ MAX_AGE_HOURS = 24
 MAX_P = 5
 MAX_Q = 5
 MAX_D = 2
+KPSS_CRITICAL = 0.463  # 5 % point of the KPSS level test (Kwiatkowski et al. 1992)
 CHANGEPOINT_PRIOR = 0.05
 SEASONALITY_PRIOR = 10.0
 LOOK_BACK = 60
