@@ -17,6 +17,7 @@ from barline.functions.numeric import array_dot, dot, z_value
 from barline.operators.linear import gram_sums, solve, unpack
 from barline.operators.split import train_plus_val
 from barline.schema import CONFIDENCE, HORIZON, KPSS_CRITICAL, MAX_D, MAX_P, MAX_Q, SERIES, TARGET, by_date, by_series
+from barline.sources.layout import cut_lineage
 
 LONG_AR = 10  # lags of the first-stage autoregression that supplies residuals
 TAIL = max(MAX_P, MAX_Q)
@@ -178,7 +179,8 @@ def fit_arima(
     """Fit on the train rows of the scaled close; the forecast state continues to the origin.
 
     ``order`` fixes (p, d, q); otherwise d comes from :func:`difference_order` and (p, q) from AIC over
-    a common sample.  Returns model parameter rows.
+    a common sample.  Returns model parameter rows.  The two small tables in between, one row per
+    series each, are stored, since several later steps read them.
     """
     if order:
         max_p, _, max_q = order
@@ -189,7 +191,7 @@ def fit_arima(
     if order:
         rows = rows.withColumn("d", F.lit(order[1]))
     else:
-        d = difference_order(rows.where("split = 'train'"), "y").select(SERIES, "d")
+        d = cut_lineage(difference_order(rows.where("split = 'train'"), "y").select(SERIES, "d"))
         rows = rows.join(d, SERIES)
     rows = rows.withColumn("w", _difference(F.col("d")))
 
@@ -197,9 +199,9 @@ def fit_arima(
         long_lags = [f"w{i}" for i in range(1, LONG_AR + 1)]
         lagged = rows.withColumns({c: lag("w", i) for i, c in enumerate(long_lags, 1)})
         train = lagged.where("split = 'train'")
-        stage1 = gram_sums(train, F.array(*long_lags), F.col("w")).select(
+        stage1 = cut_lineage(gram_sums(train, F.array(*long_lags), F.col("w")).select(
             SERIES, _long_ar(LONG_AR)("gram").alias("long")
-        )
+        ))
         fitted = dot("long", [F.lit(1.0), *[F.col(c) for c in long_lags]])
         # A flat series has a singular autoregression; without residuals it still fits (0, d, 0).
         residual = F.when(F.col("long").isNull(), 0.0).otherwise(F.col("w") - fitted)

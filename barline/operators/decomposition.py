@@ -19,6 +19,7 @@ from barline.functions.numeric import array_dot, ratio, z_value
 from barline.operators.linear import gram_sums, solve, unpack
 from barline.operators.split import train_plus_val
 from barline.schema import CHANGEPOINT_PRIOR, CONFIDENCE, DATE, HORIZON, SEASONALITY_PRIOR, SERIES, by_series
+from barline.sources.layout import cut_lineage
 
 # Layout of the published additive-regression form (Taylor and Letham 2018).
 N_CHANGEPOINTS = 25
@@ -111,9 +112,9 @@ def fit_decomposition(scaled: DataFrame, origin: str = "val_end", value: str = "
         "y": ratio(F.col("price"), F.col("unit")),
     })
     t = F.col("t")
-    trend = gram_sums(rows, F.slice(hinges(t), 2, N_TREND - 1), F.col("y")).select(
+    trend = cut_lineage(gram_sums(rows, F.slice(hinges(t), 2, N_TREND - 1), F.col("y")).select(
         SERIES, _ridge(N_TREND - 1, 2, CHANGEPOINT_PRIOR, True)("gram").alias("trend")
-    )
+    ))
     level = array_dot(F.slice("trend", 1, N_TREND), hinges(t))
     detrended = rows.join(trend.where("trend is not null"), SERIES).withColumn("r", ratio(F.col("y"), level) - 1.0)
     season = gram_sums(detrended, seasonal(F.col(DATE)), F.col("r")).select(

@@ -8,6 +8,7 @@ to its row groups by statistics; writing some series replaces only the buckets t
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -26,19 +27,27 @@ def read_or_none(spark: SparkSession, path: str, fmt: str = "parquet", **options
         return None
 
 
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder the session names for intermediate tables; a temporary one only in local mode."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None and spark.sparkContext.master.startswith("local"):
+        named = tempfile.mkdtemp(prefix="barline-")
+        spark.conf.set("spark.checkpoint.dir", named)
+    return named
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint into the folder the session names, so that a lost executor does not recompute the plan.
+    """The rows as a table in the shared folder.
 
-    Only a local session without such a folder gets a temporary one; on a cluster without it the plan
-    stays as it is.
+    What follows reads the table: a lost executor costs no recomputation of the plan behind it, and its
+    real size guides the joins.  On a cluster that names no shared folder the plan stays as it is.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if named is None and not context.master.startswith("local"):
-            return df
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint()
+    folder = shared_folder(df.sparkSession)
+    if folder is None:
+        return df
+    path = f"{folder}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _bucket(series, buckets):

@@ -7,7 +7,6 @@ series per nation, and the short panel of ``events`` serve the rejection cases.
 from __future__ import annotations
 
 import datetime
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -75,17 +74,19 @@ def scaled_rows(spark, sf) -> DataFrame:
     return split.scale(split_rows(spark, sf))
 
 
+def stored_panel(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Scaled rows and scaler over features that are stored once, as the job does: they are read often."""
+    rows = layout.cut_lineage(split_rows(spark, sf))
+    return split.scale(rows), split.fit_scaler(rows)
+
+
 def ar1_params(spark, sf) -> DataFrame:
-    return arima.fit_arima(scaled_rows(spark, sf), order=ORDERS["ar1"])
+    return arima.fit_arima(stored_panel(spark, sf)[0], order=ORDERS["ar1"])
 
 
 def small_benchmark(spark, sf) -> DataFrame:
-    """Baseline and the three fixed orders, scored over the test split.
-
-    Features and scores are read several times, so each is stored once, as the job does with its tables.
-    """
-    rows = layout.cut_lineage(split_rows(spark, sf))
-    scaled, scaler = split.scale(rows), split.fit_scaler(rows)
+    """Baseline and the three fixed orders, scored over the test split."""
+    scaled, scaler = stored_panel(spark, sf)
     scores = [
         metrics.evaluate_models(
             forecast.forecast_test(arima.fit_arima(scaled, order=order), scaled, scaler, ["arima"]), scaled
@@ -96,9 +97,8 @@ def small_benchmark(spark, sf) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder for the queries that write: shared where the session names one."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-")
-    return f"{root}/{uuid.uuid4().hex}"
+    """A new folder for the queries that write, inside the session's shared folder."""
+    return f"{layout.shared_folder(spark)}/{uuid.uuid4().hex}"
 
 
 def rounded(df: DataFrame, decimals: dict[str, int] | int, but: tuple[str, ...] = ()) -> DataFrame:
@@ -147,8 +147,7 @@ def q_stale_series(spark, sf):
 
 
 def _wide(spark, sf) -> DataFrame:
-    rows = split_rows(spark, sf)
-    scaled, scaler = split.scale(rows), split.fit_scaler(rows)
+    scaled, scaler = stored_panel(spark, sf)
     params = arima.fit_arima(scaled, order=ORDERS["ar1"])
     return forecast.forecast_all(params, scaled, scaler, ["arima"], generated_at=F.lit(GENERATED))
 
@@ -330,16 +329,14 @@ def q_error_metrics(spark, sf):
 
 
 def q_align_forecast_actual(spark, sf):
-    rows = split_rows(spark, sf)
-    scaled, scaler = split.scale(rows), split.fit_scaler(rows)
+    scaled, scaler = stored_panel(spark, sf)
     params = arima.fit_arima(scaled, order=ORDERS["ar1"])
     pairs_ = metrics.align_forecast_actual(forecast.forecast_test(params, scaled, scaler, ["arima"]), scaled)
     return rounded(pairs_.withColumn("step", F.col("step").cast("bigint")), 3)
 
 
 def q_ar1_metrics(spark, sf):
-    rows = split_rows(spark, sf)
-    scaled, scaler = split.scale(rows), split.fit_scaler(rows)
+    scaled, scaler = stored_panel(spark, sf)
     params = arima.fit_arima(scaled, order=ORDERS["ar1"])
     return rounded(metrics.evaluate_models(forecast.forecast_test(params, scaled, scaler, ["arima"]), scaled), 3)
 
@@ -403,24 +400,24 @@ def q_ar1_forecast(spark, sf):
 
 def q_arima_fit(spark, sf):
     p = F.col("params")
-    fitted = arima.fit_arima(scaled_rows(spark, sf))
+    fitted = arima.fit_arima(stored_panel(spark, sf)[0])
     return fitted.select(SERIES, "model", "fit_end", *[p["order"][i].cast("int").alias(n) for i, n in enumerate("pdq")],
                          p["aic"][0].alias("aic"), "error")
 
 
 def q_arima_forecast(spark, sf):
-    return arima.forecast_arima(arima.fit_arima(scaled_rows(spark, sf)))
+    return arima.forecast_arima(arima.fit_arima(stored_panel(spark, sf)[0]))
 
 
 def q_decomposition_fit(spark, sf):
-    fitted = decomposition.fit_decomposition(scaled_rows(spark, sf))
+    fitted = decomposition.fit_decomposition(stored_panel(spark, sf)[0])
     p = F.col("params")
     return fitted.select(SERIES, "model", "fit_end", F.size(p["trend"]).alias("n_trend"),
                          F.size(p["season"]).alias("n_season"), p["sigma"][0].alias("sigma"), "error")
 
 
 def q_decomposition_forecast(spark, sf):
-    return decomposition.forecast_decomposition(decomposition.fit_decomposition(scaled_rows(spark, sf)), 30, 0.9)
+    return decomposition.forecast_decomposition(decomposition.fit_decomposition(stored_panel(spark, sf)[0]), 30, 0.9)
 
 
 def q_to_ds_y(spark, sf):
@@ -447,7 +444,7 @@ def q_last_sequence(spark, sf):
 
 
 def _sequence_params(spark, sf) -> DataFrame:
-    return sequence.fit_sequence_regression(layout.cut_lineage(scaled_rows(spark, sf)))
+    return sequence.fit_sequence_regression(stored_panel(spark, sf)[0])
 
 
 def q_sequence_fit(spark, sf):
@@ -496,8 +493,7 @@ def q_last_known_newest(spark, sf):
 
 
 def _long(spark, sf) -> DataFrame:
-    rows = split_rows(spark, sf)
-    scaled, scaler = split.scale(rows), split.fit_scaler(rows)
+    scaled, scaler = stored_panel(spark, sf)
     params = arima.fit_arima(scaled, order=ORDERS["ar1"])
     return forecast.forecast_long(params, scaled, scaler, ["arima"])
 
@@ -557,16 +553,14 @@ def q_sort_by_date(spark, sf):
 
 def q_forecast_all_models(spark, sf):
     """All three forecasters, from the bars to the wide table."""
-    rows = layout.cut_lineage(split_rows(spark, sf))
-    scaled, scaler = split.scale(rows), split.fit_scaler(rows)
+    scaled, scaler = stored_panel(spark, sf)
     params = layout.cut_lineage(train.fit_models(scaled))
     return forecast.forecast_all(params, scaled, scaler, generated_at=F.lit(GENERATED))
 
 
 def q_benchmark_all_models(spark, sf):
     """All three forecasters against the baseline."""
-    rows = layout.cut_lineage(split_rows(spark, sf))
-    scaled, scaler = split.scale(rows), split.fit_scaler(rows)
+    scaled, scaler = stored_panel(spark, sf)
     params = layout.cut_lineage(train.fit_models(scaled))
     return train.run_benchmark(params, scaled, scaler)[0]
 
