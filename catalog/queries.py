@@ -98,7 +98,10 @@ def small_benchmark(spark, sf) -> DataFrame:
 
 def scratch(spark: SparkSession) -> str:
     """A new folder for the queries that write, inside the session's shared folder."""
-    return f"{layout.shared_folder(spark)}/{uuid.uuid4().hex}"
+    folder = layout.shared_folder(spark)
+    if folder is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{folder}/{uuid.uuid4().hex}"
 
 
 def rounded(df: DataFrame, decimals: dict[str, int] | int, but: tuple[str, ...] = ()) -> DataFrame:
