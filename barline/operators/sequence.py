@@ -58,10 +58,13 @@ def last_sequence(df: DataFrame, cols: list[str] = FEATURES, look_back: int = LO
     )
 
 
-def _gram(rows: DataFrame) -> np.ndarray:
-    """Gram matrix of the vectors (1, x..., y), added up in a tree on the executors."""
+def _gram(rows: DataFrame, width: int) -> np.ndarray:
+    """Gram matrix of the vectors (1, x..., y), added up in a tree on the executors; zeros without rows."""
     vectors = rows.select(array_to_vector(F.concat(F.array(F.lit(1.0)), F.flatten("x"), F.array("target"))).alias("v"))
-    return RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "v")).computeGramianMatrix().toArray()
+    # A zero row adds nothing to the sums and keeps them defined when there is no other row.
+    zero = rows.sparkSession.range(1).select(array_to_vector(F.array_repeat(F.lit(0.0), width + 2)).alias("v"))
+    matrix = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors.union(zero), "v"), numCols=width + 2)
+    return matrix.computeGramianMatrix().toArray()
 
 
 def fit_pooled(sequences: DataFrame, width: int, target_index: int) -> dict:
@@ -72,7 +75,7 @@ def fit_pooled(sequences: DataFrame, width: int, target_index: int) -> dict:
     if width > MAX_WIDTH:
         raise ValueError(f"{width} regressors exceed the limit of {MAX_WIDTH}")
     rows = sequences.withColumn("target", F.col("y") - F.element_at("x", -1)[target_index])
-    train = _gram(rows.where("split = 'train'"))
+    train = _gram(rows.where("split = 'train'"), width)
     n = train[0, 0]
     if n == 0:
         return {}
@@ -80,7 +83,7 @@ def fit_pooled(sequences: DataFrame, width: int, target_index: int) -> dict:
     centred = train[1:, 1:] - n * np.outer(mean, mean)
     a, b = centred[:-1, :-1], centred[:-1, -1]
     fits = [np.linalg.solve(a + p * n * np.eye(width), b) for p in PENALTIES]
-    val = _gram(rows.where("split = 'val'"))
+    val = _gram(rows.where("split = 'val'"), width)
     checked = val[0, 0] > 0
     if checked:
         shift = np.r_[1.0, np.zeros(width + 1)]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -127,7 +126,7 @@ def publish_tables(
                         rows = rows.where(F.col(key).isin(series))
                     rows.write.mode("overwrite").options(**options).format(PLAIN[name]).save(f"{dst}/{name}")
             results.append((name, "absent" if rows is None else "copied", None))
-        except (PySparkException, KeyError) as problem:
+        except Exception as problem:  # one table that cannot be copied must not stop the others
             results.append((name, "failed", str(problem).splitlines()[0]))
     return spark.createDataFrame(results, "table string, status string, error string")
 
