@@ -1,7 +1,7 @@
 """Look-back regression: the next close from the last 60 rows of all features.
 
 One ridge regression is pooled over all series, whose features share the 0..1 scale.  Its Gram matrix
-is summed on the executors in a tree and has a fixed size, (60 x 13 + 2) squared, whatever the data.
+is summed on the executors and has a fixed size, (60 x 13 + 2) squared, whatever the data.
 The regularisation is the one with the smallest validation loss, the counterpart of early stopping;
 that loss follows from the Gram matrix of the validation rows, without another pass.
 """
@@ -10,21 +10,23 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import array_to_vector
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barline.functions.numeric import z_value
+from barline.operators.linear import unpack
 from barline.operators.split import train_plus_val
 from barline.schema import (
-    CONFIDENCE, DATE, DROPOUT, FEATURES, HORIZON, LOOK_BACK, SEED, SERIES, STOCHASTIC_PASSES, TARGET,
+    CONFIDENCE, DATE, DROPOUT, FEATURES, HORIZON, LOOK_BACK, SEED, SERIES, STOCHASTIC_PASSES, TARGET, by_date,
 )
 
 # Penalties per row, smallest first.
 PENALTIES = [1e-4, 1e-3, 1e-2, 1e-1, 1.0]
+BLOCK = 2000  # windows that are laid out at a time
+ROUNDS = 32  # partial sums that the last round adds up
 MAX_WIDTH = 2000  # bound of the regression width, and with it of everything that is broadcast
 
 
@@ -58,43 +60,84 @@ def last_sequence(df: DataFrame, cols: list[str] = FEATURES, look_back: int = LO
     )
 
 
-def _gram(rows: DataFrame, width: int) -> np.ndarray:
-    """Gram matrix of the vectors (1, x..., y), added up in a tree on the executors; zeros without rows."""
-    vectors = rows.select(array_to_vector(F.concat(F.array(F.lit(1.0)), F.flatten("x"), F.array("target"))).alias("v"))
-    # A zero row adds nothing to the sums and keeps them defined when there is no other row.
-    zero = rows.sparkSession.range(1).select(array_to_vector(F.array_repeat(F.lit(0.0), width + 2)).alias("v"))
-    matrix = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors.union(zero), "v"), numCols=width + 2)
-    return matrix.computeGramianMatrix().toArray()
+def _window_sums(k: int, look_back: int, target: int):
+    """mapInPandas helper: Gram matrices of the sliding windows in rows sorted by (series, date).
 
+    Only the plain rows travel to Python; their windows exist for one block at a time.  The last rows of
+    a batch are carried into the next one, so a series is never held whole.
+    """
+    width = look_back * k + 2
+    upper = np.triu_indices(width)
+
+    def sums(batches):
+        totals = {}
+        key, tail = None, None
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            names = list(zip(pdf["series"], pdf["split"]))
+            values = pdf[[f"x{i}" for i in range(k)]].to_numpy(dtype=float)
+            edges = [0, *(i for i in range(1, len(names)) if names[i] != names[i - 1]), len(names)]
+            for a, b in zip(edges[:-1], edges[1:]):
+                rows = values[a:b] if names[a] != key else np.vstack([tail, values[a:b]])
+                key, tail = names[a], rows[-look_back:]
+                for at in range(0, len(rows) - look_back, BLOCK):
+                    part = rows[at:at + BLOCK + look_back]
+                    windows = np.lib.stride_tricks.sliding_window_view(part[:-1], look_back, axis=0)
+                    x = windows.transpose(0, 2, 1).reshape(len(windows), -1)
+                    step = part[look_back:, target] - part[look_back - 1:-1, target]
+                    full = np.column_stack([np.ones(len(x)), x, step])
+                    totals[key[1]] = totals.get(key[1], 0.0) + full.T @ full
+        for split, total in totals.items():
+            yield pd.DataFrame({"split": [split], "part": [total[upper]]})
+
+    return sums
+
+
+def _grams(scaled: DataFrame, cols: list[str], look_back: int) -> dict[str, np.ndarray]:
+    """Gram matrices of (1, window, step) over the train and the val rows, in one pass.
+
+    Every task sends one matrix per split; they are added in two rounds, so no task receives them all.
+    """
+    width = look_back * len(cols) + 2
+    rows = scaled.where(F.col("split") != "test").select(
+        SERIES, "split", F.row_number().over(by_date()).alias("k"), *[F.col(c).alias(f"x{i}") for i, c in enumerate(cols)]
+    )
+    parts = rows.mapInPandas(
+        _window_sums(len(cols), look_back, cols.index(TARGET)), "split string, part array<double>"
+    ).select("split", (F.spark_partition_id() % ROUNDS).alias("slot"), array_to_vector("part").alias("part"))
+    first = parts.groupBy("split", "slot").agg(Summarizer.sum(F.col("part")).alias("part"))
+    total = first.groupBy("split").agg(vector_to_array(Summarizer.sum(F.col("part"))).alias("part"))
+    return {r["split"]: unpack([r["part"]], width)[0] for r in total.collect()}
 
-def fit_pooled(sequences: DataFrame, width: int, target_index: int) -> dict:
+
+def fit_pooled(scaled: DataFrame, cols: list[str] = FEATURES, look_back: int = LOOK_BACK) -> dict:
     """Ridge regression of the step from the last close to the next on the window.
 
-    Working on the step makes the last-value forecast the limit of strong regularisation.
+    Working on the step makes the last-value forecast the limit of strong regularisation.  Empty when
+    no train split is longer than the look-back.
     """
+    width = look_back * len(cols)
     if width > MAX_WIDTH:
         raise ValueError(f"{width} regressors exceed the limit of {MAX_WIDTH}")
-    rows = sequences.withColumn("target", F.col("y") - F.element_at("x", -1)[target_index])
-    train = _gram(rows.where("split = 'train'"), width)
-    n = train[0, 0]
-    if n == 0:
+    grams = _grams(scaled, cols, look_back)
+    train, val = grams.get("train"), grams.get("val")
+    if train is None:
         return {}
+    n = train[0, 0]
     mean = train[0, 1:] / n
     centred = train[1:, 1:] - n * np.outer(mean, mean)
     a, b = centred[:-1, :-1], centred[:-1, -1]
     fits = [np.linalg.solve(a + p * n * np.eye(width), b) for p in PENALTIES]
-    val = _gram(rows.where("split = 'val'"), width)
-    checked = val[0, 0] > 0
-    if checked:
-        shift = np.r_[1.0, np.zeros(width + 1)]
-        basis = np.vstack([shift, np.column_stack([-mean, np.eye(width + 1)])])  # (1, x - mean, y - mean)
-        v = basis[1:] @ val @ basis[1:].T
-        losses = [(np.r_[-w, 1.0] @ v @ np.r_[-w, 1.0]) / val[0, 0] for w in fits]
-        best = int(np.argmin(losses))
-    else:
-        best = 0
+    best = 0
+    if val is not None:
+        basis = np.column_stack([-mean, np.eye(width + 1)])  # (x - mean, step - mean)
+        v = basis @ val @ basis.T
+        residual = [np.r_[-w, 1.0] for w in fits]
+        best = int(np.argmin([r @ v @ r for r in residual]))
     return {
-        "coef": fits[best], "mean": mean[:-1], "const": float(mean[-1]), "penalty": PENALTIES[best], "checked": checked,
+        "coef": fits[best], "mean": mean[:-1], "const": float(mean[-1]), "penalty": PENALTIES[best],
+        "checked": val is not None,
     }
 
 
@@ -106,7 +149,7 @@ def fit_sequence_regression(
     A series whose train split is not longer than the look-back gets an error instead.
     """
     spark = scaled.sparkSession
-    fit = fit_pooled(build_sequences(scaled, cols, look_back), look_back * len(cols), cols.index(TARGET))
+    fit = fit_pooled(scaled, cols, look_back)
     windows = last_sequence(scaled, cols, look_back, origin)
     trained = scaled.groupBy(SERIES).agg(F.count_if(F.col("split") == "train").alias("n_train"))
     rows = windows.join(trained, SERIES)

@@ -10,7 +10,7 @@ from barline.schema import BENCHMARK, SERIES
 from barline.sources.layout import load_series, read_or_none, save_series
 
 # Published tables: those laid out by series, and plain ones with their format.
-BY_SERIES = {"bars": (), "features": (), "scaler": (), "forecasts": (), "model_params": ("model",)}
+BY_SERIES = {"bars": (), "features": (), "scaler": (), "scaled": (), "forecasts": (), "model_params": ("model",)}
 PLAIN = {"all_forecasts": "parquet", "benchmark": "csv", "benchmark_summary": "json",
          "training_report": "json", "training_totals": "json", "run_summary": "json"}
 _CSV = {"header": True}

@@ -249,7 +249,7 @@ WHERE d IS NULL OR d <= (SELECT max(date) FROM bars) - 1""",
         "benchmark_file": _with(*TO_BENCH) + BENCH_OUT,
         "params_table": _with(*TO_SCALED, AR1) + AR1_OUT,
         "publish_tables": """SELECT "table", CASE WHEN "table" IN ('bars', 'scaler', 'model_params') THEN 'copied' ELSE 'absent'
-  END AS status, CAST(NULL AS VARCHAR) AS error FROM (SELECT unnest(['bars', 'features', 'scaler', 'forecasts', 'model_params',
+  END AS status, CAST(NULL AS VARCHAR) AS error FROM (SELECT unnest(['bars', 'features', 'scaler', 'scaled', 'forecasts', 'model_params',
   'all_forecasts', 'benchmark', 'benchmark_summary', 'training_report', 'training_totals', 'run_summary']) AS "table")""",
         "publish_outcome": """SELECT CAST(3 AS BIGINT) AS copied, CAST(0 AS BIGINT) AS failed, true AS complete,
   true AS usable""",
@@ -272,7 +272,7 @@ SELECT series, round(any_value(q1), 4) AS q1, round(any_value(q3), 4) AS q3, rou
 FROM bars JOIN bounds USING (series) GROUP BY series""",
         "clip_outliers": _with(ORDER_BARS, _clipped("bars", 0.25)) + _round("clipped", OHLCV, 4, "series, date"),
         "clip_stored_bounds": _with(
-            RAW, "whole AS (SELECT * FROM raw WHERE close IS NOT NULL AND volume IS NOT NULL)", ORDER_BARS,
+            RAW, UNIQUE, "whole AS (SELECT * FROM uniq WHERE close IS NOT NULL AND volume IS NOT NULL)", ORDER_BARS,
             _clipped("bars", 0.25, "whole")) + _round("clipped", OHLCV, 4, "series, date"),
         "engineer_features": _with(ORDER_BARS, _clipped("bars", 3.0), _featured()) + _round(
             "features", list(dict.fromkeys([*OHLCV, *FEATURES])), FEATURE_PLACES, "series, date"),

@@ -238,8 +238,8 @@ def q_clip_outliers(spark, sf):
 
 
 def q_clip_stored_bounds(spark, sf):
-    """Clip with bounds that were computed on the repeated raw rows."""
-    bounds = clean.iqr_bounds(clean.drop_incomplete(raw_bars(spark, sf)), 0.25)
+    """Clip with bounds that come as a table, here from the first order of each day."""
+    bounds = clean.iqr_bounds(clean.drop_incomplete(clean.drop_duplicate_dates(raw_bars(spark, sf))), 0.25)
     return rounded(clean.clip_outliers(order_bars(spark, sf), bounds=bounds), 4)
 
 
