@@ -300,14 +300,19 @@ def _path(horizon: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), horizon), start, step, lambda s: s["out"])
 
 
+def arima_interval(paths: DataFrame, confidence: float = CONFIDENCE) -> DataFrame:
+    """Analytic band of a path: ``forecast ± z * sigma * sqrt(sum psi^2)``."""
+    half = z_value(confidence) * F.sqrt(F.col("sigma2") * F.col("var"))
+    return paths.select(
+        SERIES, "model", "step", "forecast",
+        (F.col("forecast") - half).alias("lower"), (F.col("forecast") + half).alias("upper"),
+    )
+
+
 def forecast_arima(params: DataFrame, horizon: int | Column = HORIZON, confidence: float = CONFIDENCE) -> DataFrame:
-    """Point forecast with the analytic band ``± z * sigma * sqrt(sum psi^2)``, in scaled units."""
+    """Point forecast with its analytic band, in scaled units."""
     h = horizon if isinstance(horizon, Column) else F.lit(horizon)
     paths = params.where(F.col("params").isNotNull()).select(
-        SERIES, "model", F.col("params")["sigma2"][0].alias("_s2"), F.inline(_path(h))
-    )
-    half = z_value(confidence) * F.sqrt(F.col("_s2") * F.col("var"))
-    return paths.select(
-        SERIES, "model", "step", F.col("y").alias("forecast"),
-        (F.col("y") - half).alias("lower"), (F.col("y") + half).alias("upper"),
+        SERIES, "model", F.col("params")["sigma2"][0].alias("sigma2"), F.inline(_path(h))
     )
+    return arima_interval(paths.withColumnRenamed("y", "forecast"), confidence)

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barline.functions.numeric import clip
 from barline.schema import CLIP_FACTOR, DATE, HISTORY_YEARS, MIN_RAW_ROWS, OHLCV, SERIES, TARGET, by_date, by_series
 
-UNBOUNDED = (-(1 << 63), (1 << 63) - 1)
-
 
 def series_profile(bars: DataFrame) -> DataFrame:
     """Per series: rows, first and last date, share of missing closes in percent."""
@@ -77,7 +75,7 @@ def drop_duplicate_dates(bars: DataFrame, ordinal: str = "ingest_ordinal") -> Da
 
 def fill_forward(c: str) -> Column:
     """Last non-null value up to this row."""
-    return F.last(c, ignorenulls=True).over(by_date().rowsBetween(UNBOUNDED[0], 0))
+    return F.last(c, ignorenulls=True).over(by_date().rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
 
 def fill_backward(c: str) -> Column:
@@ -86,7 +84,7 @@ def fill_backward(c: str) -> Column:
     After a forward fill only leading rows are still null, and for those the next value is the first
     one; the whole-series frame is evaluated once, a shrinking frame would be quadratic.
     """
-    return F.first(c, ignorenulls=True).over(by_date().rowsBetween(*UNBOUNDED))
+    return F.first(c, ignorenulls=True).over(by_date().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
 
 
 def fill_gaps(bars: DataFrame) -> DataFrame:

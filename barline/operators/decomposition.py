@@ -147,13 +147,20 @@ def width_mismatch(confidence: float, fitted: float = CONFIDENCE) -> bool:
     return abs(confidence - fitted) > 0.01
 
 
+def decomposition_interval(paths: DataFrame, confidence: float = CONFIDENCE) -> DataFrame:
+    """Band of the residual deviation at the fitted width; ``width_mismatch`` marks another request."""
+    half = F.abs(F.col("level")) * F.col("sigma") * z_value(CONFIDENCE)
+    return paths.select(
+        SERIES, "model", "step", "forecast",
+        (F.col("forecast") - half).alias("lower"), (F.col("forecast") + half).alias("upper"),
+        (F.abs(F.lit(float(confidence)) - F.col("width")) > 0.01).alias("width_mismatch"),
+    )
+
+
 def forecast_decomposition(
     params: DataFrame, horizon: int | Column = HORIZON, confidence: float = CONFIDENCE
 ) -> DataFrame:
-    """Price forecast on the business days after the fit, with the band at the fitted width.
-
-    ``width_mismatch`` marks rows for which another confidence was asked.
-    """
+    """Price forecast on the business days after the fit, with its band."""
     h = horizon if isinstance(horizon, Column) else F.lit(horizon)
     p = F.col("params")
     fit_start = F.date_add(F.lit("1970-01-01").cast("date"), p["start"][0].cast("int"))
@@ -168,9 +175,8 @@ def forecast_decomposition(
         "level": array_dot(F.col("trend"), hinges(F.col("t"))),
         "ratio": array_dot(F.col("season"), seasonal(F.col("day"))),
     })
-    half = F.abs(F.col("level")) * F.col("sigma") * z_value(CONFIDENCE) * F.col("unit")
-    point = F.col("level") * (1.0 + F.col("ratio")) * F.col("unit")
-    return level.select(
-        SERIES, "model", "step", point.alias("forecast"), (point - half).alias("lower"), (point + half).alias("upper"),
-        (F.abs(F.lit(float(confidence)) - F.col("width")) > 0.01).alias("width_mismatch"),
-    )
+    paths = level.withColumns({
+        "forecast": F.col("level") * (1.0 + F.col("ratio")) * F.col("unit"),
+        "level": F.col("level") * F.col("unit"),
+    })
+    return decomposition_interval(paths, confidence)

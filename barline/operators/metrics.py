@@ -60,12 +60,16 @@ def attach_naive(metrics: DataFrame) -> DataFrame:
     return metrics.withColumn("naive_rmse", baseline)
 
 
+def benchmark_union(naive: DataFrame, models: DataFrame) -> DataFrame:
+    """Baseline rows and model rows in one table."""
+    return naive.select(SERIES, "model", *METRICS).unionByName(models.select(SERIES, "model", *METRICS))
+
+
 def benchmark_table(models: DataFrame, naive: DataFrame) -> DataFrame:
     """Baseline rows and model rows with the RMSE change against the baseline; rounded for the report."""
-    both = naive.select(SERIES, "model", *METRICS).unionByName(models.select(SERIES, "model", *METRICS))
     change = F.when(F.col("model") == "naive", 0.0).otherwise(pct_change(F.col("rmse"), F.col("naive_rmse")))
     return (
-        attach_naive(both)
+        attach_naive(benchmark_union(naive, models))
         .where(F.col("naive_rmse").isNotNull())
         .select(
             SERIES, "model", *[exact_round(F.col(m), 4).alias(m) for m in METRICS],

@@ -42,6 +42,15 @@ def attach_models(pairs: DataFrame, params: DataFrame) -> DataFrame:
     return pairs.join(fitted, [SERIES, "model"], "left").withColumn("status", status).drop("_seen")
 
 
+def fitted_guard(pairs: DataFrame, params: DataFrame) -> DataFrame:
+    """Requested pairs that cannot be forecast, with the reason."""
+    return (
+        attach_models(pairs, params)
+        .where(F.col("status") != "ok")
+        .select(SERIES, "model", F.coalesce("error", F.lit("not fitted")).alias("error"))
+    )
+
+
 def untrained_pairs(params: DataFrame, pairs: DataFrame) -> DataFrame:
     """Requested pairs without fitted parameters."""
     fitted = params.where(F.col("params").isNotNull())

@@ -25,6 +25,7 @@ from barline.schema import (
 
 # Penalties per row, smallest first.
 PENALTIES = [1e-4, 1e-3, 1e-2, 1e-1, 1.0]
+TOO_SHORT = "train split not longer than the look-back"
 BLOCK = 2000  # windows that are laid out at a time
 ROUNDS = 32  # partial sums that the last round adds up
 MAX_WIDTH = 2000  # bound of the regression width, and with it of everything that is broadcast
@@ -60,6 +61,13 @@ def last_sequence(df: DataFrame, cols: list[str] = FEATURES, look_back: int = LO
     )
 
 
+def sequence_length_guard(scaled: DataFrame, look_back: int = LOOK_BACK) -> DataFrame:
+    """Per series: train rows, and an error when they are not more than the look-back."""
+    return scaled.groupBy(SERIES).agg(F.count_if(F.col("split") == "train").alias("n_train")).withColumn(
+        "too_short", F.when(F.col("n_train") <= look_back, TOO_SHORT)
+    )
+
+
 def _window_sums(k: int, look_back: int, target: int):
     """mapInPandas helper: Gram matrices of the sliding windows in rows sorted by (series, date).
 
@@ -151,13 +159,12 @@ def fit_sequence_regression(
     spark = scaled.sparkSession
     fit = fit_pooled(scaled, cols, look_back)
     windows = last_sequence(scaled, cols, look_back, origin)
-    trained = scaled.groupBy(SERIES).agg(F.count_if(F.col("split") == "train").alias("n_train"))
-    rows = windows.join(trained, SERIES)
-    too_short = (F.col("n_train") <= look_back) | (F.size("x") < look_back)
+    rows = windows.join(sequence_length_guard(scaled, look_back), SERIES)
+    error = F.coalesce(F.col("too_short"), F.when(F.size("x") < look_back, TOO_SHORT))
     head = [SERIES, F.lit("lstm").alias("model"), "fit_end"]
     if not fit:
         none = F.lit(None).cast("map<string,array<double>>")
-        return rows.select(*head, none.alias("params"), F.lit("train split not longer than the look-back").alias("error"))
+        return rows.select(*head, none.alias("params"), F.lit(TOO_SHORT).alias("error"))
     shared = spark.createDataFrame(
         [([float(v) for v in fit["coef"]], [float(v) for v in fit["mean"]], [fit["const"]],
           [float(look_back), float(len(cols)), float(cols.index(TARGET))],
@@ -168,10 +175,10 @@ def fit_sequence_regression(
     # One row of fixed width (see MAX_WIDTH), so this product is a bounded broadcast.
     return rows.crossJoin(F.broadcast(shared)).select(
         *head,
-        F.when(~too_short, F.create_map(
+        F.when(error.isNull(), F.create_map(
             F.lit("window"), F.flatten("x"), *[c for n in names for c in (F.lit(n), F.col(n))]
         )).alias("params"),
-        F.when(too_short, "train split not longer than the look-back").alias("error"),
+        error.alias("error"),
     )
 
 

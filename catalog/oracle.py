@@ -191,6 +191,7 @@ kpss_wide AS (
   SELECT series, max(stat) FILTER (test = 'kpss_level') AS kpss_level,
          max(stat) FILTER (test = 'kpss_difference') AS kpss_difference FROM kpss GROUP BY series)"""
 
+GRAM = ("1.0::DOUBLE", "high_low_spread", "volume_change", "close")
 X_SUM = " + ".join(FEATURES)
 NATION_LENGTH = f"""lengths AS (SELECT series, count(*) AS n_rows FROM features GROUP BY series),
 long_nations AS (SELECT series FROM lengths WHERE n_rows >= {LONG_NATION})"""
@@ -349,6 +350,10 @@ SELECT series, model, CASE WHEN rmse_vs_naive_pct = 0 THEN 'baseline' WHEN round
         "filter_series_known": _with(*TO_BENCH) + BENCH_OUT + " WHERE series = '2-HIGH'",
         "filter_series_unknown": _with(*TO_BENCH) + BENCH_OUT,
         "benchmarkable_series": _with(ORDER_BARS) + "SELECT DISTINCT series FROM bars",
+        "gram_sums": _with(*TO_SCALED) + "SELECT series, " + ", ".join(
+            f"round(sum({a} * {b})::DOUBLE, 5) AS g{i}" for i, (a, b) in enumerate(
+                (GRAM[j], GRAM[k]) for j in range(4) for k in range(j, 4))
+        ) + " FROM scaled GROUP BY series",
         "difference_order": _with(*TO_SCALED, KPSS) + f"""
 SELECT series, round(kpss_level, 6) AS kpss_level, round(kpss_difference, 6) AS kpss_difference,
   CASE WHEN kpss_level <= {KPSS_CRITICAL} THEN 0 WHEN kpss_difference <= {KPSS_CRITICAL} THEN 1 ELSE 2 END AS d FROM kpss_wide""",
@@ -369,6 +374,9 @@ SELECT series, max(date) AS fit_end, count(*) AS n_rows, round(sum({X_SUM}), 4)
   round(arg_min(close, date), 6) AS x_first, round(arg_max(close, date), 6) AS x_last
 FROM (SELECT *, row_number() OVER (PARTITION BY series ORDER BY date DESC) AS k FROM scaled WHERE split IN ('train', 'val'))
 WHERE k <= 60 GROUP BY series""",
+        "sequence_length_guard": _with(NATION_BARS, _clipped("bars", 3.0), _featured(), _labelled()) + """
+SELECT series, n_train, CASE WHEN n_train <= 320 THEN 'train split not longer than the look-back' END AS too_short
+FROM (SELECT series, count(*) FILTER (split = 'train') AS n_train FROM split GROUP BY series)""",
         "stochastic_interval": f"""
 SELECT series, 'lstm' AS model, step, round(m, 5) AS forecast, round(m - {Z!r}::DOUBLE * s, 5) AS lower,
   round(m + {Z!r}::DOUBLE * s, 5) AS upper
@@ -407,6 +415,8 @@ SELECT n_name AS series FROM nation EXCEPT SELECT series FROM long_nations""",
         "distinct_series": "SELECT DISTINCT o_orderpriority AS series FROM orders",
         "untrained_pairs": _with(NATION_BARS, REPORT) + "SELECT series, model FROM status WHERE status <> 'ok'",
         "attach_models": _with(NATION_BARS, REPORT) + "SELECT series, model, status, error FROM status",
+        "fitted_guard": _with(NATION_BARS, REPORT) + """
+SELECT series, model, coalesce(error, 'not fitted') AS error FROM status WHERE status <> 'ok'""",
         "training_report": _with(NATION_BARS, REPORT) + "SELECT * FROM report",
         "training_totals": _with(NATION_BARS, REPORT) + """SELECT count(*) AS total, count(*) FILTER (success) AS success,
   count(*) FILTER (NOT success) AS failed, sum(duration_s) AS seconds FROM report""",

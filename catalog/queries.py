@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from barline.functions import dates, text
 from barline.operators import arima, clean, decomposition, features, forecast, metrics, pairs, registry, sequence, split
+from barline.operators.linear import gram_sums
 from barline.plans import preprocess, run, train, views
 from barline.schema import DATE, FEATURES, MODEL_PARAMS, OHLCV, SERIES
 from barline.sources import bars as bar_tables
@@ -387,6 +388,18 @@ def _ar1_columns(params: DataFrame) -> DataFrame:
     ), 6)
 
 
+def q_gram_sums(spark, sf):
+    """Sums of products of (1, high-low spread, volume change, close), all scaled."""
+    grams = gram_sums(scaled_rows(spark, sf), F.array("high_low_spread", "volume_change"), F.col("close"))
+    return rounded(grams.select(SERIES, *[F.col("gram")[i].alias(f"g{i}") for i in range(10)]), 5)
+
+
+def q_sequence_length_guard(spark, sf):
+    """With a look-back of 320 some nations have too few train rows."""
+    rows = preprocess.split_features(nation_bars(spark, sf))
+    return sequence.sequence_length_guard(rows, 320)
+
+
 def q_difference_order(spark, sf):
     train_rows = scaled_rows(spark, sf).where("split = 'train'")
     return rounded(arima.difference_order(train_rows), 6)
@@ -610,6 +623,10 @@ def q_attach_models(spark, sf):
     return pairs.attach_models(wanted, _some_params(spark, sf)).select(SERIES, "model", "status", "error")
 
 
+def q_fitted_guard(spark, sf):
+    return pairs.fitted_guard(pairs.all_pairs(_nations(spark, sf), ["arima", "lstm"]), _some_params(spark, sf))
+
+
 def _training_report(spark, sf) -> DataFrame:
     wanted = pairs.all_pairs(_nations(spark, sf), ["arima", "lstm"])
     return train.training_report(wanted, _some_params(spark, sf), {"arima": 1.5, "lstm": 2.25}, path="store")
@@ -742,6 +759,7 @@ def queries() -> dict:
         "filter_series_known": bench(_known_series),
         "filter_series_unknown": bench(_unknown_series),
         "benchmarkable_series": q_benchmarkable_series,
+        "gram_sums": q_gram_sums,
         "difference_order": q_difference_order,
         "ar1_fit": q_ar1_fit,
         "ar1_forecast": q_ar1_forecast,
@@ -752,6 +770,7 @@ def queries() -> dict:
         "to_ds_y": q_to_ds_y,
         "sequences": q_sequences,
         "last_sequence": q_last_sequence,
+        "sequence_length_guard": q_sequence_length_guard,
         "sequence_fit": q_sequence_fit,
         "sequence_forecast": q_sequence_forecast,
         "stochastic_forecast": q_stochastic_forecast,
@@ -778,6 +797,7 @@ def queries() -> dict:
         "distinct_series": q_distinct_series,
         "untrained_pairs": q_untrained_pairs,
         "attach_models": q_attach_models,
+        "fitted_guard": q_fitted_guard,
         "training_report": q_training_report,
         "training_totals": q_training_totals,
         "series_totals": q_series_totals,
