@@ -101,8 +101,12 @@ def test_full_then_single_then_forecast_only(spark, bars, tmp_path):
 
 
 def test_one_failing_model_does_not_stop_the_others(spark, bars, tmp_path):
-    got = run.run(spark, bars, str(tmp_path), models=["broken", "half"], horizon=3, with_benchmark=False).first()
+    got = run.run(
+        spark, bars, str(tmp_path), models=["broken", "half"], horizon=3, with_benchmark=False,
+        as_of=datetime.date(2019, 7, 1),
+    ).first()
     assert got.success and got.models_trained == 2
+    assert load_series(spark, f"{tmp_path}/bars").agg(F.max("date")).first()[0] < datetime.date(2019, 7, 1)
     report = by_key(spark.read.json(f"{tmp_path}/training_report"), "series", "model")
     assert not report[("A", "broken")].success and report[("A", "broken")].error == "no luck"
     totals = spark.read.json(f"{tmp_path}/training_totals").first()
