@@ -12,7 +12,7 @@ from barline.operators.metrics import aggregate_summary, benchmark_table, evalua
 from barline.operators.pairs import all_pairs, attach_models, benchmarkable_series, distinct_series, untrained_pairs
 from barline.operators.registry import get
 from barline.schema import MODEL_PARAMS, MODELS, SERIES
-from barline.sources.tables import read_model_params, write_benchmark, write_model_params
+from barline.sources.tables import read_benchmark, read_model_params, write_benchmark, write_model_params
 
 
 def fit_models(scaled: DataFrame, models: list[str] = MODELS) -> DataFrame:
@@ -95,8 +95,9 @@ def run_benchmark(
     params: DataFrame, scaled: DataFrame, scaler: DataFrame, models: list[str] = MODELS,
     path: str | None = None, summary_path: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Benchmark table and summary; stored when paths are given."""
+    """Benchmark table and summary; stored when paths are given, and then read from there."""
     table = benchmark(params, scaled, scaler, models)
     if path and summary_path:
         write_benchmark(table, path, summary_path)
+        table = read_benchmark(scaled.sparkSession, path)
     return table, aggregate_summary(table)

@@ -40,11 +40,11 @@ def read_all_forecasts(spark: SparkSession, path: str, fallback: str | None = No
 
 
 def write_benchmark(bench: DataFrame, path: str, summary_path: str) -> None:
-    """Benchmark as CSV under the published header and its summary as JSON."""
+    """Benchmark as CSV under the published header and, from the stored rows, its summary as JSON."""
     bench.select(
         F.col(SERIES).alias("ticker"), "model", *[F.col(m).alias(m.upper()) for m in METRICS], "rmse_vs_naive_pct"
     ).write.mode("overwrite").options(**_CSV).csv(path)
-    aggregate_summary(bench).write.mode("overwrite").json(summary_path)
+    aggregate_summary(read_benchmark(bench.sparkSession, path)).write.mode("overwrite").json(summary_path)
 
 
 def read_benchmark(spark: SparkSession, path: str) -> DataFrame | None:
@@ -81,7 +81,8 @@ def write_training_report(report: DataFrame, path: str, totals_path: str) -> Non
     Folding all records into the totals row would put the whole report into one task.
     """
     report.write.mode("overwrite").json(path)
-    training_totals(report).write.mode("overwrite").json(totals_path)
+    stored = report.sparkSession.read.schema(report.schema).json(path)
+    training_totals(stored).write.mode("overwrite").json(totals_path)
 
 
 def write_model_params(params: DataFrame, path: str) -> None:
