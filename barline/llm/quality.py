@@ -177,9 +177,9 @@ def grouped(rows: DataFrame) -> DataFrame:
     by_lang = Window.partitionBy("lang_key")
     sizes = sizes.withColumn("pool", F.sum(F.when(small, F.col("n"))).over(by_lang))
     sizes = sizes.withColumn("to", F.when(~small, F.col("group")).when(F.col("pool") >= SMALL, F.to_json(F.array("lang_key"))).otherwise("rest"))
-    rest = sizes.where("to = 'rest'").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rest"))
-    sizes = sizes.crossJoin(rest).select(  # one row on the right side
-        "group", F.when((F.col("to") != "rest") | (F.col("rest") >= SMALL), F.col("to")).alias("to"))
+    rest = sizes.agg(F.coalesce(F.sum(F.when(F.col("to") == "rest", F.col("n"))), F.lit(0)).alias("rest"))
+    sizes = store(sizes.withColumn("rest", rest.scalar()).select(
+        "group", F.when((F.col("to") != "rest") | (F.col("rest") >= SMALL), F.col("to")).alias("to")), "groups")
     return rows.join(sizes, "group").drop("lang_key", "group").withColumnRenamed("to", "group")
 
 

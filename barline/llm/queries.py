@@ -6,16 +6,32 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barline.llm import bpe, jaccard, language, mixing, quality
+from barline.llm import bpe, chat, jaccard, language, mixing, quality, topk, urls
 from barline.llm.common import fold, store, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
+    return topk.search(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.joined(table(spark, sf_dir, "documents"))
 
 
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
+    return chat.digests(chat.formatted(rows.unionByName(extra)))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     measured = store(quality.measure(docs).drop("text"), "measured")
@@ -42,4 +58,4 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     """The query of each operator by its name."""
     return {f.__name__: f for f in (
-        op3_ngram_jaccard_join, op7_quality_rules, op8_language_id, op9_byte_bpe, op10_mixing)}
+        op1_exact_topk, op2_url_filters, op3_ngram_jaccard_join, op4_chat_formatting, op7_quality_rules, op8_language_id, op9_byte_bpe, op10_mixing)}

@@ -3,6 +3,79 @@
 from __future__ import annotations
 
 
+OP1 = """
+WITH good AS (
+  SELECT vec_id, [floor(64 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = len(embedding)),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM good q JOIN good c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+OP2 = """
+WITH rest AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (
+  SELECT page_id,
+         translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+bad AS (
+  SELECT doc_id, max(CASE WHEN toxic = 1 OR quality = 0 THEN 1 WHEN toxic IS NOT NULL OR quality IS NOT NULL THEN 0 END) AS bad
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+h0 AS (
+  SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad, string_split(host, '.') AS l
+  FROM parts LEFT JOIN bad ON page_id = doc_id GROUP BY host),
+h1 AS (
+  SELECT host, n, bad, list_aggregate(l[greatest(len(l) - 1, 1):], 'string_agg', '.') IN ('co.uk', 'org.uk', 'com.au', 'co.jp', 'com.br') AS wide, l FROM h0),
+hosts AS (
+  SELECT host, n, bad,
+         list_aggregate(l[greatest(len(l) - CASE WHEN wide THEN 2 ELSE 1 END, 1):], 'string_agg', '.') AS domain,
+         list_aggregate(l[greatest(len(l) - CASE WHEN wide THEN 1 ELSE 0 END, 1):], 'string_agg', '.') AS suffix FROM h1),
+domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY domain, suffix),
+ends AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, FROM domains GROUP BY suffix),
+e1 AS (SELECT *, (SELECT (coalesce(sum(bad), 0) + 0.5::DOUBLE) / (coalesce(sum(n), 0) + 1) FROM ends) AS p FROM ends),
+es AS (SELECT {strength} AS s FROM e1),
+e2 AS (SELECT suffix, (bad + s * p) / (n + s) AS p FROM e1, es),
+d1 AS (SELECT domain, n, bad, p FROM domains JOIN e2 USING (suffix)),
+ds AS (SELECT {strength} AS s FROM d1),
+d2 AS (SELECT domain, (bad + s * p) / (n + s) AS p FROM d1, ds),
+x1 AS (SELECT host, n, bad, p FROM hosts JOIN d2 USING (domain)),
+xs AS (SELECT {strength} AS s FROM x1),
+x2 AS (SELECT host, n + s AS w, (bad + s * p) / (n + s) AS m FROM x1, xs),
+bounds AS (SELECT host, m - 2.0 * sqrt(m * (1 - m) / (w + 1)) AS bound FROM x2),
+ruled AS (
+  SELECT page_id, host, path, CASE
+    WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM parts)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+    WHEN bound > 0.5 THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled LEFT JOIN bounds USING (host)
+""".replace("{strength}", """coalesce(1 / least(greatest(
+    CASE WHEN sum(n * p * (1 - p) * (n - 1)) = 0 THEN NULL ELSE
+      (sum((bad - n * p) * (bad - n * p)) - sum(n * p * (1 - p))) / sum(n * p * (1 - p) * (n - 1)) END, 0.001), 0.999) - 1, 1.0)""")
+
+OP4 = r"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+lengths AS (
+  SELECT *, 15 + length(CASE WHEN role IN ('user', 'assistant', 'system', 'tool') THEN role ELSE '@' || url_encode(role) END)
+            + length(regexp_replace(text, '(\\*)(### |</turn>)', '\\\1\2', 'g')) AS chars FROM said)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       length(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM lengths GROUP BY conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL by the name of the query."""
-    return {}
+    return {"op1_exact_topk": OP1, "op2_url_filters": OP2, "op4_chat_formatting": OP4}
