@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barline.llm import bpe, chat, jaccard, language, mixing, quality, topk, urls
+from barline.llm import bpe, chat, jaccard, language, lm, mixing, quality, topk, toxicity, urls
 from barline.llm.common import fold, store, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -32,6 +32,21 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.formatted(rows.unionByName(extra)))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"), ~held_out)
+    return toxicity.score(docs, model).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 10) == 0
+    return lm.score(docs, lm.learn(docs, ~held_out)).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     measured = store(quality.measure(docs).drop("text"), "measured")
@@ -58,4 +73,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     """The query of each operator by its name."""
     return {f.__name__: f for f in (
-        op1_exact_topk, op2_url_filters, op3_ngram_jaccard_join, op4_chat_formatting, op7_quality_rules, op8_language_id, op9_byte_bpe, op10_mixing)}
+        op1_exact_topk, op2_url_filters, op3_ngram_jaccard_join, op4_chat_formatting,
+        op5_toxicity, op6_lm_scoring, op7_quality_rules, op8_language_id, op9_byte_bpe, op10_mixing)}
