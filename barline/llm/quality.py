@@ -6,8 +6,8 @@
 The estimate starts from medians and quartile ranges and takes concentration steps: distances of all rows, the nearest
 ``SHARE`` of each group, their mean and covariance.  A step is one aggregation by group and distance bin, so a group of
 any size becomes a few hundred partial sums, and the nearest share is a prefix of its bins.  Distances are finally scaled
-so that a group's median is that of the chi-square distribution.  Variances have floors, without which a group that is
-constant in one statistic would reject any other value.
+down where a group's median is above that of the chi-square distribution.  Floors are added to the variances, without
+which a group that is constant in one statistic, or in a combination of them, would reject any other value.
 
 Groups below ``SMALL`` rows are pooled by language, and languages that remain below it with each other; if even that
 pool is small, nothing is rejected by distance.  Null languages and sources are groups of their own.  Null texts count
@@ -31,7 +31,7 @@ SMALL = 50  # rows below which a group has no estimate of its own
 SHARE = 0.75  # of a group's rows that the estimate rests on
 STEPS = 4  # concentration steps
 LIMIT = 60.0  # largest squared distance that is kept; under normality of 7 statistics one in 10^10 is beyond it
-#: Statistic, and the smallest standard deviation it is given.
+#: Statistic, and the standard deviation that is added to what its group has.
 FLOORS = {"log_words": 0.5, "log_word_chars": 0.1, "symbols": 0.06, "dup_lines": 0.08, "repeats": 0.1, "capitals": 0.06, "variety": 0.06}
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals", "n_distinct"]
 _D = len(FLOORS)
@@ -110,9 +110,7 @@ def _distance(x: str, mean: str, inverse: str) -> Column:
 
 
 def _invert(mean: np.ndarray, covariance: np.ndarray) -> tuple[list, list]:
-    floor = np.square(list(FLOORS.values()))
-    lift = np.maximum(floor - np.diag(covariance), 0)
-    inverse = np.linalg.inv(covariance + np.diag(lift))
+    inverse = np.linalg.inv(covariance + np.diag(np.square(list(FLOORS.values()))))
     return mean.tolist(), [float(inverse[i, j]) for i, j in _PAIRS]
 
 
@@ -162,7 +160,7 @@ def fit(rows: DataFrame) -> DataFrame:
             F.array(*(F.sum(F.col("two")[p]) for p in range(len(_PAIRS)))).alias("two"))
         fitted = store(nearest.mapInPandas(_from_sums, _FITTED), "mcd")
     half = _bins(rows, fitted).where(F.col("before") < F.ceil(F.col("all") / 2)).groupBy("group").agg(
-        (_MEDIAN / F.greatest(F.max("d2"), F.lit(1e-9))).alias("scale"))
+        (_MEDIAN / F.greatest(F.max("d2"), F.lit(_MEDIAN))).alias("scale"))
     return store(fitted.join(half, "group"), "mcd")
 
 
