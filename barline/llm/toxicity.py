@@ -183,9 +183,9 @@ def lexicon(taught: DataFrame) -> tuple[dict[str, float], frozenset]:
     sums = made.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("bad")).first()
     n, bad = sums["n"], sums["bad"]
     counts = made.mapInArrow(_distinct, "word string, toxic long").groupBy("word").agg(F.count("*").alias("n"), F.sum("toxic").alias("bad"))
-    odds = F.log((F.col("bad") + 0.5) / (bad - F.col("bad") + 0.5)) - F.log(
-        (F.col("n") - F.col("bad") + 0.5) / (n - bad - (F.col("n") - F.col("bad")) + 0.5))
-    doubt = F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("n") - F.col("bad") + 0.5))
+    cells = [F.col("bad") + 0.5, bad - F.col("bad") + 0.5, F.col("n") - F.col("bad") + 0.5, n - bad - (F.col("n") - F.col("bad")) + 0.5]
+    odds = F.log(cells[0] / cells[1]) - F.log(cells[2] / cells[3])
+    doubt = F.sqrt(sum((1 / c for c in cells[1:]), 1 / cells[0]))
     terms = counts.where(F.col("bad") >= max(3, 0.005 * bad)).withColumn("weight", odds - 1.64 * doubt).where("weight > 1.5")
     rows = terms.orderBy(F.desc("weight"), "word").limit(TERMS).select("word", "weight").collect()
     found = {r["word"]: float(r["weight"]) for r in rows}
