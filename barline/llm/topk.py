@@ -5,7 +5,7 @@ about ``SHARD`` vectors.  A tile is one block against one shard: a matrix produc
 Lists of a query are merged ``FAN_IN`` at a time until one is left, so no task sees more than a tile or a few lists.
 
 The score is the integer inner product, exact: products whose sums could leave the 53 bits of a double are computed on
-Python integers, and scores beyond 64 bits stop at the ends of that range.  Equal scores are ordered by the smaller
+Python integers, and scores beyond 64 bits stop at 2^63 - 1 or its negative.  Equal scores are ordered by the smaller
 vec_id.  Vectors that are null, empty, or hold null or non-finite components take no part, nor do rows without a vec_id.
 Rows that share a vec_id are one vector, the smallest of them.  Vectors meet those of their own length only.  Without
 candidates a query has no rows.
@@ -51,8 +51,8 @@ def _products(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     if top[0] * top[1] * queries.shape[1] < 2.0**53:
         return queries @ candidates.T
     whole = [np.array([[int(c) for c in row] for row in m], object) for m in (queries, candidates)]
-    ends = np.iinfo(np.int64)
-    return np.clip(whole[0] @ whole[1].T, ends.min, ends.max).astype(np.int64)
+    end = np.iinfo(np.int64).max
+    return np.clip(whole[0] @ whole[1].T, -end, end).astype(np.int64)
 
 
 def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
