@@ -30,7 +30,7 @@ SLOTS = 1024  # blocks of a shard
 LIMIT = 3  # times a source's size
 WEIGHTS = (1.0, 2.0, 3.0)  # of the sources in order, repeating
 SEED = 7
-_BUCKET = 2000  # rows, at least, of a bucket of the packing order
+_BUCKET = 500  # rows, at least, of a bucket of the packing order
 
 
 def targets(sizes: list[int], weights: list[float], limit: float = LIMIT) -> list[float]:
