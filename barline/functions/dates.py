@@ -24,11 +24,12 @@ def business_dates(anchor: Column, n: int | Column) -> Column:
 
 
 def utc_stamp(ts: Column) -> Column:
-    """``YYYY-MM-DDTHH:MM:SSZ``; the session time zone must be UTC."""
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """``YYYY-MM-DDTHH:MM:SSZ``, whatever the time zone of the session."""
+    return F.date_format(F.to_utc_timestamp(ts, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
 def last_updated(generated_at: Column) -> Column:
     """Aggregate: the newest generation stamp in display form, ``Unknown`` when there is none."""
-    shown = F.date_format(F.to_timestamp(F.max(generated_at)), "yyyy-MM-dd HH:mm 'UTC'")
+    newest = F.to_utc_timestamp(F.to_timestamp(F.max(generated_at)), F.current_timezone())
+    shown = F.date_format(newest, "yyyy-MM-dd HH:mm 'UTC'")
     return F.coalesce(shown, F.lit("Unknown"))

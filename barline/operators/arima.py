@@ -20,7 +20,6 @@ from barline.schema import CONFIDENCE, HORIZON, KPSS_CRITICAL, MAX_D, MAX_P, MAX
 from barline.sources.layout import cut_lineage
 
 LONG_AR = 10  # lags of the first-stage autoregression that supplies residuals
-TAIL = max(MAX_P, MAX_Q)
 
 FIT = T.StructType([
     T.StructField("order", T.ArrayType(T.DoubleType())),
@@ -110,7 +109,7 @@ def _max_root(coef: np.ndarray) -> np.ndarray:
     return np.abs(np.linalg.eigvals(companion)).max(axis=1)
 
 
-def _select_order(max_p: int, max_q: int, fixed: tuple[int, int] | None):
+def _select_order(max_p: int, max_q: int, fixed: tuple[int, int] | None, tail: int):
     """Scalar Pandas UDF: Gram array and d to the fit with the smallest AIC among all (p, q).
 
     Fits that are not stationary or not invertible are passed over.
@@ -152,7 +151,7 @@ def _select_order(max_p: int, max_q: int, fixed: tuple[int, int] | None):
         score = np.where(found, score, np.nan)
 
         def padded(part):
-            out = np.zeros((size, TAIL))
+            out = np.zeros((size, tail))
             out[:, : part.shape[1]] = part
             return list(out)
 
@@ -184,8 +183,7 @@ def fit_arima(
     """
     if order:
         max_p, _, max_q = order
-    if max(max_p, max_q) > TAIL:
-        raise ValueError(f"orders above {TAIL} are not supported")
+    tail = max(max_p, max_q, 1)  # values of the state that a forecast looks back on
     history = scaled if origin == "last" else train_plus_val(scaled)
     rows = history.select(SERIES, "date", "split", F.col(TARGET).alias("y"))
     if order:
@@ -216,8 +214,8 @@ def fit_arima(
     lagged = rows.withColumns({
         **{c: lag("w", i) for i, c in enumerate(w_lags, 1)},
         **{c: lag("e", i) for i, c in enumerate(e_lags, 1)},
-        "w_tail": F.array(F.col("w"), *[lag("w", i) for i in range(1, TAIL)]),
-        "e_tail": F.array(F.col("e"), *[lag("e", i) for i in range(1, TAIL)]),
+        "w_tail": F.array(F.col("w"), *[lag("w", i) for i in range(1, tail)]),
+        "e_tail": F.array(F.col("e"), *[lag("e", i) for i in range(1, tail)]),
         "dy": F.col("y") - lag("y"),
     })
     gram = gram_sums(lagged.where("split = 'train'"), _array(w_lags + e_lags), F.col("w"))
@@ -227,7 +225,7 @@ def fit_arima(
         F.max_by(F.struct("y", "dy", "w_tail", "e_tail"), "date").alias("s"),
     )
     fixed = (order[0], order[2]) if order else None
-    fit = _select_order(max_p, max_q, fixed)("gram", "d")
+    fit = _select_order(max_p, max_q, fixed, tail)("gram", "d")
 
     def filled(c: str) -> Column:
         return F.transform(F.col(c), lambda v: F.coalesce(v, F.lit(0.0)))
@@ -260,10 +258,11 @@ def _path(horizon: Column) -> Column:
     """Array of (step, forecast, variance factor) from the parameter map, by recursion over the steps."""
     p = F.col("params")
     ar, ma, const, d = p["ar"], p["ma"], p["const"][0], p["order"][1]
-    zeros = F.array_repeat(F.lit(0.0), TAIL)
+    tail = F.size(p["w"])
+    zeros = F.array_repeat(F.lit(0.0), tail)
 
     def push(values: Column, new: Column) -> Column:
-        return F.slice(F.concat(F.array(new), values), 1, TAIL)
+        return F.slice(F.concat(F.array(new), values), F.lit(1), tail)
 
     def by_d(zero: Column, first: Column, second: Column) -> Column:
         return F.when(d == 0, zero).when(d == 1, first).otherwise(second)

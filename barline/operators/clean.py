@@ -24,21 +24,22 @@ def series_profile(bars: DataFrame) -> DataFrame:
 def validate_series(bars: DataFrame, universe: DataFrame | None = None, min_rows: int = MIN_RAW_ROWS) -> DataFrame:
     """One verdict per series; the first failing check wins.
 
-    With a universe, a series that has no row at all appears as ``empty``.  The column check concerns
-    the whole frame, because the rows of a panel share one schema.
+    With a universe, a series that has no row at all appears as ``empty``.  A column is missing for a
+    series if the frame does not have it, or, but for the target, if the series has no value in it.
     """
-    missing = [c for c in OHLCV if c not in bars.columns]
-    close = F.col(TARGET) if TARGET in bars.columns else F.lit(None).cast("double")
-    stats = bars.groupBy(SERIES).agg(
-        F.count("*").alias("n_rows"),
-        F.count(close).alias("n_close"),
-    )
+    here = [c for c in OHLCV if c in bars.columns]
+    stats = bars.groupBy(SERIES).agg(F.count("*").alias("n_rows"), *[F.count(c).alias(f"n_{c}") for c in here])
     if universe is not None:
         stats = universe.select(SERIES).join(stats, SERIES, "left")
-    n, filled = F.coalesce("n_rows", F.lit(0)), F.coalesce("n_close", F.lit(0))
+    n = F.coalesce("n_rows", F.lit(0))
+    filled = F.coalesce(f"n_{TARGET}", F.lit(0)) if TARGET in here else F.lit(0)
+    missing = F.array_compact(F.array(*[
+        F.when(F.lit(c not in here) | (F.col(f"n_{c}") == 0) if c in here and c != TARGET else F.lit(c not in here), c)
+        for c in OHLCV
+    ]))
     verdict = (
         F.when(n == 0, "empty")
-        .when(F.lit(bool(missing)), "missing columns: " + ", ".join(missing))
+        .when(F.size(missing) > 0, F.concat(F.lit("missing columns: "), F.array_join(missing, ", ")))
         .when(filled == 0, "target all null")
         .when(n < min_rows, "too few rows")
         .otherwise("ok")
@@ -64,13 +65,16 @@ def trailing_window(bars: DataFrame, as_of: datetime.date | Column, years: int =
 
 
 def drop_duplicate_dates(bars: DataFrame, ordinal: str = "ingest_ordinal") -> DataFrame:
-    """One row per (series, date): the one that came first by ``ordinal``.
+    """One row per (series, date): the one that came first by ``ordinal``, or where rows carry none the
+    smallest one, value column by value column with NULL first.
 
-    A hash aggregate over fixed-width buffers, so a date repeated without limit is reduced on the map
+    An aggregate whose buffers hold one row, so a date repeated without limit is reduced on the map
     side and no task ever sees all its copies.
     """
     values = [c for c in bars.columns if c not in (SERIES, DATE, ordinal)]
-    return bars.groupBy(SERIES, DATE).agg(*[F.min_by(c, ordinal).alias(c) for c in values])
+    if ordinal in bars.columns:
+        return bars.groupBy(SERIES, DATE).agg(*[F.min_by(c, ordinal).alias(c) for c in values])
+    return bars.groupBy(SERIES, DATE).agg(F.min(F.struct(*values)).alias("_row")).select(SERIES, DATE, "_row.*")
 
 
 def fill_forward(c: str) -> Column:

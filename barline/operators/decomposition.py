@@ -27,7 +27,6 @@ CHANGEPOINT_RANGE = 0.8
 YEARLY_ORDER, YEARLY_DAYS = 10, 365.25
 WEEKLY_ORDER, WEEKLY_DAYS = 3, 7.0
 
-MIN_ROWS = 2 * (N_CHANGEPOINTS + 2)
 
 
 def to_ds_y(df: DataFrame, value: str = "close") -> DataFrame:
@@ -91,7 +90,6 @@ def _ridge(n_x: int, free: int, prior: float, with_const: bool):
         rough = np.where(np.isfinite(rough), rough, 0.0)
         strength = np.maximum(deviation(rough) ** 2 / prior**2, least)
         coef, ok = solve(a + np.eye(a.shape[1]) * (penalised * strength[:, None])[:, None, :], b)
-        ok &= g[:, 0, 0] >= MIN_ROWS
         out = np.column_stack([coef, deviation(np.where(ok[:, None], coef, 0.0))])
         return pd.Series([list(r) if o else None for r, o in zip(out, ok)])
 

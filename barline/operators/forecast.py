@@ -77,6 +77,11 @@ def forecast_long(
         fc = check_forecast(fc, name).select(SERIES, "model", "step", *BANDS)
         parts.append(in_prices(fc, name, scaler, BANDS))
     anchors = last_known(scaled, origin).select(SERIES, "last_known_date")
+    if origin == "last":  # parameters that end earlier would give their path other dates
+        ends = params.groupBy(SERIES).agg(F.min("fit_end").alias("fit_end"))
+        other = F.raise_error(F.lit("the parameters were not fitted up to the last bar")).cast("date")
+        anchors = anchors.join(ends, SERIES).select(
+            SERIES, F.when(F.col("fit_end") == F.col("last_known_date"), F.col("last_known_date")).otherwise(other).alias("last_known_date"))
     dated = clamp_bands(combine_forecasts(parts)).join(anchors, SERIES).select(
         SERIES, "model", "step",
         nth_business_day(F.col("last_known_date"), F.col("step")).alias(DATE),

@@ -20,8 +20,9 @@ def _partial_sums(batches):
     for pdf in batches:
         if pdf.empty:
             continue
-        keys = pdf["key"].to_numpy()
-        rows = np.stack(pdf["row"].to_numpy())
+        order = np.argsort(pdf["key"].to_numpy(), kind="stable")  # one matrix per key, however the rows lie
+        keys = pdf["key"].to_numpy()[order]
+        rows = np.stack(pdf["row"].to_numpy())[order]
         upper = np.triu_indices(rows.shape[1])
         edges = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1], True])
         runs = [rows[a:b] for a, b in zip(edges[:-1], edges[1:])]
@@ -33,7 +34,7 @@ def gram_sums(df: DataFrame, x: Column, y: Column, key: str = SERIES) -> DataFra
 
     ``x`` is an array of equal length on every row.  Rows with a missing regressor or target are left
     out.  The first element is the row count, the last the sum of squares of the target.  Each Arrow
-    batch is reduced to one partial matrix per run of equal keys, so a key of any size is summed
+    batch is reduced to one partial matrix per key, so a key of any size is summed
     piecewise before the shuffle.
     """
     row = F.concat(F.array(F.lit(1.0)), x, F.array(y.cast("double")))

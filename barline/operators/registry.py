@@ -16,7 +16,9 @@ from barline.schema import MODELS, SERIES
 class Forecaster:
     """A model as functions from tables to tables, for all series at once.
 
-    ``fit(scaled)`` returns model parameter rows (see ``schema.MODEL_PARAMS``), ``forecast(params,
+    ``fit(scaled)`` returns model parameter rows (see ``schema.MODEL_PARAMS``); one that can continue to
+    another origin takes ``origin`` as well.  ``pooled`` tells that a series' parameters depend on the
+    other series, so all are needed to fit one.  ``forecast(params,
     horizon, confidence)`` rows of (series, model, step, forecast, lower, upper) and ``point(params,
     horizon)`` the same without band; there the horizon is a column.  ``scaled`` tells whether the
     forecasts are in scaled units or in prices.  A library that works on one series at a time can sit
@@ -28,6 +30,7 @@ class Forecaster:
     forecast: Callable[..., DataFrame]
     point: Callable[..., DataFrame]
     scaled: bool = True
+    pooled: bool = False
 
 
 _known = {
@@ -37,7 +40,8 @@ _known = {
         decomposition.forecast_decomposition, scaled=False,
     ),
     "lstm": Forecaster(
-        "lstm", sequence.fit_sequence_regression, sequence.stochastic_forecast, sequence.forecast_recursive
+        "lstm", sequence.fit_sequence_regression, sequence.stochastic_forecast, sequence.forecast_recursive,
+        pooled=True,
     ),
 }
 
@@ -52,6 +56,12 @@ def get(name: str) -> Forecaster:
     return _known[name]
 
 
+def fit(name: str, scaled: DataFrame, origin: str = "val_end") -> DataFrame:
+    """Parameter rows of a model, its state continued to the origin."""
+    forecaster = get(name)
+    return forecaster.fit(scaled) if origin == "val_end" else forecaster.fit(scaled, origin=origin)
+
+
 def model_summary(params: DataFrame) -> DataFrame:
     """One line of text per fitted model."""
     p = F.col("params")

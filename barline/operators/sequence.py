@@ -8,6 +8,8 @@ that loss follows from the Gram matrix of the validation rows, without another p
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -27,8 +29,6 @@ from barline.schema import (
 PENALTIES = [1e-4, 1e-3, 1e-2, 1e-1, 1.0]
 TOO_SHORT = "train split not longer than the look-back"
 BLOCK = 2000  # windows that are laid out at a time
-ROUNDS = 32  # partial sums that the last round adds up
-MAX_WIDTH = 2000  # bound of the regression width, and with it of everything that is broadcast
 
 
 def build_sequences(df: DataFrame, cols: list[str] = FEATURES, look_back: int = LOOK_BACK) -> DataFrame:
@@ -83,12 +83,13 @@ def _window_sums(k: int, look_back: int, target: int):
         for pdf in batches:
             if pdf.empty:
                 continue
-            names = list(zip(pdf["series"], pdf["split"]))
+            series, splits = pdf["series"].to_numpy(), pdf["split"].to_numpy()
             values = pdf[[f"x{i}" for i in range(k)]].to_numpy(dtype=float)
-            edges = [0, *(i for i in range(1, len(names)) if names[i] != names[i - 1]), len(names)]
+            changes = np.flatnonzero((series[1:] != series[:-1]) | (splits[1:] != splits[:-1])) + 1
+            edges = [0, *changes.tolist(), len(series)]
             for a, b in zip(edges[:-1], edges[1:]):
-                rows = values[a:b] if names[a] != key else np.vstack([tail, values[a:b]])
-                key, tail = names[a], rows[-look_back:]
+                rows = values[a:b] if (series[a], splits[a]) != key else np.vstack([tail, values[a:b]])
+                key, tail = (series[a], splits[a]), rows[-look_back:]
                 for at in range(0, len(rows) - look_back, BLOCK):
                     part = rows[at:at + BLOCK + look_back]
                     windows = np.lib.stride_tricks.sliding_window_view(part[:-1], look_back, axis=0)
@@ -105,15 +106,17 @@ def _window_sums(k: int, look_back: int, target: int):
 def _grams(scaled: DataFrame, cols: list[str], look_back: int) -> dict[str, np.ndarray]:
     """Gram matrices of (1, window, step) over the train and the val rows, in one pass.
 
-    Every task sends one matrix per split; they are added in two rounds, so no task receives them all.
+    Every task sends one matrix per split; they are added in two rounds over the square root of the
+    tasks, so no task receives them all.
     """
+    rounds = math.isqrt(int(scaled.sparkSession.conf.get("spark.sql.shuffle.partitions"))) + 1
     width = look_back * len(cols) + 2
     rows = scaled.where(F.col("split") != "test").select(
         SERIES, "split", F.row_number().over(by_date()).alias("k"), *[F.col(c).alias(f"x{i}") for i, c in enumerate(cols)]
     )
     parts = rows.mapInPandas(
         _window_sums(len(cols), look_back, cols.index(TARGET)), "split string, part array<double>"
-    ).select("split", (F.spark_partition_id() % ROUNDS).alias("slot"), array_to_vector("part").alias("part"))
+    ).select("split", (F.spark_partition_id() % rounds).alias("slot"), array_to_vector("part").alias("part"))
     first = parts.groupBy("split", "slot").agg(Summarizer.sum(F.col("part")).alias("part"))
     total = first.groupBy("split").agg(vector_to_array(Summarizer.sum(F.col("part"))).alias("part"))
     return {r["split"]: unpack([r["part"]], width)[0] for r in total.collect()}
@@ -126,8 +129,6 @@ def fit_pooled(scaled: DataFrame, cols: list[str] = FEATURES, look_back: int = L
     no train split is longer than the look-back.
     """
     width = look_back * len(cols)
-    if width > MAX_WIDTH:
-        raise ValueError(f"{width} regressors exceed the limit of {MAX_WIDTH}")
     grams = _grams(scaled, cols, look_back)
     train, val = grams.get("train"), grams.get("val")
     if train is None:
@@ -172,7 +173,7 @@ def fit_sequence_regression(
         "coef array<double>, mean array<double>, const array<double>, shape array<double>, penalty array<double>",
     )
     names = ["coef", "mean", "const", "shape", "penalty"]
-    # One row of fixed width (see MAX_WIDTH), so this product is a bounded broadcast.
+    # One row, as wide as the caller made the regression, so this product is a bounded broadcast.
     return rows.crossJoin(F.broadcast(shared)).select(
         *head,
         F.when(error.isNull(), F.create_map(

@@ -23,9 +23,8 @@ class Panel:
 
 
 def clean(bars: DataFrame) -> DataFrame:
-    """Unique dates, filled gaps, clipped closes.  Bars without an ordinal are taken as unique."""
-    unique = drop_duplicate_dates(bars) if "ingest_ordinal" in bars.columns else bars
-    return unique.transform(fill_gaps).transform(drop_incomplete).transform(clip_outliers, CLIP_FACTOR)
+    """Unique dates, filled gaps, clipped closes."""
+    return bars.transform(drop_duplicate_dates).transform(fill_gaps).transform(drop_incomplete).transform(clip_outliers, CLIP_FACTOR)
 
 
 def split_features(bars: DataFrame, min_rows: int = MIN_FEATURE_ROWS) -> DataFrame:

@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from barline.operators.forecast import forecast_test
 from barline.operators.metrics import aggregate_summary, benchmark_table, evaluate_models, naive_metrics
 from barline.operators.pairs import all_pairs, attach_models, benchmarkable_series, distinct_series, untrained_pairs
-from barline.operators.registry import get
+from barline.operators.registry import fit, get
 from barline.schema import MODEL_PARAMS, MODELS, SERIES
 from barline.sources.tables import read_benchmark, read_model_params, write_benchmark, write_model_params
 
 
-def fit_models(scaled: DataFrame, models: list[str] = MODELS) -> DataFrame:
+def fit_models(scaled: DataFrame, models: list[str] = MODELS, origin: str = "val_end") -> DataFrame:
     """Parameter rows of every (series, model), one job per model over all series."""
-    parts = [get(m).fit(scaled).select(*MODEL_PARAMS.names) for m in models]
+    parts = [fit(m, scaled, origin).select(*MODEL_PARAMS.names) for m in models]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -25,13 +25,14 @@ def fit_models(scaled: DataFrame, models: list[str] = MODELS) -> DataFrame:
 
 
 def train_all(
-    scaled: DataFrame, path: str, models: list[str] = MODELS, overwrite: bool = True
+    scaled: DataFrame, path: str, models: list[str] = MODELS, overwrite: bool = True, origin: str = "val_end",
 ) -> tuple[DataFrame, DataFrame]:
-    """Fit and store every (series, model); returns the stored parameters and the training report.
+    """Fit and store every (series, model); returns the parameters of these pairs and the training report.
 
-    Without ``overwrite`` only the pairs that have no stored parameters are fitted.  A series that
-    cannot be fitted carries its error; a model whose whole job fails is reported as failed for its
-    series and does not stop the others.
+    Without ``overwrite`` only the pairs that have no stored parameters are fitted; a pooled model sees
+    all series even then.  A series that cannot be fitted carries its error; a model whose whole job
+    fails is reported as failed for its series, does not stop the others, and has no parameters in the
+    result, whatever an earlier run stored.
     """
     spark = scaled.sparkSession
     for m in models:
@@ -40,21 +41,26 @@ def train_all(
     pairs = all_pairs(distinct_series(scaled), models)
     stored = read_model_params(spark, path)
     for m in models:
-        rows, started = scaled, time.time()
+        started = time.time()
         try:
+            missing = None
             if not overwrite and stored is not None:
-                missing = untrained_pairs(stored, pairs.where(F.col("model") == m))
+                missing = untrained_pairs(stored, pairs.where(F.col("model") == m)).select(SERIES)
                 if missing.isEmpty():
                     seconds[m] = 0.0
                     continue
-                rows = scaled.join(missing.select(SERIES), SERIES, "left_semi")
-            write_model_params(get(m).fit(rows).select(*MODEL_PARAMS.names), path)
+            some = missing is not None and not get(m).pooled
+            fitted = fit(m, scaled.join(missing, SERIES, "left_semi") if some else scaled, origin)
+            if missing is not None:
+                fitted = fitted.join(missing, SERIES, "left_semi")
+            write_model_params(fitted.select(*MODEL_PARAMS.names), path)
         except Exception as problem:  # whatever a forecaster raises must not stop the others
             problems[m] = str(problem).splitlines()[0]
         seconds[m] = round(time.time() - started, 2)
-    params = read_model_params(spark, path, models=models)
+    params = read_model_params(spark, path, models=[m for m in models if m not in problems])
     if params is None:
         params = spark.createDataFrame([], MODEL_PARAMS)
+    params = params.join(pairs, [SERIES, "model"], "left_semi")
     return params, training_report(pairs, params, seconds, problems, path)
 
 
@@ -69,7 +75,7 @@ def training_report(
             out = F.when(F.col("model") == name, value).otherwise(out)
         return out
 
-    joined = attach_models(pairs, params.where(~F.col("model").isin(list(problems or {}))) if problems else params)
+    joined = attach_models(pairs, params)
     success = F.col("status") == "ok"
     job_error = by_model(problems, "")
     return joined.select(

@@ -3,34 +3,62 @@
 from __future__ import annotations
 
 import datetime
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barline.functions.numeric import null_if_not_finite
-from barline.schema import DATE, MAX_AGE_HOURS, OHLCV, SERIES
-from barline.sources.layout import load_series, read_or_none, save_series
+from barline.schema import BARS, DATE, MAX_AGE_HOURS, OHLCV, SERIES
+from barline.sources.layout import BUCKETS, load_series, read_or_none, save_series
 
 _NAME = r"([^/]+)\.csv$"
 
 
+def _series_of(path: Column) -> Column:
+    """Series named by a file.  Paths are URI-escaped; a plus sign stands for itself."""
+    return F.regexp_extract(F.url_decode(F.regexp_replace(path, r"\+", "%2B")), _NAME, 1)
+
+
+def _headers(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
+    """(column names, files) of every header among the files under a path.
+
+    A header is the line that has a field named date.  Headers are few; the files are those that the
+    driver lists for a read anyway.
+    """
+    lines = spark.read.text(path, pathGlobFilter="*.csv")
+    is_header = F.lower("value").rlike(r'(^|,)\s*"?date"?\s*(,|$)')
+    found = lines.where(is_header).groupBy("value").agg(F.collect_set("_metadata.file_path").alias("files")).collect()
+    return [([c.strip().strip('"') for c in r["value"].lstrip("\ufeff").split(",")], sorted(r["files"])) for r in found]
+
+
 def read_bars(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """Bars from one file per series (``AAPL.csv``) or from a bar table.
 
-    Columns are matched by header name, whatever their case and order; every file must carry the same
-    header.  ``ingest_ordinal`` keeps the file order, so that duplicates can be resolved to the first.
+    Columns are matched by header name, whatever their case and order, file by file; a column that a
+    file does not have is NULL for its series.  ``ingest_ordinal`` keeps the file order, so that
+    duplicates can be resolved to the first.
     """
     if fmt != "csv":
         return load_series(spark, path)
-    header = spark.read.option("header", True).csv(path).schema
-    raw = spark.read.schema(header).option("header", True).option("enforceSchema", False).csv(path)
-    present = {c.lower(): c for c in header.names}
-    return raw.select(
-        F.regexp_extract(F.col("_metadata.file_path"), _NAME, 1).alias(SERIES),
-        F.col(f"`{present[DATE]}`").try_cast("date").alias(DATE),
-        *[null_if_not_finite(F.col(f"`{present[c]}`").try_cast("double")).alias(c) for c in OHLCV if c in present],
-        F.monotonically_increasing_id().alias("ingest_ordinal"),
-    )
+    parts = []
+    for names, files in _headers(spark, path):
+        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+        at = {c.lower(): f"c{i}" for i, c in reversed(list(enumerate(names)))}
+        raw = spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(
+            [unquote(f) for f in files])
+        parts.append(raw.select(
+            _series_of(F.col("_metadata.file_path")).alias(SERIES),
+            F.col(at[DATE]).try_cast("date").alias(DATE),
+            *[(null_if_not_finite(F.col(at[c]).try_cast("double")) if c in at else F.lit(None).cast("double")).alias(c)
+              for c in OHLCV],
+            F.monotonically_increasing_id().alias("ingest_ordinal"),
+        ))
+    if not parts:
+        return spark.createDataFrame([], T.StructType([*BARS.fields, T.StructField("ingest_ordinal", T.LongType())]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_panel(spark: SparkSession, path: str, universe: DataFrame, fmt: str = "csv") -> DataFrame:
@@ -45,11 +73,12 @@ def daily_bars(df: DataFrame, key: Column | str, ts: Column | str, value: Column
     is shuffled is at most one row per key, day and input partition, also for a dominating key.
     """
     v = null_if_not_finite(F.col(value) if isinstance(value, str) else value)
+    tie = F.col(tiebreak) if isinstance(tiebreak, str) else tiebreak
     named = df.select(
         (F.col(key) if isinstance(key, str) else key).alias(SERIES),
         F.to_date(ts).alias(DATE),
         v.alias("_v"),
-        (F.col(tiebreak) if isinstance(tiebreak, str) else tiebreak).alias("_t"),
+        F.when(v.isNotNull(), tie).alias("_t"),  # a tick without a value opens and closes no day
     )
     return named.groupBy(SERIES, DATE).agg(
         F.min_by("_v", "_t").alias("open"),
@@ -71,7 +100,7 @@ def stale_series(
     if fmt == "csv":
         files = read_or_none(spark, path, "binaryFile", pathGlobFilter="*.csv")
         loaded = None if files is None else files.select(
-            F.regexp_extract("path", _NAME, 1).alias(SERIES), F.col("modificationTime").alias("loaded_at")
+            _series_of(F.col("_metadata.file_path")).alias(SERIES), F.col("modificationTime").alias("loaded_at")
         )
     else:
         loaded = load_series(spark, path)
@@ -82,7 +111,7 @@ def stale_series(
     return wanted.join(fresh, SERIES, "left_anti")
 
 
-def write_bars(df: DataFrame, path: str, loaded_at: Column | None = None, buckets: int | None = None) -> None:
+def write_bars(df: DataFrame, path: str, loaded_at: Column | None = None, buckets: int = BUCKETS) -> None:
     """Store bars; given series replace their old rows, the others stay."""
     stamped = df.withColumn("loaded_at", loaded_at if loaded_at is not None else F.current_timestamp())
     save_series(stamped, path, buckets=buckets)

@@ -17,35 +17,40 @@ from pyspark.sql import functions as F
 from barline.schema import DATE, SERIES
 
 LAYOUT = ["buckets", "bucket"]
+BUCKETS = 32  # of a new table; for large panels pass what makes a bucket a few files
 
 
 def read_or_none(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame | None:
-    """The table, or None when there is none at the path."""
+    """The table, or None when nothing is at the path.  A table that is there but cannot be read is an error."""
     try:
         return spark.read.format(fmt).options(**options).load(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as problem:
+        if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # no folder, or an empty one
+            return None
+        raise
+
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names for intermediate tables, shared by all executors.
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder the session names for intermediate tables; a temporary one only in local mode."""
+    Unset in a local session, as in tests, it becomes a new temporary folder; on a cluster it has to be set.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None and spark.sparkContext.master.startswith("local"):
-        named = tempfile.mkdtemp(prefix="barline-")
+    if not named:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        named = "file://" + tempfile.mkdtemp(prefix="barline-")
         spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    return named.rstrip("/")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The rows as a table in the shared folder.
 
-    What follows reads the table: a lost executor costs no recomputation of the plan behind it, and its
-    real size guides the joins.  On a cluster that names no shared folder the plan stays as it is.
+    What follows reads the table: a lost executor costs no recomputation of the plan behind it, rows
+    that would differ between two evaluations are fixed, and their real size guides the joins.
     """
-    folder = shared_folder(df.sparkSession)
-    if folder is None:
-        return df
-    path = f"{folder}/cut-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -54,15 +59,18 @@ def _bucket(series, buckets):
     return F.pmod(F.xxhash64(series), buckets).cast("int")
 
 
-def save_series(df: DataFrame, path: str, extra: tuple[str, ...] = (), buckets: int | None = None) -> None:
+def save_series(
+    df: DataFrame, path: str, extra: tuple[str, ...] = (), buckets: int = BUCKETS, files: int = 1,
+) -> None:
     """Insert or replace whole series; the other series of the table stay.
 
     ``extra`` names further partition columns, such as the model: a (series, extra) group is then the
-    unit that is replaced.  A new table gets as many buckets as the session has shuffle partitions; the
-    count of an existing table is kept.
+    unit that is replaced.  ``buckets`` is a property that a table gets when it is created and keeps;
+    ``files`` is into how many files, by a hash of the series, a bucket is written.  The rows are
+    evaluated once.  Their buckets come to the driver, at most one row for each partition of the table,
+    so that only these partitions of the old table are read.
     """
     spark = df.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     old = read_or_none(spark, path)
     if old is not None:
         row = old.select("buckets").limit(1).collect()
@@ -71,12 +79,19 @@ def save_series(df: DataFrame, path: str, extra: tuple[str, ...] = (), buckets:
     rows = df.withColumns({"buckets": F.lit(buckets), "bucket": _bucket(F.col(SERIES), F.lit(buckets))})
     if old is not None:
         rows = cut_lineage(rows)
-        touched = rows.select(*extra, "bucket").distinct()
-        kept = old.join(touched, [*extra, "bucket"], "left_semi").join(rows.select(*keys), keys, "left_anti")
+        touched = rows.select(*extra, "bucket").distinct().collect()
+        in_touched = F.lit(False)
+        for group in sorted({tuple(r[: len(extra)]) for r in touched}):
+            own = F.col("bucket").isin([r["bucket"] for r in touched if tuple(r[: len(extra)]) == group])
+            for name, value in zip(extra, group):
+                own = own & (F.col(name) == F.lit(value))
+            in_touched = in_touched | own
+        kept = old.where(in_touched).join(rows.select(*keys).distinct(), keys, "left_anti")
         rows = kept.unionByName(rows, allowMissingColumns=True).select(rows.columns)
     order = [c for c in (*extra, "bucket", SERIES, DATE) if c in rows.columns]
+    file = F.pmod(F.xxhash64(SERIES, F.lit("file")), F.lit(files))
     (
-        rows.repartition(buckets, *extra, "bucket").sortWithinPartitions(*order)
+        rows.repartition(*extra, "bucket", file).sortWithinPartitions(*order)
         .write.partitionBy(*extra, *LAYOUT).mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .parquet(path)

@@ -7,18 +7,18 @@ from pyspark.sql import functions as F
 
 from barline.operators.metrics import METRICS, aggregate_summary
 from barline.schema import BENCHMARK, SERIES
-from barline.sources.layout import load_series, read_or_none, save_series
+from barline.sources.layout import BUCKETS, load_series, read_or_none, save_series
 
 # Published tables: those laid out by series, and plain ones with their format.
 BY_SERIES = {"bars": (), "features": (), "scaler": (), "scaled": (), "forecasts": (), "model_params": ("model",)}
 PLAIN = {"all_forecasts": "parquet", "benchmark": "csv", "benchmark_summary": "json",
-         "training_report": "json", "training_totals": "json", "run_summary": "json"}
+         "training_report": "json", "training_totals": "json", "rejected": "parquet", "run_summary": "json"}
 _CSV = {"header": True}
 
 
-def write_forecasts(wide: DataFrame, path: str) -> None:
+def write_forecasts(wide: DataFrame, path: str, buckets: int = BUCKETS) -> None:
     """Store the forecasts of the given series; those of other series stay."""
-    save_series(wide, path)
+    save_series(wide, path, buckets=buckets)
 
 
 def write_all_forecasts(wide: DataFrame, path: str, fmt: str = "parquet") -> None:

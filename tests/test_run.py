@@ -117,9 +117,10 @@ def test_runs_that_cannot_succeed(spark, bars, tmp_path):
     with pytest.raises(ValueError):
         run.run(spark, bars, str(tmp_path), mode="sometimes")
     empty = run.run(spark, spark.createDataFrame([], BARS), f"{tmp_path}/a").first()
-    assert not empty.success and empty.errors == ["No data fetched"]
+    assert not empty.success and empty.errors == [run.NO_DATA]
     tiny = run.run(spark, panel(spark, {"A": walk(60)}), f"{tmp_path}/b", min_rows=10).first()
-    assert not tiny.success and tiny.errors == ["Preprocessing failed for all series"]
+    assert not tiny.success and tiny.errors[-1] == run.NO_FEATURES
+    assert [tuple(r) for r in spark.read.parquet(f"{tmp_path}/b/rejected").collect()] == [("A", "preprocess", "too few complete rows")]
     unfitted = run.run(spark, bars, f"{tmp_path}/c", mode="forecast_only", models=["half"]).first()
     assert not unfitted.success and unfitted.series_forecast == 0
     wanted = pairs.all_pairs(bars.select("series").distinct(), ["half"])
