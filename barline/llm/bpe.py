@@ -26,10 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barline.llm.common import added, grown
+from barline.llm.common import added, by_size, grown
 
 LONG = 200  # bytes from which a pre-token is merged by itself
-CACHE = 1_000_000  # pre-tokens whose ids a task remembers
+CACHE = 400_000  # pre-tokens whose ids a task remembers
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -288,7 +288,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
         merges = Merges({})
         vars(merges).update(tables.value)
         encoder = Encoder(merges, pattern)
-        for batch in batches:  # whole batches: the more pre-tokens, the fewer rounds of the shared queue
+        for batch in by_size(batches, limit=16_000_000):  # the more pre-tokens, the fewer rounds of the shared queue
             ids = encoder.encode(batch["text"].to_pylist())
             yield grown(batch, [pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary()),
                                 pa.array([encoder.decode(x) for x in ids], pa.binary())], ["n_tokens", "ids", "decoded"])

@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,3 +68,14 @@ def pieces(batches, rows: int = 1000):
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+
+
+def by_size(batches, column: str = "text", limit: int = 4_000_000):
+    """Arrow batches cut so that the texts of a piece have at most ``limit`` bytes; a longer text is a piece of its own."""
+    for batch in batches:
+        size = np.cumsum(np.concatenate([[0], pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False).astype(np.int64)]))
+        start = 0
+        while start < batch.num_rows:
+            end = max(start + 1, int(np.searchsorted(size, size[start] + limit, "right")) - 1)
+            yield batch.slice(start, end - start)
+            start = end
