@@ -16,13 +16,6 @@ def position() -> Column:
     return F.row_number().over(by_date()) - 1
 
 
-def step_in_split(split: str = "split") -> Column:
-    """One-based row position inside (series, split)."""
-    from pyspark.sql import Window
-
-    return F.row_number().over(Window.partitionBy(SERIES, split).orderBy(DATE))
-
-
 def time_split(
     features: DataFrame, train: float = TRAIN_RATIO, val: float = VAL_RATIO, test: float = TEST_RATIO
 ) -> DataFrame:

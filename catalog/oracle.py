@@ -251,10 +251,34 @@ WHERE d IS NULL OR d <= (SELECT max(date) FROM bars) - 1""",
         "params_table": _with(*TO_SCALED, AR1) + AR1_OUT,
         "publish_tables": """SELECT "table", CASE WHEN "table" IN ('bars', 'scaler', 'model_params') THEN 'copied' ELSE 'absent'
   END AS status, CAST(NULL AS VARCHAR) AS error FROM (SELECT unnest(['bars', 'features', 'scaler', 'scaled', 'forecasts', 'model_params',
-  'all_forecasts', 'benchmark', 'benchmark_summary', 'training_report', 'training_totals', 'run_summary']) AS "table")""",
+  'all_forecasts', 'benchmark', 'benchmark_summary', 'training_report', 'training_totals', 'rejected', 'run_summary']) AS "table")""",
         "publish_outcome": """SELECT CAST(3 AS BIGINT) AS copied, CAST(0 AS BIGINT) AS failed, true AS complete,
   true AS usable""",
         "artifact_manifest": """SELECT unnest(['bars', 'model_params']) AS "table", true AS has_files, true AS has_bytes""",
+        "published_rows": _with(ORDER_BARS) + BAR_COLUMNS,
+        "upserted_bars": _with(NATION_BARS.replace("bars AS", "plain AS"), """bars AS (
+  SELECT p.* REPLACE (open * f AS open, high * f AS high, low * f AS low, close * f AS close)
+  FROM plain p JOIN (SELECT n_name AS series, CASE WHEN n_nationkey % 2 = 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS f FROM nation) USING (series))""") + BAR_COLUMNS,
+        "dedup_without_ordinal": _with(RAW, """bars AS (
+  SELECT * EXCLUDE (ordinal, k) FROM (SELECT *, row_number() OVER (PARTITION BY series, date ORDER BY open NULLS FIRST,
+    high NULLS FIRST, low NULLS FIRST, close NULLS FIRST, volume NULLS FIRST) AS k FROM raw) WHERE k = 1)""") + BAR_COLUMNS,
+        "leakage_cases": _with(NATION_BARS, """labelled AS (
+  SELECT series, date, month(date) + length(series) % 3 AS m FROM bars WHERE year(date) < 1996 + ascii(series) % 3),
+ends AS (
+  SELECT series, max(date) FILTER (m <= 4) AS a, min(date) FILTER (m BETWEEN 5 AND 8) AS b,
+         max(date) FILTER (m BETWEEN 5 AND 8) AS c, min(date) FILTER (m > 8) AS d FROM labelled GROUP BY series)""") + """
+SELECT series, coalesce(a < b, true) AND coalesce(c < d, true) AS ordered FROM ends""",
+        "benchmarkable_cases": _with(NATION_BARS) + """
+SELECT n_name AS series FROM nation WHERE n_regionkey > 1
+  AND n_name IN (SELECT series FROM bars GROUP BY series HAVING max(year(date)) >= 1995)""",
+        "job": _with(ORDER_BARS, "ok AS (SELECT count(*) FILTER (n >= 252) AS n, count(*) AS total FROM (SELECT count(*) AS n FROM bars GROUP BY series))") + """
+SELECT 'full' AS mode, n AS series_fetched, n AS series_trained, n AS series_forecast, 3 * n AS models_trained,
+  n = total AS success FROM ok""",
+        "job_second_run": _with(NATION_BARS, """again AS (
+  SELECT b.* FROM bars b JOIN nation ON n_name = series WHERE n_nationkey % 5 <> 0 OR day(date) <= 3),
+ok AS (SELECT count(*) FILTER (n >= 252) AS n, count(*) AS total FROM (SELECT count(*) AS n FROM again GROUP BY series))""") + """
+SELECT 'full' AS mode, n AS series_fetched, n AS series_trained, n AS series_forecast, n AS models_trained,
+  n = total AS success, CASE WHEN n = total THEN 0 ELSE 1 END AS n_errors FROM ok""",
         "series_profile": _with(RAW) + """SELECT series, count(*) AS n_rows, min(date) AS first_date, max(date) AS last_date,
   round((count(*) - count(close)) * 100.0::DOUBLE / count(*), 6) AS null_pct FROM raw GROUP BY series""",
         "validate_series_orders": _with(ORDER_BARS) + _verdict("bars"),

@@ -99,10 +99,7 @@ def small_benchmark(spark, sf) -> DataFrame:
 
 def scratch(spark: SparkSession) -> str:
     """A new folder for the queries that write, inside the session's shared folder."""
-    folder = layout.shared_folder(spark)
-    if folder is None:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{folder}/{uuid.uuid4().hex}"
+    return f"{layout.shared_folder(spark)}/{uuid.uuid4().hex}"
 
 
 def rounded(df: DataFrame, decimals: dict[str, int] | int, but: tuple[str, ...] = ()) -> DataFrame:
@@ -192,6 +189,33 @@ def q_publish_tables(spark, sf):
     return tables.publish_tables(spark, src, dst)
 
 
+def q_published_rows(spark, sf):
+    """Bars that were published to another root and then restored from there to a third, as they are read back."""
+    src, dst, back = scratch(spark), scratch(spark), scratch(spark)
+    bar_tables.write_bars(order_bars(spark, sf), f"{src}/bars")
+    tables.publish_tables(spark, src, dst, ["bars"])
+    tables.publish_tables(spark, dst, back, ["bars"])
+    return bar_tables.read_bars(spark, f"{back}/bars", "table").select(SERIES, DATE, *OHLCV)
+
+
+def q_upserted_bars(spark, sf):
+    """Nation bars, then of every second nation the bars at double price: these replace, the others stay."""
+    path, bars = f"{scratch(spark)}/bars", nation_bars(spark, sf)
+    bar_tables.write_bars(bars, path, buckets=7)
+    odd = table(spark, sf, "nation").where("n_nationkey % 2 = 1").select(F.col("n_name").alias(SERIES))
+    doubled = bars.join(odd, SERIES, "left_semi").withColumns({c: F.col(c) * 2 for c in OHLCV if c != "volume"})
+    bar_tables.write_bars(doubled, path)
+    return bar_tables.read_bars(spark, path, "table").select(SERIES, DATE, *OHLCV)
+
+
+def q_leakage_cases(spark, sf):
+    """Splits dealt by the month of a bar, per nation: in order where all its bars lie in one half of a year."""
+    month = F.month(DATE) + F.pmod(F.length(SERIES), F.lit(3))
+    label = F.when(month <= 4, "train").when(month <= 8, "val").otherwise("test")
+    first_year = nation_bars(spark, sf).withColumn("split", label).where(F.year(DATE) < 1996 + F.pmod(F.ascii(SERIES), F.lit(3)))
+    return split.leakage_check(first_year)
+
+
 def q_artifact_manifest(spark, sf):
     """Tables found in a store that holds bars and parameters."""
     root = scratch(spark)
@@ -378,6 +402,15 @@ def q_benchmarkable_series(spark, sf):
     return pairs.benchmarkable_series(params, preprocess.split_features(bars))
 
 
+def q_benchmarkable_cases(spark, sf):
+    """Nations with parameters, of which some have no bar in the test split."""
+    params = _some_params(spark, sf)
+    labelled = nation_bars(spark, sf).join(
+        table(spark, sf, "nation").select(F.col("n_name").alias(SERIES), "n_regionkey"), SERIES
+    ).withColumn("split", F.when((F.col("n_regionkey") > 1) & (F.year(DATE) >= 1995), "test").otherwise("train"))
+    return pairs.benchmarkable_series(params, labelled)
+
+
 # --- forecasters ----------------------------------------------------------------------------------
 
 def _ar1_columns(params: DataFrame) -> DataFrame:
@@ -694,11 +727,29 @@ def q_json_text(spark, sf):
 
 
 def q_job(spark, sf):
-    """The whole job on the order bars."""
-    out = run.run(spark, order_bars(spark, sf), scratch(spark), models=["arima", "prophet"])
+    """The whole job with all three forecasters on the order bars."""
+    out = run.run(spark, order_bars(spark, sf), scratch(spark))
     return out.select("mode", "series_fetched", "series_trained", "series_forecast", "models_trained", "success")
 
 
+def q_job_second_run(spark, sf):
+    """The nation panel, then again with every fifth nation cut to the first days of a month: what the second run
+    turns away has no part in it, though the first run stored all of it."""
+    bars, folder = nation_bars(spark, sf), scratch(spark)
+    run.run(spark, bars, folder, models=["arima"], with_benchmark=False)
+    fifth = table(spark, sf, "nation").where("n_nationkey % 5 = 0").select(F.col("n_name").alias(SERIES))
+    cut = bars.join(fifth, SERIES, "left_semi").where(F.dayofmonth(DATE) <= 3)
+    again = bars.join(fifth, SERIES, "left_anti").unionByName(cut)
+    out = run.run(spark, again, folder, models=["arima"], with_benchmark=False)
+    return out.select("mode", "series_fetched", "series_trained", "series_forecast", "models_trained", "success",
+                      F.size("errors").alias("n_errors"))
+
+
+def q_dedup_without_ordinal(spark, sf):
+    """Raw orders as bars without a file order: of a day's rows the smallest one stays."""
+    return clean.drop_duplicate_dates(raw_bars(spark, sf).drop("ingest_ordinal"))
+
+
 def queries() -> dict:
     bench = q_benchmark
     return {
@@ -714,6 +765,8 @@ def queries() -> dict:
         "params_table": q_params_table,
         "publish_tables": q_publish_tables,
         "publish_outcome": lambda spark, sf: tables.publish_outcome(q_publish_tables(spark, sf)),
+        "published_rows": lambda spark, sf: rounded(q_published_rows(spark, sf), 4),
+        "upserted_bars": lambda spark, sf: rounded(q_upserted_bars(spark, sf), 4),
         "artifact_manifest": q_artifact_manifest,
         "series_profile": lambda spark, sf: rounded(clean.series_profile(raw_bars(spark, sf)), 6),
         "validate_series_orders": q_validate(order_bars),
@@ -722,6 +775,7 @@ def queries() -> dict:
         "validate_series_raw": q_validate_raw,
         "trailing_window": q_trailing_window,
         "drop_duplicate_dates": q_drop_duplicate_dates,
+        "dedup_without_ordinal": lambda spark, sf: rounded(q_dedup_without_ordinal(spark, sf), 4),
         "dedup_fill": q_dedup_fill,
         "iqr_bounds": q_iqr_bounds,
         "clip_outliers": q_clip_outliers,
@@ -737,6 +791,7 @@ def queries() -> dict:
         "null_audit": lambda spark, sf: features.null_audit(
             split.time_split(features.engineer_features(order_bars(spark, sf), drop=False))),
         "leakage_check": lambda spark, sf: split.leakage_check(split_rows(spark, sf)),
+        "leakage_cases": q_leakage_cases,
         "fit_scaler": q_fit_scaler,
         "scale": q_scale,
         "scale_stored": q_scale_stored,
@@ -759,6 +814,7 @@ def queries() -> dict:
         "filter_series_known": bench(_known_series),
         "filter_series_unknown": bench(_unknown_series),
         "benchmarkable_series": q_benchmarkable_series,
+        "benchmarkable_cases": q_benchmarkable_cases,
         "gram_sums": q_gram_sums,
         "difference_order": q_difference_order,
         "ar1_fit": q_ar1_fit,
@@ -807,4 +863,5 @@ def queries() -> dict:
         "joined_upper": q_joined_upper,
         "json_text": q_json_text,
         "job": q_job,
+        "job_second_run": q_job_second_run,
     }
