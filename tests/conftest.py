@@ -16,13 +16,17 @@ def spark():
 
 
 def walk(n, seed=1, start="2018-01-01", base=100.0, step=0.5):
-    """Random-walk bars on business days."""
+    """Bars on business days: the close drifts by Laplace steps around a slow wave, the day's range is drawn
+    anew for every bar and holds open and close, and volume grows with the size of the move."""
     rng = np.random.default_rng(seed)
-    close = base + np.cumsum(rng.normal(size=n) * step)
+    moves = rng.laplace(scale=step / 2, size=n)
+    close = base + np.cumsum(moves) + 2 * step * np.sin(np.arange(n) / 40.0)
+    opened = close - moves * rng.uniform(0.2, 0.8, n)
+    reach = rng.gamma(2.0, step, (2, n)) + 0.05
     return pd.DataFrame({
         "date": pd.bdate_range(start, periods=n).date,
-        "open": close * 0.99, "high": close * 1.02, "low": close * 0.97, "close": close,
-        "volume": rng.integers(500_000, 2_000_000, n).astype(float),
+        "open": opened, "high": np.maximum(opened, close) + reach[0], "low": np.minimum(opened, close) - reach[1], "close": close,
+        "volume": np.round(40_000 * (1 + np.abs(moves) / step) * rng.lognormal(0, 0.2, n)),
     })
 
 
