@@ -269,8 +269,7 @@ def test_probabilities_of_all_next_words_add_up(small):
     size = int(lm._BASE[-1])
     weight = np.repeat([float(n) for n in count.values()], length)
     n, ones = (sum(np.bincount(slots[k], w, size) for k in range(lm._K)) for w in (weight, weight * bit))
-    model = {"codes": codes, "logits": np.log((ones + lm.DELTA) / (n - ones + lm.DELTA)).astype(np.float16),
-             "gates": (1 + np.searchsorted(lm.SEEN, n[int(lm._BASE[lm._K - 1]):], "right")).astype(np.uint8), "weights": lm.start_weights()}
+    model = {"codes": codes, "logits": np.log((ones + lm.DELTA) / (n - ones + lm.DELTA)).astype(np.float16), "weights": lm.start_weights()}
     whole = 0.0
     logit = model["logits"]
     for word in [*codes["words"], b"neverseen"]:
