@@ -37,7 +37,8 @@ def shared_folder(spark: SparkSession) -> str:
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not spark.sparkContext.master.startswith("local["):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="barline-")
         spark.conf.set("spark.checkpoint.dir", named)
