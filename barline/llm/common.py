@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import numpy as np
@@ -12,19 +11,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barline.sources.layout import shared_folder
+
 #: What separates words: \x20 and \x09-\x0D, which is also what bytes.split() splits at.
 SPACES = " \t\n\x0b\x0c\r"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``, which all executors share.  Unset, as in tests, it becomes a new temporary one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="barline-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
 def store(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` below the shared folder and reads it back, so a lost executor costs no earlier step."""
     spark = df.sparkSession
