@@ -288,7 +288,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
         merges = Merges({})
         vars(merges).update(tables.value)
         encoder = Encoder(merges, pattern)
-        for batch in by_size(batches, limit=16_000_000):  # the more pre-tokens, the fewer rounds of the shared queue
+        for batch in by_size(batches, limit=12_000_000):  # the more pre-tokens, the fewer rounds of the shared queue
             ids = encoder.encode(batch["text"].to_pylist())
             yield grown(batch, [pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary()),
                                 pa.array([encoder.decode(x) for x in ids], pa.binary())], ["n_tokens", "ids", "decoded"])

@@ -15,17 +15,30 @@ from barline.sources.layout import shared_folder
 
 #: What separates words: \x20 and \x09-\x0D, which is also what bytes.split() splits at.
 SPACES = " \t\n\x0b\x0c\r"
+BATCH_BYTES = 8 << 20  # of an Arrow batch
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lets Arrow batches hold at most ``BATCH_BYTES``, unless the session was given a bound of its own.
+
+    Spark's default of 64 MB is held several times, in the JVM and in each Python worker.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key).rstrip("b") == str(64 << 20):
+        spark.conf.set(key, str(BATCH_BYTES))
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` below the shared folder and reads it back, so a lost executor costs no earlier step."""
     spark = df.sparkSession
+    bound_batches(spark)
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -46,6 +59,7 @@ def quoted(names: list[str]) -> list[Column]:
 
 def added(df: DataFrame, *fields: tuple[str, T.DataType]) -> tuple[DataFrame, T.StructType]:
     """``df`` without columns that clash with the fields, and its schema followed by the fields."""
+    bound_batches(df.sparkSession)
     base = df.select(*quoted(without(df, *(n for n, _ in fields))))
     return base, T.StructType([*base.schema.fields, *(T.StructField(n, k) for n, k in fields)])
 
@@ -63,11 +77,21 @@ def pieces(batches, rows: int = 1000):
 
 
 def by_size(batches, column: str = "text", limit: int = 4_000_000):
-    """Arrow batches cut so that the texts of a piece have at most ``limit`` bytes; a longer text is a piece of its own."""
+    """The rows in Arrow batches whose texts have about ``limit`` bytes: smaller ones are put together, larger ones cut.
+
+    A text that is longer by itself is a batch of its own.
+    """
+    held, total = [], 0
     for batch in batches:
         size = np.cumsum(np.concatenate([[0], pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False).astype(np.int64)]))
         start = 0
         while start < batch.num_rows:
-            end = max(start + 1, int(np.searchsorted(size, size[start] + limit, "right")) - 1)
-            yield batch.slice(start, end - start)
+            end = max(start + 1, int(np.searchsorted(size, size[start] + limit - total, "right")) - 1)
+            held.append(batch.slice(start, end - start))
+            total += int(size[end] - size[start])
             start = end
+            if total >= limit or start < batch.num_rows:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, total = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
