@@ -64,6 +64,22 @@ def added(df: DataFrame, *fields: tuple[str, T.DataType]) -> tuple[DataFrame, T.
     return base, T.StructType([*base.schema.fields, *(T.StructField(n, k) for n, k in fields)])
 
 
+def masked(df: DataFrame, *needed: str):
+    """The rows with every column under a name that clashes with nothing, but for ``text``, which stays and is carried
+    once, and with copies of the ``needed`` columns; and what gives such rows their old columns back."""
+    names = df.columns
+    text = next(i for i, n in enumerate(names) if n.lower() == "text")
+    hidden = ["text" if i == text else f"carried column {i}" for i in range(len(names))]
+    wide = df.toDF(*hidden)
+    at = {n.lower(): hidden[i] for i, n in enumerate(names)}
+    wide = wide.select("*", *(F.col(f"`{at[n]}`").alias(n) for n in needed))
+
+    def back(rows: DataFrame) -> DataFrame:
+        return rows.select(*(F.col(f"`{h}`").alias(n) for h, n in zip(hidden, names)))
+
+    return wide, back
+
+
 def grown(batch: pa.RecordBatch, arrays: list[pa.Array], names: list[str]) -> pa.RecordBatch:
     """The batch with further columns at its end."""
     return pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=[*batch.schema.names, *names])

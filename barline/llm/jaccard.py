@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barline.llm.common import added, grown, pieces, store
+from barline.llm.common import added, grown, masked, pieces, store
 from barline.llm.components import components
 
 WORDS = 5  # of a shingle
@@ -82,7 +82,7 @@ def least_matches(step: int = _STEP, hashes: int = _HASHES, threshold: float = T
 
 def sketch(docs: DataFrame) -> DataFrame:
     """Stores the rows with ``rid``, ``digest`` (null without words), ``n_shingles``, ``bands`` and ``values``."""
-    base, _ = added(docs.withColumns({"rid": F.monotonically_increasing_id(), "digest": F.md5("text")}))
+    base = docs.withColumns({"rid": F.monotonically_increasing_id(), "digest": F.md5("text")})
     fields = [("n_shingles", T.LongType()), ("bands", T.ArrayType(T.LongType())), ("minima", T.BinaryType())]
     base, schema = added(base, *fields)
 
@@ -257,7 +257,8 @@ def joined(docs: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with one document, that of the smallest doc_id, of each class."""
-    whole = sketch(docs.select(F.struct("*").alias("doc"), "doc_id", "text"))
+    wide, back = masked(docs, "doc_id")
+    whole = sketch(wide)
     rows = classes(whole)
     chosen = rows.groupBy("class_row").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("x")).select(F.col("x.rid").alias("rid"))
-    return whole.join(chosen, "rid", "left_semi").select("doc.*")
+    return back(whole.join(chosen, "rid", "left_semi"))

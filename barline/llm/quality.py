@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barline.llm.common import SPACES, added, grown, pieces, quoted, store, without
+from barline.llm.common import SPACES, added, grown, masked, pieces, quoted, store, without
 
 WINDOW = 8  # words of a window that may repeat
 SYMBOLS = "#*$%&|<>"
@@ -199,6 +199,5 @@ def judge(measured: DataFrame, limit: float = LIMIT) -> DataFrame:
 
 def filtered(docs: DataFrame) -> DataFrame:
     """The documents that pass the base rules and lie within the distance, with their own columns."""
-    whole = docs.select(F.struct("*").alias("row"), "text", "lang", "source")
-    measured = store(measure(whole).drop("text"), "measured")
-    return judge(measured).where("kept").select("row.*")
+    whole, back = masked(docs, "lang", "source")
+    return back(judge(store(measure(whole), "measured")).where("kept"))

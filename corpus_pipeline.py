@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barline.llm import bpe, jaccard, language, mixing, quality
-from barline.llm.common import fold, quoted, store, table
+from barline.llm.common import fold, masked, store, table
 from barline.llm.queries import RANKS
 
 #: Smallest share of the possible agreement with a language's profile; below it a text is in no language that was learned.
@@ -21,9 +21,9 @@ LEAST_LANGUAGE_SCORE = 0.2
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without letters, and those far from every language.  Learns from the given rows but those of fold 2."""
     ranked = language.profiles(docs.where(fold(F.col("doc_id"), 4) != 2))
-    whole = docs.select(F.struct("*").alias("doc"), "text")
+    whole, back = masked(docs)
     found = language.identify(whole, ranked)
-    return found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select("doc.*")
+    return back(found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,8 +43,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source and the token ids of every document, with their number and digests."""
-    encoded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN)
-    return encoded.select(*quoted(["doc_id", "lang", "source", "n_tokens", "ids"]), F.sha2("ids", 256).alias("ids_sha256"),
+    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), RANKS, public_tokenizers.PATTERN)
+    return encoded.select("doc_id", "lang", "source", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"),
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
