@@ -10,7 +10,7 @@ A finding counts by its term's weight.  Its window of ``WINDOW`` words tells quo
 words of reporting) from abuse; findings are summed, misspelled and quoted ones counting less and once more apart.  A
 logistic regression, drawn to plausible weights, turns these sums and how dense they are into the score.
 
-At most ``SAMPLE`` labelled texts, the first by a hash of doc_id, teach: two thirds the lexicon, the others the regression,
+About ``SAMPLE`` labelled texts, chosen by a hash of doc_id, teach: two thirds the lexicon, the others the regression,
 so that the regression sees the lexicon on texts that did not make it.  Equal texts teach once.  Labels of one document
 count as the worst; null labels teach nothing.  Null and empty texts have no findings.  Without any label the score is low for
 all.  Texts are scored whole, row by row, from the text alone.
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barline.llm.common import added, grown, pieces
+from barline.llm.common import added, grown, hash_sample, pieces
 
 SAMPLE = 30_000  # labelled texts that teach
 TERMS = 20_000  # size of the lexicon, by evidence
@@ -166,12 +166,13 @@ def _distinct(batches):
 
 
 def teaching(docs: DataFrame, labels: DataFrame, train: Column, sample: int = SAMPLE) -> DataFrame:
-    """(text, toxic, part): the labelled texts that teach, at most ``sample`` of them, once each; part 2 is for the regression.
+    """(text, toxic, part): the labelled texts that teach, about ``sample`` of them, once each; part 2 is for the regression.
 
-    The labels that are chosen are a bounded table, which goes to the documents; texts are not shuffled.
+    The labels that are chosen are a table of about that many rows, which goes to the documents; texts are not shuffled.
     """
-    chosen = labels.where(train & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
-        F.max("toxic").cast("long").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    usable = labels.where(train & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.max("toxic").cast("long").alias("toxic"))
+    chosen = hash_sample(usable, usable.count(), sample, "doc_id")
     found = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
     once = found.groupBy("text").agg(F.max("toxic").alias("toxic"))
     return once.withColumn("part", F.pmod(F.xxhash64("text"), F.lit(3)))
