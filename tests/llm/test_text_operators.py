@@ -306,3 +306,23 @@ def test_an_empty_corpus_still_scores(spark):
     found = {r["doc_id"]: r for r in lm.score(table, lm.learn(table, F.lit(False))).collect()}
     assert found[1]["n_tokens"] == 3 and found[1]["n_known"] == 0 and found[1]["score"] < 0
     assert lm.score(table.limit(0), lm.learn(table, F.lit(True))).count() == 0
+
+
+def test_the_order_of_known_words_counts(spark):
+    """Neighbours that were learned make a text likelier than the same words in another order."""
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(60)]
+    follower = {w: rng.sample(vocabulary, 2) for w in vocabulary}
+
+    def chain(n):
+        out = [rng.choice(vocabulary)]
+        while len(out) < n:
+            out.append(rng.choice(follower[out[-1]]))
+        return out
+
+    rows = [(i, " ".join(chain(60))) for i in range(300)]
+    natural = [chain(60) for _ in range(20)]
+    rows += [(1000 + i, " ".join(t)) for i, t in enumerate(natural)] + [(2000 + i, " ".join(rng.sample(t, len(t)))) for i, t in enumerate(natural)]
+    table = docs(spark, rows)
+    score = {r["doc_id"]: r["score"] for r in lm.score(table, lm.learn(table, F.col("doc_id") < 1000)).collect()}
+    assert all(score[1000 + i] > score[2000 + i] + 20 for i in range(20))
