@@ -4,10 +4,11 @@
 (lang, source) group by the minimum covariance determinant, and rejects vectors whose Mahalanobis distance is too large.
 
 The estimate starts from medians and quartile ranges and takes concentration steps: distances of all rows, the nearest
-``SHARE`` of each group, their mean and covariance.  A step is one aggregation by group and distance bin, so a group of
-any size becomes a few hundred partial sums, and the nearest share is a prefix of its bins.  Distances are finally scaled
-down where a group's median is above that of the chi-square distribution.  Floors are added to the variances, without
-which a group that is constant in one statistic, or in a combination of them, would reject any other value.
+``SHARE`` of each group, their mean and covariance, until no group's determinant falls.  A step is one aggregation by
+group and distance bin, so a group of any size becomes a few hundred partial sums, and the nearest share is a prefix of
+its bins.  Distances are finally scaled down where a group's median is above that of the chi-square distribution.
+Variances have floors in every direction, without which a group that is constant in one statistic, or in a combination
+of them, would reject any other value.
 
 Groups below ``SMALL`` rows are pooled by language, and languages that remain below it with each other; if even that
 pool is small, nothing is rejected by distance.  Null languages and sources are groups of their own.  Null texts count
@@ -16,6 +17,8 @@ as empty; texts without words fail the base rules.  Rows are judged one by one,
 
 from __future__ import annotations
 
+from itertools import count as counter
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -29,9 +32,10 @@ WINDOW = 8  # words of a window that may repeat
 SYMBOLS = "#*$%&|<>"
 SMALL = 50  # rows below which a group has no estimate of its own
 SHARE = 0.75  # of a group's rows that the estimate rests on
-STEPS = 4  # concentration steps
-LIMIT = 60.0  # largest squared distance that is kept; under normality of 7 statistics one in 10^10 is beyond it
-#: Statistic, and the standard deviation that is added to what its group has.
+STEPS = 4  # concentration steps at least
+FALL = 1e-3  # of the logarithm of a determinant, below which it no longer falls
+LIMIT = 29.88  # largest squared distance that is kept: the 99.99% point of the chi-square distribution of 7 statistics
+#: Statistic, and the smallest standard deviation it is given.
 FLOORS = {"log_words": 0.5, "log_word_chars": 0.1, "symbols": 0.06, "dup_lines": 0.08, "repeats": 0.1, "capitals": 0.06, "variety": 0.06}
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals", "n_distinct"]
 _D = len(FLOORS)
@@ -109,12 +113,25 @@ def _distance(x: str, mean: str, inverse: str) -> Column:
     return sum((away[i] * away[j] * F.col(inverse)[p] * (1 if i == j else 2) for p, (i, j) in enumerate(_PAIRS)), F.lit(0.0))
 
 
+def _floored(covariance: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Variances and axes, in units of the floors (the last result), with variances of at least 1."""
+    unit = np.outer(*[list(FLOORS.values())] * 2)
+    variances, axes = np.linalg.eigh(covariance / unit)
+    return np.maximum(variances, 1), axes, unit
+
+
 def _invert(mean: np.ndarray, covariance: np.ndarray) -> tuple[list, list]:
-    inverse = np.linalg.inv(covariance + np.diag(np.square(list(FLOORS.values()))))
+    variances, axes, unit = _floored(covariance)
+    inverse = (axes / variances) @ axes.T / unit
     return mean.tolist(), [float(inverse[i, j]) for i, j in _PAIRS]
 
 
-_FITTED = "group string, mean array<double>, inverse array<double>"
+def _size(covariance: np.ndarray) -> float:
+    """Logarithm of the determinant, but for a constant."""
+    return float(np.log(_floored(covariance)[0]).sum())
+
+
+_FITTED = "group string, mean array<double>, inverse array<double>, size double"
 
 
 def _from_quartiles(frames):
@@ -122,8 +139,9 @@ def _from_quartiles(frames):
         out = []
         for group, quartiles in zip(frame["group"], frame["q"]):
             low, mid, high = np.array([list(q) for q in quartiles]).T
-            out.append((group, *_invert(mid, np.diag(np.square((high - low) / 1.349)))))
-        yield pd.DataFrame(out, columns=["group", "mean", "inverse"])
+            cov = np.diag(np.square((high - low) / 1.349))
+            out.append((group, *_invert(mid, cov), _size(cov)))
+        yield pd.DataFrame(out, columns=["group", "mean", "inverse", "size"])
 
 
 def _from_sums(frames):
@@ -133,8 +151,8 @@ def _from_sums(frames):
             mean, cov = np.array(one) / n, np.zeros((_D, _D))
             for (i, j), s in zip(_PAIRS, two):
                 cov[i, j] = cov[j, i] = s / n - mean[i] * mean[j]
-            out.append((group, *_invert(mean, cov)))
-        yield pd.DataFrame(out, columns=["group", "mean", "inverse"])
+            out.append((group, *_invert(mean, cov), _size(cov)))
+        yield pd.DataFrame(out, columns=["group", "mean", "inverse", "size"])
 
 
 def _bins(rows: DataFrame, fitted: DataFrame) -> DataFrame:
@@ -154,14 +172,23 @@ def fit(rows: DataFrame) -> DataFrame:
     quartiles = rows.groupBy("group").agg(
         F.array(*(F.percentile(F.col("x")[i], F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) for i in range(_D))).alias("q"))
     fitted = store(quartiles.mapInPandas(_from_quartiles, _FITTED), "mcd")
-    for _ in range(STEPS):
+    for step in counter(1):
         nearest = _bins(rows, fitted).where(F.col("before") < F.ceil(F.col("all") * SHARE)).groupBy("group").agg(
             F.sum("n").alias("n"), F.array(*(F.sum(F.col("one")[i]) for i in range(_D))).alias("one"),
             F.array(*(F.sum(F.col("two")[p]) for p in range(len(_PAIRS)))).alias("two"))
-        fitted = store(nearest.mapInPandas(_from_sums, _FITTED), "mcd")
+        after = nearest.mapInPandas(_from_sums, _FITTED)
+        if step <= STEPS:
+            fitted = store(after, "mcd")
+            continue
+        fell = F.col("after.size") < F.col("fitted.size") - FALL
+        fitted = store(fitted.alias("fitted").join(after.alias("after"), "group").select(
+            "group", *(F.when(fell, F.col(f"after.{c}")).otherwise(F.col(f"fitted.{c}")).alias(c) for c in ("mean", "inverse", "size")), fell.alias("fell")), "mcd")
+        if fitted.where("fell").isEmpty():
+            break
+        fitted = fitted.drop("fell")
     half = _bins(rows, fitted).where(F.col("before") < F.ceil(F.col("all") / 2)).groupBy("group").agg(
         (_MEDIAN / F.greatest(F.max("d2"), F.lit(_MEDIAN))).alias("scale"))
-    return store(fitted.join(half, "group"), "mcd")
+    return store(fitted.select("group", "mean", "inverse").join(half, "group"), "mcd")
 
 
 def grouped(rows: DataFrame) -> DataFrame:

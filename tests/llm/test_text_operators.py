@@ -164,6 +164,25 @@ def test_judge_keeps_clean_texts_and_drops_outliers(spark):
     assert quality.judge(quality.measure(table.limit(0))).count() == 0
 
 
+def test_judge_drops_menus_and_repeated_lines(spark):
+    rng = random.Random(12)
+    stems = [a + b for a in ("ka", "lo", "mi", "ren", "su", "ta", "ve", "dor") for b in ("ba", "li", "mon", "re", "sti", "tu", "nar")]
+
+    def line(n):
+        return " ".join(rng.choice(stems) + rng.choice(["", "s", "er"]) for _ in range(n)).capitalize() + "."
+
+    rows = [(i, "\n".join(line(rng.randint(8, 16)) for _ in range(rng.randint(5, 30))), "en", "a") for i in range(400)]
+    rows += [(1000 + i, " | ".join(line(1)[:-1] for _ in range(rng.randint(30, 60))), "en", "a") for i in range(10)]
+    for i in range(10):
+        lines = [line(12) for _ in range(24)]
+        again = line(5)  # shorter than a window, so the base rules let it pass
+        rows.append((2000 + i, "\n".join(x for one in lines for x in (one, again)), "en", "a"))
+    found = {r["doc_id"]: r for r in quality.judge(quality.measure(docs(spark, rows))).collect()}
+    assert not any(r["base_failed"] for r in found.values())
+    assert sum(found[i]["kept"] for i in range(400)) >= 398
+    assert [i for i, r in found.items() if i >= 1000 and r["kept"]] == []
+
+
 def test_small_groups_are_judged_by_the_base_rules_alone(spark):
     found = quality.judge(quality.measure(docs(spark, [(1, words(random.Random(1), 50), "en", "a")]))).collect()
     assert [(r["kept"], r["distance"]) for r in found] == [(True, None)]
