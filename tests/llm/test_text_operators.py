@@ -345,3 +345,15 @@ def test_the_order_of_known_words_counts(spark):
     table = docs(spark, rows)
     score = {r["doc_id"]: r["score"] for r in lm.score(table, lm.learn(table, F.col("doc_id") < 1000)).collect()}
     assert all(score[1000 + i] > score[2000 + i] + 20 for i in range(20))
+
+
+def test_words_without_a_code_have_their_counted_share(small):
+    """However dear their bytes are in tables of fixed size."""
+    codes, _ = small
+    distinct, flat, _ = lm.numbered(["rareword"])
+    _, _, alone = lm.pair_keys(distinct, flat)
+    novel = np.zeros((2, lm._BINS), np.int64)
+    novel[:, -1] = 1000, 98
+    held = (alone[[distinct.index(b"rareword")]], np.array([500]))
+    cost = lm.with_pairs(distinct, flat, np.array([1.0, 1.0]), np.array([900.0, 0.0]), held, {"codes": codes, "novel": novel})
+    assert cost[0] == pytest.approx(-1 + math.log(0.5 * (1 - 99 / 1002)))
