@@ -172,11 +172,11 @@ def test_judge_drops_menus_and_repeated_lines(spark):
         return " ".join(rng.choice(stems) + rng.choice(["", "s", "er"]) for _ in range(n)).capitalize() + "."
 
     rows = [(i, "\n".join(line(rng.randint(8, 16)) for _ in range(rng.randint(5, 30))), "en", "a") for i in range(400)]
-    rows += [(1000 + i, " | ".join(line(1)[:-1] for _ in range(rng.randint(30, 60))), "en", "a") for i in range(10)]
+    rows += [(1000 + i, " | ".join(line(2)[:-1] for _ in range(rng.randint(30, 60))), "en", "a") for i in range(10)]
     for i in range(10):
         lines = [line(12) for _ in range(24)]
         again = line(5)  # shorter than a window, so the base rules let it pass
-        rows.append((2000 + i, "\n".join(x for one in lines for x in (one, again)), "en", "a"))
+        rows.append((2000 + i, "\n".join(x for k, one in enumerate(lines) for x in ([one, again] if k % 2 else [one])), "en", "a"))
     found = {r["doc_id"]: r for r in quality.judge(quality.measure(docs(spark, rows))).collect()}
     assert not any(r["base_failed"] for r in found.values())
     assert sum(found[i]["kept"] for i in range(400)) >= 398
