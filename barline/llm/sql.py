@@ -76,6 +76,65 @@ FROM lengths GROUP BY conv_id
 """
 
 
+OP13 = """
+WITH RECURSIVE
+polynomial AS (
+  SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS t FROM range(256) r(b)),
+sums AS (
+  SELECT doc_id, text, xor(list_reduce(
+    list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS crc FROM documents, polynomial),
+kinds AS (
+  SELECT doc_id, strlen(coalesce(text, ''))::BIGINT + 16 AS size, crc AS text_crc32, count(*) AS copies
+  FROM sums GROUP BY 1, 2, 3),
+pieces AS (
+  SELECT doc_id, size, text_crc32, least(4096, copies - 4096 * piece) AS copies, piece, coalesce(doc_id::VARCHAR, '') AS name
+  FROM (SELECT *, unnest(range((copies - 1) // 4096 + 1)) AS piece FROM kinds)),
+keyed AS (
+  SELECT *, ('0x' || substr(md5(name), 1, 7))::BIGINT >> 14 AS cell, md5(concat_ws('/', name, size, text_crc32, piece)) AS place FROM pieces),
+points AS (
+  SELECT shard, ('0x' || substr(md5(shard || '/' || replica), 1, 7))::BIGINT >> 14 AS cell, md5(shard || '/' || replica) AS digest
+  FROM range(40) s(shard), range(64) r(replica)),
+nodes AS (SELECT row_number() OVER (ORDER BY cell, digest, shard) - 1 AS arc, shard, cell FROM points),
+cells AS (
+  SELECT c.cell, coalesce((SELECT min(arc) FROM nodes n WHERE n.cell >= c.cell), 0) AS arc FROM (SELECT DISTINCT cell FROM keyed) c),
+ranked AS (
+  SELECT doc_id, size, text_crc32, arc, copies,
+         sum(copies) OVER (PARTITION BY arc ORDER BY cell, place, doc_id, size, text_crc32 ROWS UNBOUNDED PRECEDING) - copies AS first
+  FROM keyed JOIN cells USING (cell)),
+loads AS (SELECT arc, sum(copies) AS n FROM ranked GROUP BY arc),
+total AS (SELECT coalesce(sum(copies), 0) AS n FROM ranked),
+filled AS (
+  SELECT arc, shard, coalesce(l.n, 0) AS n, t.n // 40 + CASE WHEN shard < t.n % 40 THEN 1 ELSE 0 END AS capacity,
+         sum(coalesce(l.n, 0)) OVER (PARTITION BY shard ORDER BY arc ROWS UNBOUNDED PRECEDING) - coalesce(l.n, 0) AS before
+  FROM nodes LEFT JOIN loads l USING (arc), total t),
+arcs AS (SELECT *, greatest(0, least(n, capacity - before)) AS own FROM filled),
+shards AS (SELECT shard, max(capacity) AS capacity, sum(own) AS mine FROM arcs GROUP BY shard),
+laps AS (
+  SELECT arc, shard, n - own AS over FROM arcs UNION ALL SELECT arc + 40 * 64, shard, 0 FROM arcs),
+walk AS (
+  SELECT -1::BIGINT AS arc, NULL::BIGINT AS shard, 0::HUGEINT AS held, 0::HUGEINT AS taken,
+         (SELECT list((capacity - mine)::HUGEINT ORDER BY shard) FROM shards) AS room
+  UNION ALL
+  SELECT l.arc, l.shard, w.held + l.over - least(w.held + l.over, w.room[l.shard + 1]), least(w.held + l.over, w.room[l.shard + 1]),
+         [CASE WHEN i = l.shard + 1 THEN x - least(w.held + l.over, x) ELSE x END FOR x, i IN w.room]
+  FROM walk w JOIN laps l ON l.arc = w.arc + 1),
+takes AS (
+  SELECT w.shard, taken, sum(taken) OVER (ORDER BY arc ROWS UNBOUNDED PRECEDING) - taken AS got,
+         mine + sum(taken) OVER (PARTITION BY w.shard ORDER BY arc ROWS UNBOUNDED PRECEDING) - taken AS base
+  FROM walk w JOIN shards USING (shard) WHERE taken > 0),
+sent AS (SELECT arc, own, n - own AS over, sum(n - own) OVER (ORDER BY arc ROWS UNBOUNDED PRECEDING) - (n - own) AS sent FROM arcs),
+spans AS (
+  SELECT arc, 0 AS low, own AS high, shard, before AS base FROM arcs WHERE own > 0
+  UNION ALL
+  SELECT arc, own + greatest(sent, got) - sent, own + least(sent + over, got + taken) - sent, shard, base + greatest(sent, got) - got
+  FROM sent JOIN takes ON sent < got + taken AND got < sent + over),
+placed AS (SELECT doc_id, size, text_crc32, arc, first + unnest(range(copies)) AS place FROM ranked)
+SELECT doc_id, size, text_crc32, 'rows' AS law, shard::INTEGER AS shard, (base + place - low)::BIGINT AS slot, NULL::INTEGER AS grown_shard
+FROM placed JOIN spans USING (arc) WHERE place >= low AND place < high
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL by the name of the query."""
-    return {"op1_exact_topk": OP1, "op2_url_filters": OP2, "op4_chat_formatting": OP4}
+    return {"op1_exact_topk": OP1, "op2_url_filters": OP2, "op4_chat_formatting": OP4, "op13_sharding": OP13}
