@@ -76,6 +76,41 @@ FROM lengths GROUP BY conv_id
 """
 
 
+OP12 = """
+WITH texts AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words FROM documents),
+firsts AS (SELECT text, min(doc_id) AS first FROM texts GROUP BY text),
+fails AS (
+  SELECT part, (len(words) < 200)::INTEGER + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INTEGER
+         + 4 * (100 * len(regexp_replace(t.text, '[^A-Z]', '', 'g')) > 3 * len(t.text))::INTEGER
+         + 8 * regexp_matches(t.text, '[#$%&*|]')::INTEGER + 16 * coalesce(doc_id > first, false)::INTEGER AS mask,
+         (doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL))::INTEGER AS good,
+         (doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL))::INTEGER AS toxic
+  FROM texts t JOIN firsts f ON t.text = f.text),
+kinds AS (SELECT part, mask, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic FROM fails GROUP BY part, mask),
+letter AS (SELECT unnest(range(5)) AS i),
+orders AS (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM letter a, letter b, letter c, letter d, letter e
+  WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+steps AS (
+  SELECT list_aggregate([substr('ABCDE', i + 1, 1) FOR i IN o], 'string_agg', '') AS filter_order, step, o[step] AS f,
+         list_sum([1 << i FOR i IN o[:step]]) - (1 << o[step]) AS before FROM orders, range(1, 6) r(step)),
+found AS (
+  SELECT part, filter_order, step, f,
+         sum(CASE WHEN mask & (before | (1 << f)) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN mask & before = 0 AND mask & (1 << f) > 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN mask & before > 0 AND mask & (1 << f) > 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN mask = 1 << f THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN mask & before = 0 AND mask & (1 << f) > 0 THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN mask & before = 0 AND mask & (1 << f) > 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM kinds, steps GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM found
+"""
+
 OP13 = """
 WITH RECURSIVE
 polynomial AS (
@@ -137,4 +172,4 @@ FROM placed JOIN spans USING (arc) WHERE place >= low AND place < high
 
 def oracle_sql() -> dict[str, str]:
     """SQL by the name of the query."""
-    return {"op1_exact_topk": OP1, "op2_url_filters": OP2, "op4_chat_formatting": OP4, "op13_sharding": OP13}
+    return {"op1_exact_topk": OP1, "op2_url_filters": OP2, "op4_chat_formatting": OP4, "op12_filter_audit": OP12, "op13_sharding": OP13}
