@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barline.llm import audit, bpe, chat, jaccard, language, lm, mixing, quality, sharding, topk, toxicity, urls
+from barline.llm import alignment, audit, bpe, chat, jaccard, language, lm, mixing, quality, sharding, topk, toxicity, urls
 from barline.llm.common import fold, store, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -70,6 +70,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     labels = table(spark, sf_dir, "labels")
@@ -86,4 +91,4 @@ def queries() -> dict:
     """The query of each operator by its name."""
     return {f.__name__: f for f in (
         op1_exact_topk, op2_url_filters, op3_ngram_jaccard_join, op4_chat_formatting,
-        op5_toxicity, op6_lm_scoring, op7_quality_rules, op8_language_id, op9_byte_bpe, op10_mixing, op12_filter_audit, op13_sharding)}
+        op5_toxicity, op6_lm_scoring, op7_quality_rules, op8_language_id, op9_byte_bpe, op10_mixing, op11_token_alignment, op12_filter_audit, op13_sharding)}
