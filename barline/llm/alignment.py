@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from barline.llm.bpe import ragged
 from barline.llm.common import bound_batches, by_size, pieces, store
 
-BLOCK_BYTES = 8_000_000  # of the texts of a block, about
+BLOCK_BYTES = 5_000_000  # of the texts of a block, about
 BLOCK_ROWS = 1 << 16  # what positions of 16 bits reach
 CACHE = 400_000  # pieces that a task remembers
 WIDE = 64  # tokens of A times tokens of B from which a group is counted by different ids
@@ -194,7 +194,7 @@ class Aligner:
             found.append(np.fromiter(map(number, parts), np.int64, len(parts)))
         if len(self.numbers) > known:
             fresh = islice(self.numbers, known, None)
-            while some := list(islice(fresh, 50_000)):
+            while some := list(islice(fresh, 20_000)):
                 self._learn(some)
         found = [x if self.sums[x, 0].all() else x[:0] for x in found]
         sums = np.array([self.sums[x, 1:].sum(0) for x in found], np.int64).reshape(len(found), 4)

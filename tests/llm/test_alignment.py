@@ -61,7 +61,7 @@ def plain(both, rows):
 
 HARD = [
     None, "", " ", "  ", "\n", "\n\n", " a", "a ", "a  ", "a  b", "a\nb", "a \n b", "a\n  b", "a\t\tb\x0bc\x0cd", "a\r\nb", "a\r b", "a \r\n  b", "\r", ";\r\n}\r",
-    "a\x1cb \x1c c\x1c d", "a\xa0 b\xa0\xa0  c", "a　 b", "  x  y", "▁", "a▁b", "x ▁ y", "café naïve 你好 \U0001f600\U0001f468‍\U0001f469",
+    "a\x1cb \x1c c\x1c d", "a\xa0 b\xa0\xa0  c", "a　 b", "  x  y", "▁", "a▁b", "x ▁ y", "end.Begin,now;so:what?!.. x. .y 3.a a.3 \xe9.z \u0416.x ).,", "café naïve 你好 \U0001f600\U0001f468‍\U0001f469",
     "<|endoftext|> <s></s> <unk> <0x0A> <pad>", "don't we'll I'M", "1234567890 3.14", "\x00 a\x00b", "zero​width﻿ join", "é ́x", "?!?! ... --- ===\n===", "İıßﬁ",
     "word " * 300, "你" * 500, "ab" * 3000, " " * 700 + "x", "\n" * 90, "q" * 4000, "aaaa aaaa\naaaa " * 40,
 ]
@@ -70,7 +70,7 @@ HARD = [
 def test_documents_equal_plain_loops(spark, both):
     rng = random.Random(5)
     parts = [" ", "  ", "\n", "\r", "\t", "the", "ing", "é", "你", ".", "'s", "\xa0", "　", "\U0001f600", "12", "<s>", "A", "\x1c", "_", "́", "\x85", " ", "\x0b"]
-    rows = list(enumerate(HARD)) + [(100 + k, "".join(rng.choice(parts) for _ in range(rng.randint(1, 40)))) for k in range(400)]
+    rows = list(enumerate(HARD)) + [(100 + k, "".join(rng.choice(parts) for _ in range(rng.randint(1, 40)))) for k in range(1500)]
     rows += [(7, "the same again"), (7, "the same again"), (None, "no id"), (None, None)]
     table = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(1) for c in ("Block", "AT", "pair", "N_A", "docs")}).repartition(3)
     got = alignment.align(table, A, B)
