@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +29,36 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
+#: Folders of the tables that were stored while a scope was open; None outside of scopes.
+_scope: list[str] | None = None
+
+
+@contextmanager
+def scope():
+    """Gives the list of the folders of all tables that are stored inside, for ``drop``."""
+    global _scope
+    before, _scope = _scope, []
+    try:
+        yield _scope
+    finally:
+        _scope = before
+
+
+def drop(spark: SparkSession, folders: list[str]) -> None:
+    """Deletes stored tables that nothing reads any more, and empties the list."""
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs
+    while folders:
+        path = files.Path(folders.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` below the shared folder and reads it back, so a lost executor costs no earlier step."""
     spark = df.sparkSession
     bound_batches(spark)
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if _scope is not None:
+        _scope.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

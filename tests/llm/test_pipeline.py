@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 def test_stages_and_registration():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "quality_rules", "ngram_jaccard_join", "mixing", "byte_bpe"]
     names = [q for q in queries() if q.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in queries() and set(oracle_sql()) <= set(queries())
 
 
@@ -40,6 +40,19 @@ def test_every_stage_takes_effect(spark):
     assert sorted(r["n_tokens"] for r in found) == sorted(len(library.encode_ordinary(r["text"])) for r in mixed.collect())
 
 
+def test_only_the_tables_of_the_last_stage_stay(spark, tmp_path):
+    table(spark, SF, "documents").limit(60).write.parquet(f"file://{tmp_path}/documents.parquet")
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}/shared")
+    try:
+        result = corpus_pipeline.run(spark, f"file://{tmp_path}")
+        assert result.count() > 0
+        left = sorted(p.name.rsplit("-", 1)[0] for p in (tmp_path / "shared").iterdir())
+        assert left == sorted(n for n, _ in corpus_pipeline.STAGES)
+    finally:
+        spark.conf.set("spark.checkpoint.dir", before) if before else spark.conf.unset("spark.checkpoint.dir")
+
+
 def test_run_on_empty_documents(spark, tmp_path):
     table(spark, SF, "documents").limit(0).write.parquet(f"file://{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, f"file://{tmp_path}").count() == 0
