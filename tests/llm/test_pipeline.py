@@ -5,7 +5,7 @@ import tiktoken
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
-from barline.llm import bpe, jaccard, quality
+from barline.llm import bpe, common, jaccard, quality
 from barline.llm.common import store, table
 
 SF = "/root/testdata/sf0.001"
@@ -40,17 +40,12 @@ def test_every_stage_takes_effect(spark):
     assert sorted(r["n_tokens"] for r in found) == sorted(len(library.encode_ordinary(r["text"])) for r in mixed.collect())
 
 
-def test_only_the_tables_of_the_last_stage_stay(spark, tmp_path):
+def test_only_the_tables_of_the_last_stage_stay(spark, tmp_path, monkeypatch):
     table(spark, SF, "documents").limit(60).write.parquet(f"file://{tmp_path}/documents.parquet")
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}/shared")
-    try:
-        result = corpus_pipeline.run(spark, f"file://{tmp_path}")
-        assert result.count() > 0
-        left = sorted(p.name.rsplit("-", 1)[0] for p in (tmp_path / "shared").iterdir())
-        assert left == sorted(n for n, _ in corpus_pipeline.STAGES)
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before) if before else spark.conf.unset("spark.checkpoint.dir")
+    monkeypatch.setattr(common, "shared_folder", lambda spark: f"file://{tmp_path}/shared")
+    assert corpus_pipeline.run(spark, f"file://{tmp_path}").count() > 0
+    left = sorted(p.name.rsplit("-", 1)[0] for p in (tmp_path / "shared").iterdir())
+    assert left == sorted(n for n, _ in corpus_pipeline.STAGES)
 
 
 def test_run_on_empty_documents(spark, tmp_path):
