@@ -110,3 +110,28 @@ def load_series(spark: SparkSession, path: str, series: list[str] | None = None)
             in_bucket = in_bucket | (F.col("bucket") == _bucket(F.lit(s), F.col("buckets")))
         table = table.where(in_bucket & F.col(SERIES).isin(series))
     return table.drop(*LAYOUT)
+
+
+def load_matching(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame | None:
+    """The rows of the series in ``keys``, read from their buckets only; None when there is no table.
+
+    The numbers of the buckets come to the driver, at most one for each bucket of the table.
+    """
+    table = read_or_none(spark, path)
+    if table is None:
+        return None
+    row = table.select("buckets").limit(1).collect()
+    if not row:
+        return table.drop(*LAYOUT)
+    touched = [r[0] for r in keys.select(_bucket(F.col(SERIES), F.lit(row[0][0]))).distinct().collect()]
+    return table.where(F.col("bucket").isin(touched)).join(keys.select(SERIES), SERIES, "left_semi").drop(*LAYOUT)
+
+
+def append_series(df: DataFrame, path: str, buckets: int = BUCKETS) -> None:
+    """Adds rows to the buckets of their series; what is stored is neither read nor written again."""
+    spark = df.sparkSession
+    old = read_or_none(spark, path)
+    row = [] if old is None else old.select("buckets").limit(1).collect()
+    buckets = row[0][0] if row else buckets
+    rows = df.withColumns({"buckets": F.lit(buckets), "bucket": _bucket(F.col(SERIES), F.lit(buckets))})
+    rows.repartition("bucket").sortWithinPartitions("bucket", SERIES, DATE).write.partitionBy(*LAYOUT).mode("append").parquet(path)
