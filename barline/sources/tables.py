@@ -13,7 +13,7 @@ from barline.sources.layout import BUCKETS, load_series, read_or_none, save_seri
 BY_SERIES = {"bars": (), "features": (), "scaler": (), "scaled": (), "forecasts": (), "model_params": ("model",)}
 PLAIN = {"all_forecasts": "parquet", "benchmark": "csv", "benchmark_summary": "json",
          "training_report": "json", "training_totals": "json", "rejected": "parquet", "run_summary": "json"}
-_CSV = {"header": True}
+CSV_OPTIONS = {"header": True}
 
 
 def write_forecasts(wide: DataFrame, path: str, buckets: int = BUCKETS) -> None:
@@ -23,7 +23,7 @@ def write_forecasts(wide: DataFrame, path: str, buckets: int = BUCKETS) -> None:
 
 def write_all_forecasts(wide: DataFrame, path: str, fmt: str = "parquet") -> None:
     """The combined forecast table, metadata columns first; ``csv`` for other tools."""
-    wide.write.mode("overwrite").options(**(_CSV if fmt == "csv" else {})).format(fmt).save(path)
+    wide.write.mode("overwrite").options(**(CSV_OPTIONS if fmt == "csv" else {})).format(fmt).save(path)
 
 
 def read_forecast(spark: SparkSession, path: str, series: str) -> DataFrame | None:
@@ -43,13 +43,13 @@ def write_benchmark(bench: DataFrame, path: str, summary_path: str) -> None:
     """Benchmark as CSV under the published header and, from the stored rows, its summary as JSON."""
     bench.select(
         F.col(SERIES).alias("ticker"), "model", *[F.col(m).alias(m.upper()) for m in METRICS], "rmse_vs_naive_pct"
-    ).write.mode("overwrite").options(**_CSV).csv(path)
+    ).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
     aggregate_summary(read_benchmark(bench.sparkSession, path)).write.mode("overwrite").json(summary_path)
 
 
 def read_benchmark(spark: SparkSession, path: str) -> DataFrame | None:
     """The stored benchmark; None when the file or one of its columns is missing."""
-    raw = read_or_none(spark, path, "csv", **_CSV)
+    raw = read_or_none(spark, path, "csv", **CSV_OPTIONS)
     if raw is None or not set(BENCHMARK.names) <= set(raw.columns):
         return None
     typed = raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name.lower()) for f in BENCHMARK])
@@ -119,7 +119,7 @@ def publish_tables(
                 if rows is not None:
                     save_series(rows, f"{dst}/{name}", BY_SERIES[name])
             else:
-                options = _CSV if PLAIN[name] == "csv" else {}
+                options = CSV_OPTIONS if PLAIN[name] == "csv" else {}
                 rows = read_or_none(spark, f"{src}/{name}", PLAIN[name], **options)
                 if rows is not None:
                     key = next((c for c in (SERIES, "ticker") if c in rows.columns), None)

@@ -29,6 +29,9 @@ NATION_BARS = _bars(
 )
 EVENT_BARS = _bars("event_type", "ts", "value", "event_id", "events")
 EVENT_BARS_2 = _bars("event_type", "ts", "value", "event_id", "events", "event_bars")
+DOUBLED_URGENT = ORDER_BARS.replace("bars AS", "plain AS") + """,
+bars AS (SELECT p.* REPLACE (open * f AS open, high * f AS high, low * f AS low, close * f AS close)
+  FROM (SELECT *, CASE WHEN series = '1-URGENT' THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS f FROM plain) p)"""
 RAW = """raw AS (
   SELECT o_orderpriority AS series, CAST(o_orderdate AS DATE) AS date, o_totalprice AS open,
          o_totalprice * 1.02::DOUBLE AS high, o_totalprice * 0.97::DOUBLE AS low,
@@ -256,6 +259,18 @@ WHERE d IS NULL OR d <= (SELECT max(date) FROM bars) - 1""",
   true AS usable""",
         "artifact_manifest": """SELECT unnest(['bars', 'model_params']) AS "table", true AS has_files, true AS has_bytes""",
         "published_rows": _with(ORDER_BARS) + BAR_COLUMNS,
+        "published_manifest": _with(DOUBLED_URGENT, """verdicts AS (
+  SELECT series, count(*) AS n_rows, CASE WHEN count(*) < 252 THEN 'too few rows' ELSE 'ok' END AS verdict FROM bars GROUP BY series)""") + """
+SELECT 'bars' AS "table", count(*) AS n_rows, CAST(sum(CAST('0x' || substr(md5(concat_ws(chr(31), close, date, high,
+  epoch_us(CAST(date AS TIMESTAMP)), low, open, series, volume)), 1, 15) AS BIGINT)) AS VARCHAR) AS digest, true AS intact FROM bars
+UNION ALL SELECT 'rejected', count(*), CAST(sum(CAST('0x' || substr(md5(concat_ws(chr(31), n_rows, series, verdict)), 1, 15) AS BIGINT)) AS VARCHAR),
+  true FROM verdicts""",
+        "restored_rows": _with(DOUBLED_URGENT) + BAR_COLUMNS,
+        "incremental_panel": _with(RAW, UNIQUE, FILLED, COMPLETE, _clipped("complete", 3.0), _featured()) + _round(
+            "features", list(dict.fromkeys([*OHLCV, *FEATURES])), FEATURE_PLACES, "series, date"),
+        "fresh_job": _with(NATION_BARS.replace("bars AS", "plain AS"), """bars AS (
+  SELECT p.* REPLACE (open * f AS open, high * f AS high, low * f AS low, close * f AS close)
+  FROM plain p JOIN (SELECT n_name AS series, CASE WHEN ascii(n_name) % 2 = 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS f FROM nation) USING (series))""") + BAR_COLUMNS,
         "upserted_bars": _with(NATION_BARS.replace("bars AS", "plain AS"), """bars AS (
   SELECT p.* REPLACE (open * f AS open, high * f AS high, low * f AS low, close * f AS close)
   FROM plain p JOIN (SELECT n_name AS series, CASE WHEN n_nationkey % 2 = 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS f FROM nation) USING (series))""") + BAR_COLUMNS,

@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from barline.functions import dates, text
 from barline.operators import arima, clean, decomposition, features, forecast, metrics, pairs, registry, sequence, split
 from barline.operators.linear import gram_sums
-from barline.plans import preprocess, run, train, views
+from barline.plans import incremental, preprocess, run, train, views
 from barline.schema import DATE, FEATURES, MODEL_PARAMS, OHLCV, SERIES
 from barline.sources import bars as bar_tables
-from barline.sources import layout, tables
+from barline.sources import layout, publish, tables
 
 AS_OF = datetime.date(2000, 1, 1)
 GENERATED = datetime.datetime(2024, 1, 5, 1, 0, 0)
@@ -198,6 +198,53 @@ def q_published_rows(spark, sf):
     return bar_tables.read_bars(spark, f"{back}/bars", "table").select(SERIES, DATE, *OHLCV)
 
 
+def _versions(spark, sf) -> str:
+    """A root with two versions: order bars and verdicts, then one series at double price."""
+    src, dst, bars = scratch(spark), scratch(spark), order_bars(spark, sf)
+    bar_tables.write_bars(bars, f"{src}/bars", loaded_at=F.col(DATE).cast("timestamp"))
+    clean.validate_series(bars).where("n_rows > 0").select(SERIES, "n_rows", "verdict").write.parquet(f"{src}/rejected")
+    publish.publish_version(spark, src, dst, ["bars", "rejected"])
+    doubled = bars.where(F.col(SERIES) == "1-URGENT").withColumns({c: F.col(c) * 2 for c in OHLCV if c != "volume"})
+    bar_tables.write_bars(doubled, f"{src}/bars", loaded_at=F.col(DATE).cast("timestamp"))
+    publish.publish_version(spark, src, dst, ["bars"], series=["1-URGENT"])
+    return dst
+
+
+def q_published_manifest(spark, sf):
+    """Rows and digests of the current version, the second one; the verdicts are carried over from the first."""
+    return publish.verified(spark, _versions(spark, sf))
+
+
+def q_restored_rows(spark, sf):
+    """Bars restored from the current version."""
+    root, back = _versions(spark, sf), scratch(spark)
+    publish.restore_version(spark, root, back, tables=["bars"])
+    return bar_tables.read_bars(spark, f"{back}/bars", "table").select(SERIES, DATE, *OHLCV)
+
+
+def q_incremental_panel(spark, sf):
+    """Raw order bars in three batches by date; the third brings the 13th of each month of one series, withheld before."""
+    root, bars = scratch(spark), raw_bars(spark, sf)
+    day, late = F.col(DATE), (F.col(SERIES) == "3-MEDIUM") & (F.dayofmonth(DATE) == 13)
+    first, second = datetime.date(1997, 7, 1), datetime.date(1998, 3, 1)
+    incremental.update(spark, root, bars.where((day < first) & ~late))
+    incremental.update(spark, root, bars.where((day >= first) & (day < second) & ~late))
+    incremental.update(spark, root, bars.where((day >= second) | late))
+    return layout.load_series(spark, f"{root}/panel")
+
+
+def q_fresh_job(spark, sf):
+    """Stored bars of nations after a job whose source has doubled prices: only those that were stale have been loaded again."""
+    folder, bars = scratch(spark), nation_bars(spark, sf)
+    odd = F.pmod(F.ascii(SERIES), F.lit(2)) == 1
+    now = datetime.datetime(2024, 1, 5, tzinfo=datetime.timezone.utc)
+    stamped = F.when(odd, F.lit(now - datetime.timedelta(hours=24))).otherwise(F.lit(now - datetime.timedelta(hours=23)))
+    bar_tables.write_bars(bars, f"{folder}/bars", loaded_at=stamped)
+    doubled = bars.withColumns({c: F.col(c) * 2 for c in OHLCV if c != "volume"})
+    run.run(spark, doubled, folder, "forecast_only", models=["arima"], min_rows=1, max_age_hours=24, now=now)
+    return bar_tables.read_bars(spark, f"{folder}/bars", "table").select(SERIES, DATE, *OHLCV)
+
+
 def q_upserted_bars(spark, sf):
     """Nation bars, then of every second nation the bars at double price: these replace, the others stay."""
     path, bars = f"{scratch(spark)}/bars", nation_bars(spark, sf)
@@ -766,6 +813,10 @@ def queries() -> dict:
         "publish_tables": q_publish_tables,
         "publish_outcome": lambda spark, sf: tables.publish_outcome(q_publish_tables(spark, sf)),
         "published_rows": lambda spark, sf: rounded(q_published_rows(spark, sf), 4),
+        "published_manifest": q_published_manifest,
+        "restored_rows": lambda spark, sf: rounded(q_restored_rows(spark, sf), 4),
+        "incremental_panel": lambda spark, sf: rounded(q_incremental_panel(spark, sf), FEATURE_PLACES),
+        "fresh_job": lambda spark, sf: rounded(q_fresh_job(spark, sf), 4),
         "upserted_bars": lambda spark, sf: rounded(q_upserted_bars(spark, sf), 4),
         "artifact_manifest": q_artifact_manifest,
         "series_profile": lambda spark, sf: rounded(clean.series_profile(raw_bars(spark, sf)), 6),
