@@ -7,12 +7,15 @@ to its row groups by statistics; writing some series replaces only the buckets t
 
 from __future__ import annotations
 
+import hashlib
+import json
 import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from barline.schema import DATE, SERIES
 
@@ -135,3 +138,45 @@ def append_series(df: DataFrame, path: str, buckets: int = BUCKETS) -> None:
     buckets = row[0][0] if row else buckets
     rows = df.withColumns({"buckets": F.lit(buckets), "bucket": _bucket(F.col(SERIES), F.lit(buckets))})
     rows.repartition("bucket").sortWithinPartitions("bucket", SERIES, DATE).write.partitionBy(*LAYOUT).mode("append").parquet(path)
+
+
+def write_bucketed(df: DataFrame, path: str, buckets: int | None = None) -> DataFrame:
+    """The rows as a table that the planner knows to be dealt by series and sorted by date, in place of what is there.
+
+    Windows, aggregates and joins on the series then need no exchange, in this and, over ``read_bucketed``, in later sessions.
+    The number of buckets is that of the shuffle partitions unless given, so rows already dealt by series are written
+    where they are, one file to a bucket.  For tables that are written as a whole; ``save_series`` replaces single series.
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [c for c in (SERIES, DATE) if c in df.columns]
+    df.repartition(buckets, SERIES).write.format("parquet").mode("overwrite").option("path", path).bucketBy(buckets, SERIES).sortBy(
+        *order).saveAsTable(_registered(path))
+    row = spark.createDataFrame([(buckets, df.schema.json())], "buckets int, kind string")
+    row.coalesce(1).write.mode("overwrite").json(f"{path}-layout")
+    return spark.table(_registered(path))
+
+
+def read_bucketed(spark: SparkSession, path: str) -> DataFrame | None:
+    """A table of ``write_bucketed``; a session that does not know it yet is told its layout.  None when there is none."""
+    told = read_or_none(spark, f"{path}-layout", "json")
+    if told is None:
+        return None
+    name, row = _registered(path), told.first()
+    if not spark.catalog.tableExists(name):
+        kind = StructType.fromJson(json.loads(row["kind"]))
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kind)
+        order = ", ".join(c for c in (SERIES, DATE) if c in kind.names)
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({SERIES}) SORTED BY ({order}) "
+                  f"INTO {row['buckets']} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
+def _registered(path: str) -> str:
+    """The name under which the session's catalog knows the table at a path."""
+    return "bars_" + hashlib.md5(path.encode()).hexdigest()
+
+
+def cut_bucketed(df: DataFrame) -> DataFrame:
+    """Like ``cut_lineage``, for rows that are next used by series."""
+    return write_bucketed(df, f"{shared_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}")

@@ -336,6 +336,7 @@ FROM split GROUP BY series, split""",
         "fit_scaler": _with(*SPLIT, SCALER) + """SELECT series, feature, round(data_min, 2) AS data_min,
   round(data_max, 2) AS data_max, round(scale, 8) AS scale, round("offset", 6) AS "offset" FROM scaler_params""",
         "scale": _with(*TO_SCALED) + SCALED_OUT,
+        "bucketed_scale": _with(*TO_SCALED) + SCALED_OUT,
         "scale_stored": _with(*TO_SCALED) + SCALED_OUT,
         "inverse_scale": _with(*SPLIT) + "SELECT series, date, round(close, 4) AS close FROM split",
         "preprocess": _with(RAW, UNIQUE, FILLED, COMPLETE, _clipped("complete", 3.0), _featured(), _labelled(), SCALED) + """

@@ -245,6 +245,14 @@ def q_fresh_job(spark, sf):
     return bar_tables.read_bars(spark, f"{folder}/bars", "table").select(SERIES, DATE, *OHLCV)
 
 
+def q_bucketed_scale(spark, sf):
+    """Labelled features stored in buckets that the planner knows, read as by another session, and scaled."""
+    path = f"{scratch(spark)}/features"
+    layout.write_bucketed(split_rows(spark, sf), path, 6)
+    spark.sql(f"DROP TABLE {layout._registered(path)}")
+    return split.scale(layout.read_bucketed(spark, path))
+
+
 def q_upserted_bars(spark, sf):
     """Nation bars, then of every second nation the bars at double price: these replace, the others stay."""
     path, bars = f"{scratch(spark)}/bars", nation_bars(spark, sf)
@@ -845,6 +853,7 @@ def queries() -> dict:
         "leakage_cases": q_leakage_cases,
         "fit_scaler": q_fit_scaler,
         "scale": q_scale,
+        "bucketed_scale": lambda spark, sf: _scaled_places(q_bucketed_scale(spark, sf)),
         "scale_stored": q_scale_stored,
         "inverse_scale": q_inverse_scale,
         "preprocess": q_preprocess,
