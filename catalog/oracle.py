@@ -34,7 +34,7 @@ bars AS (SELECT p.* REPLACE (open * f AS open, high * f AS high, low * f AS low,
   FROM (SELECT *, CASE WHEN series = '1-URGENT' THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS f FROM plain) p)"""
 RAW = """raw AS (
   SELECT o_orderpriority AS series, CAST(o_orderdate AS DATE) AS date, o_totalprice AS open,
-         o_totalprice * 1.02::DOUBLE AS high, o_totalprice * 0.97::DOUBLE AS low,
+         o_totalprice * 1.03::DOUBLE AS high, o_totalprice * 0.96::DOUBLE AS low,
          CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS close,
          CAST(o_custkey AS DOUBLE) AS volume, o_orderkey AS ordinal
   FROM orders)"""

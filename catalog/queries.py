@@ -59,8 +59,8 @@ def raw_bars(spark, sf) -> DataFrame:
         F.col("o_orderpriority").alias(SERIES),
         F.to_date("o_orderdate").alias(DATE),
         price.alias("open"),
-        (price * 1.02).alias("high"),
-        (price * 0.97).alias("low"),
+        (price * 1.03).alias("high"),
+        (price * 0.96).alias("low"),
         F.when(F.col("o_orderstatus") != "P", price).alias("close"),
         F.col("o_custkey").cast("double").alias("volume"),
         F.col("o_orderkey").alias("ingest_ordinal"),
