@@ -152,11 +152,14 @@ def filter_series(df: DataFrame, series: str) -> DataFrame:
 
 
 def filter_series_or_all(df: DataFrame, series: str | None) -> DataFrame:
-    """Rows of one series; all rows when it is not given or unknown."""
+    """Rows of one series; all rows when it is not given or unknown.
+
+    Whether it is known is looked up first, by a read that stops at one row; the filter then reaches the scan.
+    """
     if series is None:
         return df
-    known = df.agg(F.coalesce(F.max(F.col(SERIES) == series), F.lit(False)).alias("_known"))
-    return df.crossJoin(known).where(~F.col("_known") | (F.col(SERIES) == series)).drop("_known")
+    one = filter_series(df, series)
+    return df if one.isEmpty() else one
 
 
 def ordered_report(
