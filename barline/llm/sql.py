@@ -35,17 +35,56 @@ hosts AS (
          list_aggregate(l[greatest(len(l) - CASE WHEN wide THEN 2 ELSE 1 END, 1):], 'string_agg', '.') AS domain,
          list_aggregate(l[greatest(len(l) - CASE WHEN wide THEN 1 ELSE 0 END, 1):], 'string_agg', '.') AS suffix FROM h1),
 domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY domain, suffix),
-ends AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, FROM domains GROUP BY suffix),
-e1 AS (SELECT *, (SELECT (coalesce(sum(bad), 0) + 0.5::DOUBLE) / (coalesce(sum(n), 0) + 1) FROM ends) AS p FROM ends),
-es AS (SELECT {strength} AS s FROM e1),
-e2 AS (SELECT suffix, (bad + s * p) / (n + s) AS p FROM e1, es),
-d1 AS (SELECT domain, n, bad, p FROM domains JOIN e2 USING (suffix)),
-ds AS (SELECT {strength} AS s FROM d1),
-d2 AS (SELECT domain, (bad + s * p) / (n + s) AS p FROM d1, ds),
-x1 AS (SELECT host, n, bad, p FROM hosts JOIN d2 USING (domain)),
-xs AS (SELECT {strength} AS s FROM x1),
-x2 AS (SELECT host, n + s AS w, (bad + s * p) / (n + s) AS m FROM x1, xs),
-bounds AS (SELECT host, m - 2.0 * sqrt(m * (1 - m) / (w + 1)) AS bound FROM x2),
+base AS (SELECT (coalesce(sum(bad), 0) + 0.5::DOUBLE) / (coalesce(sum(n), 0) + 1) AS rate FROM domains),
+ends AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, any_value(rate) AS p, 0::DOUBLE AS doubt FROM domains, base GROUP BY suffix),
+e1 AS (SELECT *, (SELECT sum(n) FROM ends) AS all_n, (SELECT sum(bad) FROM ends) AS all_bad FROM ends),
+end_level AS (
+  SELECT least(greatest(coalesce(sum(off - free) FILTER (ordinary) / nullif(sum(free * (n - 1)) FILTER (ordinary), 0), 0),
+                        1 / (2 + coalesce(sum(n), 0))::DOUBLE), 0.99) AS rho,
+         (1 + count(*) FILTER (n >= 5 AND NOT ordinary)) / (100 + count(*) FILTER (n >= 5))::DOUBLE AS share
+  FROM (SELECT *, n = all_n OR off <= 25 * free AS ordinary
+  FROM (SELECT n, all_n, (bad - n * r) * (bad - n * r) AS off, n * r * (1 - r) * (1 - n / all_n) AS free
+        FROM (SELECT *, all_bad / all_n AS r FROM e1 WHERE n > 0)))),
+d1 AS (SELECT domain, d.n, d.bad, e.n AS all_n, e.bad AS all_bad, p, doubt FROM domains d JOIN ends e USING (suffix)),
+d2 AS (
+  SELECT domain, n, bad, (1 - v) * m + v * x AS mean,
+         (1 - v) * m * (1 - m) / (k + s + 1) + v * x * (1 - x) / (k + 3) + v * (1 - v) * (m - x) * (m - x) AS variance
+  FROM (SELECT *, (h + s * p) / (k + s) AS m, (h + 1) / (k + 2) AS x,
+               1 / (1 + exp(least(lgamma(h + s * p) - lgamma(s * p) + lgamma(k - h + s * (1 - p)) - lgamma(s * (1 - p)) - lgamma(k + s) + lgamma(s)
+                                  - lgamma(h + 1) - lgamma(k - h + 1) + lgamma(k + 2) + ln((1 - share) / share), 700))) AS v
+        FROM (SELECT *, (all_n - n)::DOUBLE AS k, (all_bad - bad)::DOUBLE AS h, 1 / least(rho + doubt, 0.99) - 1 AS s FROM d1, end_level))),
+d3 AS (SELECT domain, n, bad, mean AS p, variance / (mean * (1 - mean)) AS doubt FROM d2),
+domain_level AS (
+  SELECT least(greatest(coalesce(sum(off - free) FILTER (ordinary) / nullif(sum(free * (n - 1)) FILTER (ordinary), 0), 0),
+                        1 / (2 + coalesce(sum(n), 0))::DOUBLE), 0.99) AS rho,
+         (1 + count(*) FILTER (n >= 5 AND NOT ordinary)) / (100 + count(*) FILTER (n >= 5))::DOUBLE AS share
+  FROM (SELECT *, n = all_n OR off <= 25 * free AS ordinary
+  FROM (SELECT n, all_n, (bad - n * r) * (bad - n * r) AS off, n * r * (1 - r) * (1 - n / all_n) AS free
+        FROM (SELECT *, all_bad / all_n AS r FROM d1 WHERE n > 0)))),
+h2 AS (SELECT host, h.n, h.bad, d.n AS all_n, d.bad AS all_bad, p, doubt FROM hosts h JOIN d3 d USING (domain)),
+h3 AS (
+  SELECT host, n, bad, (1 - v) * m + v * x AS mean,
+         (1 - v) * m * (1 - m) / (k + s + 1) + v * x * (1 - x) / (k + 3) + v * (1 - v) * (m - x) * (m - x) AS variance
+  FROM (SELECT *, (h + s * p) / (k + s) AS m, (h + 1) / (k + 2) AS x,
+               1 / (1 + exp(least(lgamma(h + s * p) - lgamma(s * p) + lgamma(k - h + s * (1 - p)) - lgamma(s * (1 - p)) - lgamma(k + s) + lgamma(s)
+                                  - lgamma(h + 1) - lgamma(k - h + 1) + lgamma(k + 2) + ln((1 - share) / share), 700))) AS v
+        FROM (SELECT *, (all_n - n)::DOUBLE AS k, (all_bad - bad)::DOUBLE AS h, 1 / least(rho + doubt, 0.99) - 1 AS s FROM h2, domain_level))),
+h4 AS (SELECT host, n, bad, mean AS p, variance / (mean * (1 - mean)) AS doubt FROM h3),
+host_level AS (
+  SELECT least(greatest(coalesce(sum(off - free) FILTER (ordinary) / nullif(sum(free * (n - 1)) FILTER (ordinary), 0), 0),
+                        1 / (2 + coalesce(sum(n), 0))::DOUBLE), 0.99) AS rho,
+         (1 + count(*) FILTER (n >= 5 AND NOT ordinary)) / (100 + count(*) FILTER (n >= 5))::DOUBLE AS share
+  FROM (SELECT *, n = all_n OR off <= 25 * free AS ordinary
+  FROM (SELECT n, all_n, (bad - n * r) * (bad - n * r) AS off, n * r * (1 - r) * (1 - n / all_n) AS free
+        FROM (SELECT *, all_bad / all_n AS r FROM h2 WHERE n > 0)))),
+h5 AS (
+  SELECT host, (1 - v) * m + v * x AS mean,
+         (1 - v) * m * (1 - m) / (k + s + 1) + v * x * (1 - x) / (k + 3) + v * (1 - v) * (m - x) * (m - x) AS variance
+  FROM (SELECT *, (h + s * p) / (k + s) AS m, (h + 1) / (k + 2) AS x,
+               1 / (1 + exp(least(lgamma(h + s * p) - lgamma(s * p) + lgamma(k - h + s * (1 - p)) - lgamma(s * (1 - p)) - lgamma(k + s) + lgamma(s)
+                                  - lgamma(h + 1) - lgamma(k - h + 1) + lgamma(k + 2) + ln((1 - share) / share), 700))) AS v
+        FROM (SELECT *, n::DOUBLE AS k, bad::DOUBLE AS h, 1 / least(rho + doubt, 0.99) - 1 AS s FROM h4, host_level))),
+bounds AS (SELECT host, mean - 2.0 * sqrt(variance) AS bound, 3 * rate / (1 - rate) / (1 + 3 * rate / (1 - rate)) AS most FROM h5, base),
 ruled AS (
   SELECT page_id, host, path, CASE
     WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
@@ -54,11 +93,9 @@ ruled AS (
     WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM parts)
 SELECT page_id, host, path, rule, CASE
     WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
-    WHEN bound > 0.5 THEN 'block' ELSE 'allow' END AS verdict
+    WHEN bound > most THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled LEFT JOIN bounds USING (host)
-""".replace("{strength}", """coalesce(1 / least(greatest(
-    CASE WHEN sum(n * p * (1 - p) * (n - 1)) = 0 THEN NULL ELSE
-      (sum((bad - n * p) * (bad - n * p)) - sum(n * p * (1 - p))) / sum(n * p * (1 - p) * (n - 1)) END, 0.001), 0.999) - 1, 1.0)""")
+"""
 
 OP4 = r"""
 WITH said AS (

@@ -5,6 +5,7 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -94,6 +95,110 @@ def test_bad_hosts_are_blocked_and_unknown_ones_follow_their_domain(spark):
     assert found.count() == len(pages)
 
 
+def plain_posterior(n, bad, p, doubt, rho, share):
+    s = 1 / min(rho + doubt, 0.99) - 1
+    g = math.lgamma
+    alike = g(bad + s * p) - g(s * p) + g(n - bad + s * (1 - p)) - g(s * (1 - p)) - g(n + s) + g(s)
+    strange = g(bad + 1) + g(n - bad + 1) - g(n + 2)
+    v = 1 / (1 + math.exp(min(700, alike - strange + math.log((1 - share) / share))))
+    parts = ((1 - v, bad + s * p, n - bad + s * (1 - p)), (v, bad + 1, n - bad + 1))
+    mean = sum(w * a / (a + b) for w, a, b in parts)
+    square = sum(w * a * (a + 1) / (a + b) / (a + b + 1) for w, a, b in parts)
+    return mean, square - mean * mean
+
+
+def plain_level(members):
+    """(rho, share) of members (n, bad, n of the parent, bad of the parent)."""
+    top = below = total = many = strange = 0
+    for n, bad, all_n, all_bad in members:
+        if not n:
+            continue
+        p = all_bad / all_n
+        off, free = (bad - n * p) ** 2 * (n < all_n), n * p * (1 - p) * (1 - n / all_n)
+        total, many = total + n, many + (n >= 5)
+        if n == all_n or off <= 25 * free:
+            top, below = top + off - free, below + free * (n - 1)
+        else:
+            strange += n >= 5
+    return min(max(top / below if below else 0.0, 1 / (2 + total)), 0.99), (1 + strange) / (100 + many)
+
+
+def plain_reputations(counts):
+    """{host: (mean, variance)} of {host: (n, bad)}; hosts of one-label suffixes."""
+    domain, end = {h: ".".join(h.split(".")[-2:]) for h in counts}, {h: h.split(".")[-1] for h in counts}
+    total = lambda keys, k: tuple(sum(c[i] for h, c in counts.items() if keys[h] == k) for i in (0, 1))
+    less = lambda a, b: (a[0] - b[0], a[1] - b[1])
+    prior = lambda m, v: (m, v / (m * (1 - m)))
+    n, bad = (sum(c[i] for c in counts.values()) for i in (0, 1))
+    base = (bad + 0.5) / (n + 1)
+    ends = {e: total(end, e) for e in set(end.values())}
+    domains = {d: total(domain, d) for d in set(domain.values())}
+    fit = plain_level([(*c, n, bad) for c in ends.values()])
+    above = {d: prior(*plain_posterior(*less(ends[d.split(".")[-1]], c), base, 0.0, *fit)) for d, c in domains.items()}
+    fit = plain_level([(*c, *ends[d.split(".")[-1]]) for d, c in domains.items()])
+    own = {h: prior(*plain_posterior(*less(domains[domain[h]], c), *above[domain[h]], *fit)) for h, c in counts.items()}
+    fit = plain_level([(*c, *domains[domain[h]]) for h, c in counts.items()])
+    return {h: plain_posterior(*c, *own[h], *fit) for h, c in counts.items()}, base
+
+
+def outcomes_of(spark, counts):
+    """Pages and labels of hosts {host: (n, bad)}, with a column whose name clashes with the operator's own."""
+    rows = [(h, i < bad) for h, (n, bad) in counts.items() for i in range(n)] + [(h, None) for h, (n, _) in counts.items() if not n]
+    pages = spark.createDataFrame([(i, f"http://{h}/") for i, (h, _) in enumerate(rows)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(not b), 0) for i, (_, b) in enumerate(rows) if b is not None], "doc_id long, quality int, toxic int")
+    return pages.withColumn("bad", F.lit(5)).withColumn("P", F.lit(0.5)), labels.withColumn("host", F.lit("x")).withColumn("N", F.lit(1))
+
+
+def test_posteriors_equal_plain_ones(spark):
+    rng = random.Random(3)
+    counts = {}
+    for e, rate in (("com", 0.2), ("org", 0.3), ("xyz", 0.9)):
+        for d in range(6):
+            for h in range(rng.choice([1, 2, 5])):
+                n = rng.choice([0, 1, 2, 7, 30])
+                counts[f"h{h}.d{d}.{e}"] = (n, sum(rng.random() < rate for _ in range(n)))
+    counts["only.bad.com"] = (40, 40)
+    counts["only.good.xyz"] = (40, 0)
+    pages, labels = outcomes_of(spark, counts)
+    found, base = urls.reputations(pages.select("page_id", urls.host_of(F.col("url")).alias("host")), labels)
+    want, rate = plain_reputations(counts)
+    got = {r.host: r for r in found.collect()}
+    assert base == pytest.approx(rate) and set(got) == set(want)
+    for host, (mean, variance) in want.items():
+        assert (got[host].n, got[host].bad) == counts[host]
+        assert got[host].mean == pytest.approx(mean, rel=1e-6) and got[host].variance == pytest.approx(variance, rel=1e-5)
+
+
+def test_wholly_bad_hosts_stand_out_among_very_many(spark):
+    """Fifty bad pages of fifty are blocked among 50 000 hosts whose rates differ by chance only, and these are let through."""
+    hosts = spark.range(50_000).select(F.concat(F.lit("www.h"), F.col("id").cast("string"), F.lit(".com")).alias("host"), F.explode(F.sequence(F.lit(1), F.lit(20))).alias("k"))
+    bad = spark.range(10).select(F.concat(F.lit("www.evil"), F.col("id").cast("string"), F.lit(".com")).alias("host"), F.explode(F.sequence(F.lit(1), F.lit(50))).alias("k"))
+    rows = hosts.withColumn("wrong", F.pmod(F.xxhash64("host", "k"), F.lit(100)) < 26).unionByName(bad.withColumn("wrong", F.lit(True)))
+    rows = rows.withColumn("page_id", F.xxhash64("host", "k"))
+    pages = rows.select("page_id", F.concat(F.lit("http://"), "host", F.lit("/")).alias("url"))
+    labels = rows.select(F.col("page_id").alias("doc_id"), (~F.col("wrong")).cast("int").alias("quality"), F.lit(0).alias("toxic"))
+    judged = urls.judge(pages, labels)
+    blocked = {r.host for r in judged.where("verdict = 'block'").select("host").distinct().collect()}
+    assert blocked == {f"www.evil{i}.com" for i in range(10)}
+    assert judged._jdf.queryExecution().executedPlan().toString().count("Exchange") < 40
+
+
+def test_few_bad_pages_make_no_bad_host(spark):
+    counts = {f"h{i}.d{i % 40}.org": (12, 3) for i in range(120)} | {"one.x.org": (1, 1), "two.y.org": (2, 2), "four.z.org": (12, 4), "all.w.org": (30, 30)}
+    pages, labels = outcomes_of(spark, counts)
+    verdicts = {r.host: r.verdict for r in urls.judge(pages, labels).collect()}
+    assert {h for h, v in verdicts.items() if v == "block"} == {"all.w.org"}
+    with duckdb.connect() as con:
+        con.register("pages", pages.toPandas())
+        con.register("labels", labels.toPandas())
+        assert {r[1]: r[4] for r in con.execute(f"SELECT page_id, host, path, rule, verdict FROM ({sql.OP2})").fetchall()} == verdicts
+
+
+@pytest.mark.parametrize("x", [1e-7, 0.01, 0.5, 1.0, 3.7, 50.0, 1e4, 1e9])
+def test_log_gamma(spark, x):
+    assert spark.range(1).select(urls.log_gamma(F.lit(x)).alias("y")).first().y == pytest.approx(math.lgamma(x), rel=1e-9, abs=1e-8)
+
+
 # --- Jaccard join ---------------------------------------------------------------------------------
 
 def plain_shingles(text):
