@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barline.functions.numeric import array_dot, dot, z_value
+from barline.functions.numeric import dot, z_value
 from barline.operators.linear import gram_sums, solve, unpack
 from barline.operators.split import train_plus_val
 from barline.schema import CONFIDENCE, HORIZON, KPSS_CRITICAL, MAX_D, MAX_P, MAX_Q, SERIES, TARGET, by_date, by_series
@@ -254,49 +254,90 @@ def fit_arima(
     )
 
 
-def _path(horizon: Column) -> Column:
-    """Array of (step, forecast, variance factor) from the parameter map, by recursion over the steps."""
+PATH = T.StructType([
+    T.StructField(SERIES, T.StringType()),
+    T.StructField("model", T.StringType()),
+    T.StructField("sigma2", T.DoubleType()),
+    T.StructField("step", T.IntegerType()),
+    T.StructField("forecast", T.DoubleType()),
+    T.StructField("var", T.DoubleType()),
+])
+STEP_ROWS = 1 << 16  # rows of path that a task holds before it sends them on
+
+
+def _padded(values: pd.Series, width: int) -> np.ndarray:
+    out = np.zeros((len(values), width))
+    for row, v in zip(out, values):
+        row[: len(v)] = v
+    return out
+
+
+def _companion(ar: np.ndarray, ma: np.ndarray, const: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """The linear map of one step, a matrix per series, on (w lags, e lags, level, slope, 1)."""
+    size, tail = ar.shape
+    level, slope, one = 2 * tail, 2 * tail + 1, 2 * tail + 2
+    new = np.concatenate([ar, ma, np.zeros((size, 2)), const[:, None]], axis=1)
+    m = np.zeros((size, 2 * tail + 3, 2 * tail + 3))
+    m[:, 0] = new
+    for lag_of in range(1, tail):
+        m[:, lag_of, lag_of - 1] = 1.0
+        m[:, tail + lag_of, tail + lag_of - 1] = 1.0
+    m[:, level] = new
+    m[:, slope] = new
+    m[d == 1, level, level] += 1.0
+    m[d == 2, slope, slope] += 1.0
+    m[d == 2, level] = m[d == 2, slope]
+    m[d == 2, level, level] += 1.0
+    m[:, one, one] = 1.0
+    return m
+
+
+def _steps(batches):
+    """Arrow batches of parameters to rows of steps: one product of matrices a step, over all series of a batch.
+
+    The response to a unit shock moves by the same map as the path, so both are columns of one state; its
+    level is the psi weight that the variance sums.  Series whose horizon is reached drop out.
+    """
+    for p in batches:
+        p = p[p["h"] > 0].sort_values("h", ascending=False, kind="stable").reset_index(drop=True)
+        if p.empty:
+            continue
+        tail = max(int(max(p[c].str.len().max() for c in ("ar", "ma", "w", "e"))), 1)
+        ar, ma, w, e = (_padded(p[c], tail) for c in ("ar", "ma", "w", "e"))
+        d, h = p["d"].to_numpy(), p["h"].to_numpy()
+        move = _companion(ar, ma, p["const"].to_numpy(), d)
+        state = np.zeros((len(p), 2 * tail + 3, 2))
+        state[:, :, 0] = np.concatenate([w, e, p[["y", "dy"]].to_numpy(), np.ones((len(p), 1))], axis=1)
+        variance = np.zeros(len(p))
+        held, rows = [], 0
+        for step in range(1, int(h[0]) + 1):
+            n = int(np.searchsorted(-h, -step, "right"))
+            state = np.matmul(move[:n], state[:n])
+            if step == 1:
+                state[:, [0, tail, 2 * tail, 2 * tail + 1], 1] = 1.0
+            variance = variance[:n] + state[:, 2 * tail, 1] ** 2
+            held.append((step, state[:, 2 * tail, 0].copy(), variance))
+            rows += n
+            if rows >= STEP_ROWS or step == h[0]:
+                at = np.concatenate([np.arange(len(y)) for _, y, _ in held])
+                out = p.loc[at, [SERIES, "model", "sigma2"]].reset_index(drop=True)
+                out["step"] = np.repeat(np.array([k for k, _, _ in held], "int32"), [len(y) for _, y, _ in held])
+                out["forecast"] = np.concatenate([y for _, y, _ in held])
+                out["var"] = np.concatenate([v for _, _, v in held])
+                yield out
+                held, rows = [], 0
+
+
+def arima_paths(params: DataFrame, horizon: Column) -> DataFrame:
+    """(series, model, sigma2, step, forecast, var): the point path and the variance factor of each step.
+
+    Work and memory are linear in the horizon, which may differ by series.
+    """
     p = F.col("params")
-    ar, ma, const, d = p["ar"], p["ma"], p["const"][0], p["order"][1]
-    tail = F.size(p["w"])
-    zeros = F.array_repeat(F.lit(0.0), tail)
-
-    def push(values: Column, new: Column) -> Column:
-        return F.slice(F.concat(F.array(new), values), F.lit(1), tail)
-
-    def by_d(zero: Column, first: Column, second: Column) -> Column:
-        return F.when(d == 0, zero).when(d == 1, first).otherwise(second)
-
-    start = F.struct(
-        p["w"].alias("w"), p["e"].alias("e"), zeros.alias("psi"),
-        p["last"][0].alias("y"), p["last"][1].alias("dy"),
-        F.lit(0.0).alias("c1"), F.lit(0.0).alias("c2"), F.lit(0.0).alias("var"),
-        F.slice(F.array(F.struct(F.lit(0).alias("step"), F.lit(0.0).alias("y"), F.lit(0.0).alias("var"))), 1, 0)
-        .alias("out"),
-    )
-
-    def values(s: Column, k: Column) -> Column:
-        """New difference and new psi weight; a struct so that both are computed once."""
-        psi = F.when(k == 1, F.lit(1.0)).otherwise(F.coalesce(F.get(ma, k - 2), F.lit(0.0)) + array_dot(ar, s["psi"]))
-        return F.struct((const + array_dot(ar, s["w"]) + array_dot(ma, s["e"])).alias("w"), psi.alias("psi"))
-
-    def advance(s: Column, v: Column, k: Column) -> Column:
-        dy = by_d(v["w"] - s["y"], v["w"], s["dy"] + v["w"])
-        c1 = s["c1"] + v["psi"]
-        c2 = s["c2"] + c1
-        weight = by_d(v["psi"], c1, c2)
-        var = s["var"] + weight * weight
-        y = by_d(v["w"], s["y"] + v["w"], s["y"] + dy)
-        return F.struct(
-            push(s["w"], v["w"]).alias("w"), push(s["e"], F.lit(0.0)).alias("e"), push(s["psi"], v["psi"]).alias("psi"),
-            y.alias("y"), dy.alias("dy"), c1.alias("c1"), c2.alias("c2"), var.alias("var"),
-            F.concat(s["out"], F.array(F.struct(k.alias("step"), y.alias("y"), var.alias("var")))).alias("out"),
-        )
-
-    def step(s: Column, k: Column) -> Column:
-        return F.transform(F.array(values(s, k)), lambda v: advance(s, v, k))[0]
-
-    return F.aggregate(F.sequence(F.lit(1), horizon), start, step, lambda s: s["out"])
+    return params.where(F.col("params").isNotNull()).select(
+        SERIES, "model", p["sigma2"][0].alias("sigma2"), F.coalesce(horizon.cast("int"), F.lit(0)).alias("h"), p["order"][1].alias("d"),
+        p["const"][0].alias("const"), *(p[c].alias(c) for c in ("ar", "ma", "w", "e")), p["last"][0].alias("y"), p["last"][1].alias("dy"),
+    ).mapInPandas(_steps, PATH)
 
 
 def arima_interval(paths: DataFrame, confidence: float = CONFIDENCE) -> DataFrame:
@@ -311,7 +352,4 @@ def arima_interval(paths: DataFrame, confidence: float = CONFIDENCE) -> DataFram
 def forecast_arima(params: DataFrame, horizon: int | Column = HORIZON, confidence: float = CONFIDENCE) -> DataFrame:
     """Point forecast with its analytic band, in scaled units."""
     h = horizon if isinstance(horizon, Column) else F.lit(horizon)
-    paths = params.where(F.col("params").isNotNull()).select(
-        SERIES, "model", F.col("params")["sigma2"][0].alias("sigma2"), F.inline(_path(h))
-    )
-    return arima_interval(paths.withColumnRenamed("y", "forecast"), confidence)
+    return arima_interval(arima_paths(params, h), confidence)

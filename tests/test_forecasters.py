@@ -152,6 +152,29 @@ def test_horizon_may_differ_by_series(fitted):
     assert got["rw"] == 3 and got["ar2"] == 7
 
 
+def test_long_and_ragged_horizons_equal_a_plain_loop(spark):
+    """Work is linear in the horizon, and series of one batch may have different orders, tails and horizons."""
+    orders = {"arma": ([1.0, 0.0, 1.0], [0.6], [0.3]), "drift": ([2.0, 1.0, 0.0], [0.4, -0.2], [0.0, 0.0]), "curve": ([0.0, 2.0, 1.0], [0.0], [-0.5])}
+    rows = []
+    for name, (order, ar, ma) in orders.items():
+        pad = [0.0] * (len(ar) - 1)
+        rows.append((name, "arima", {"order": order, "const": [0.0 if order[1] == 2 else 0.02], "ar": ar, "ma": ma, "sigma2": [0.5],
+                                     "w": [0.3, *pad], "e": [0.1, *pad], "last": [1.5, 0.01]}))
+    params = spark.createDataFrame(rows, "series string, model string, params map<string, array<double>>")
+    h = F.when(F.col("series") == "arma", 8000).when(F.col("series") == "drift", 2000).when(F.col("series") == "curve", 3)
+    got = arima.forecast_arima(params, h, 0.9).toPandas().sort_values(["series", "step"])
+    assert got.groupby("series").size().to_dict() == {"arma": 8000, "drift": 2000, "curve": 3}
+    for name, _, p in rows:
+        whole = {**p, **{c: np.pad(p[c], (0, 5 - len(p[c]))) for c in ("ar", "ma", "w", "e")}}
+        mine = got[got.series == name]
+        want = walk_forward(whole, len(mine))
+        assert mine.step.tolist() == list(range(1, len(mine) + 1))
+        assert mine.forecast.to_numpy() == pytest.approx([y for y, _ in want], rel=1e-8)
+        half = z_value(0.9) * np.sqrt(0.5 * np.array([v for _, v in want]))
+        assert (mine.upper - mine.forecast).to_numpy() == pytest.approx(half, rel=1e-6)
+    assert arima.forecast_arima(params, F.lit(None).cast("int")).count() == 0 and arima.forecast_arima(params.limit(0), 5).count() == 0
+
+
 @pytest.fixture(scope="module")
 def panel_scaled(spark):
     dates = pd.bdate_range("2018-01-01", periods=1500)
