@@ -131,6 +131,61 @@ def _ar1_path(steps: str) -> str:
   FROM ar1 JOIN origin USING (series) JOIN {steps} USING (series))"""
 
 
+def _autocov(order: str, orders: str) -> str:
+    """Autocovariances at lags 0 to 16 of the differenced train values, the predictors of orders up to 16 from them by a
+    recursion over the order, and the fit of smallest AIC among ``orders``; d from the table ``order`` (series, d)."""
+    return f"""RECURSIVE_MARK ac_w AS (
+  SELECT series, date, split, close AS y, d, row_number() OVER s AS t,
+         CASE d WHEN 0 THEN close WHEN 1 THEN close - lag(close) OVER s ELSE close - 2 * lag(close) OVER s + lag(close, 2) OVER s END AS w
+  FROM scaled JOIN ({order}) USING (series) WHERE split IN ('train', 'val') WINDOW s AS (PARTITION BY series ORDER BY date)),
+ac_mean AS (SELECT series, any_value(d) AS d, count(w) AS n, CASE WHEN any_value(d) < 2 THEN avg(w) ELSE 0 END AS mean FROM ac_w WHERE split = 'train' GROUP BY series),
+ac_x AS (SELECT series, t, w - mean AS x FROM ac_w JOIN ac_mean USING (series) WHERE split = 'train'),
+ac_products AS (
+  SELECT a.series, k, sum(a.x * b.x) AS s FROM ac_x a CROSS JOIN range(17) r(k) JOIN ac_x b ON a.series = b.series AND b.t = a.t - k GROUP BY a.series, k),
+ac_gamma AS (SELECT series, list(s / n ORDER BY k) AS g FROM ac_products JOIN ac_mean USING (series) GROUP BY series),
+dl AS (
+  SELECT series, g, 0 AS k, []::DOUBLE[] AS phi, g[1] AS v FROM ac_gamma
+  UNION ALL SELECT series, g, k + 1, list_concat([phi[j] - a * phi[k + 1 - j] FOR j IN range(1, k + 1)], [a]), v * (1 - a * a)
+  FROM (SELECT *, (g[k + 2] - coalesce(list_sum([phi[j] * g[k + 2 - j] FOR j IN range(1, k + 1)]), 0)) / v AS a FROM dl WHERE k < 16)),
+ac_psi AS (SELECT a.series, a.phi[1] AS psi1, a.phi[1] * b.phi[1] + a.phi[2] AS psi2 FROM dl a JOIN dl b ON a.series = b.series AND a.k = 16 AND b.k = 15),
+ac_fits AS (
+  SELECT series, k AS p, 0 AS q, coalesce(phi[1], 0) AS ar1, coalesce(phi[2], 0) AS ar2, 0::DOUBLE AS ma1 FROM dl WHERE k <= 2
+  UNION ALL SELECT series, 0, 1, 0, 0, psi1 FROM ac_psi
+  UNION ALL SELECT series, 1, 1, psi2 / psi1, 0, psi1 - psi2 / psi1 FROM ac_psi),
+ac_scored AS (
+  SELECT *, list_sum(flatten([[pi[i] * pi[j] * g[abs(i - j) + 1] FOR j IN range(1, 18)] FOR i IN range(1, 18)])) AS v,
+         p + q + CASE WHEN d < 2 THEN 1 ELSE 0 END AS free
+  FROM (SELECT *, list_concat([1::DOUBLE, -ar1 - ma1], [(-ar2 + ma1 * (ar1 + ma1)) * pow(-ma1, j) FOR j IN range(0, 15)]) AS pi
+        FROM ac_fits JOIN ac_gamma USING (series) JOIN ac_mean USING (series))
+  WHERE (p, q) IN ({orders}) AND abs(ar2) < 0.999 AND abs(ar1 / (1 - ar2)) < 0.999 AND abs(ma1) < 0.999),
+ac_best AS (
+  SELECT *, n * ln(v) + 2 * (free + 1) AS aic, v * n / (n - free) AS sigma2, mean * (1 - ar1 - ar2) AS const FROM ac_scored
+  QUALIFY row_number() OVER (PARTITION BY series ORDER BY n * ln(v) + 2 * (free + 1), p, q) = 1)"""
+
+
+def _autocov_path(d: int) -> str:
+    """Steps of the fit in ``ac_best`` for d of 0 or 1, from the last values and the last residual before the origin."""
+    return f"""ac_last AS (
+  SELECT w.series, arg_max(w.y, t) AS y, list(w.w ORDER BY t DESC) AS ws, list(w.w - mean ORDER BY t DESC) AS xs FROM ac_w w JOIN ac_mean USING (series) GROUP BY w.series),
+ac_path AS (
+  SELECT series, 0 AS step, ws[1] AS w1, ws[2] AS w2, list_sum([pi[i] * xs[i] FOR i IN range(1, 18)]) AS e, y,
+         0::DOUBLE AS psi1, 0::DOUBLE AS psi2, 0::DOUBLE AS c, 0::DOUBLE AS var, const, ar1, ar2, ma1, sigma2, p, q FROM ac_last JOIN ac_best USING (series)
+  UNION ALL SELECT series, step + 1, w, w1, 0, CASE WHEN {d} = 0 THEN w ELSE y + w END, psi, psi1, c + psi,
+         var + CASE WHEN {d} = 0 THEN psi * psi ELSE (c + psi) * (c + psi) END, const, ar1, ar2, ma1, sigma2, p, q
+  FROM (SELECT *, const + ar1 * w1 + ar2 * w2 + ma1 * e AS w,
+               CASE step WHEN 0 THEN 1 WHEN 1 THEN ma1 ELSE 0 END + ar1 * psi1 + ar2 * psi2 AS psi FROM ac_path WHERE step < 30))"""
+
+
+AUTOCOV_OUT = """ SELECT series, fit_end, p::INTEGER AS p, d::INTEGER AS d, q::INTEGER AS q, round(const, 6) AS const, round(ar1, 6) AS ar1, round(ar2, 6) AS ar2,
+  round(ma1, 6) AS ma1, round(sigma2, 8) AS sigma2, round(aic, 3) AS aic FROM ac_best JOIN (SELECT series, max(date) AS fit_end FROM ac_w GROUP BY series) USING (series)"""
+AUTOCOV_STEPS = f""" SELECT series, step, round(y, 6) AS forecast, round(y - {Z!r}::DOUBLE * sqrt(sigma2 * var), 6) AS lower,
+  round(y + {Z!r}::DOUBLE * sqrt(sigma2 * var), 6) AS upper FROM ac_path WHERE step > 0"""
+
+
+def _recursive(sql: str) -> str:
+    return sql.replace("RECURSIVE_MARK ", "").replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 STEPS_30 = "(SELECT series, unnest(generate_series(1, 30)) AS step FROM origin)"
 TESTS = """tests AS (
   SELECT series, row_number() OVER (PARTITION BY series ORDER BY date) AS step, raw_close AS actual
@@ -401,6 +456,11 @@ SELECT series, round(kpss_level, 6) AS kpss_level, round(kpss_difference, 6) AS
         "ar1_forecast": _with(*TO_SCALED, AR1, _ar1_path(STEPS_30)) + """
 SELECT series, 'arima' AS model, step, round(forecast, 6) AS forecast, round(forecast - half, 6) AS lower,
   round(forecast + half, 6) AS upper FROM path""",
+        "autocov_fit": _recursive(_with(*TO_SCALED, KPSS, _autocov(f"""SELECT series, CASE WHEN kpss_level <= {KPSS_CRITICAL} THEN 0
+          WHEN kpss_difference <= {KPSS_CRITICAL} THEN 1 ELSE 2 END AS d FROM kpss_wide""", "(0, 0), (0, 1), (1, 0), (1, 1)")) + AUTOCOV_OUT),
+        "autocov_fit_210": _recursive(_with(*TO_SCALED, _autocov("SELECT DISTINCT series, 1 AS d FROM scaled", "(2, 0)")) + AUTOCOV_OUT),
+        "autocov_forecast_101": _recursive(_with(*TO_SCALED, _autocov("SELECT DISTINCT series, 0 AS d FROM scaled", "(1, 1)"), _autocov_path(0)) + AUTOCOV_STEPS),
+        "autocov_forecast_210": _recursive(_with(*TO_SCALED, _autocov("SELECT DISTINCT series, 1 AS d FROM scaled", "(2, 0)"), _autocov_path(1)) + AUTOCOV_STEPS),
         "to_ds_y": _with(ORDER_BARS) + "SELECT series, CAST(date AS TIMESTAMP) AS ds, round(close, 4) AS y FROM bars",
         "sequences": _with(*TO_SCALED) + f"""
 SELECT series, split, date, round(y, 6) AS y, n_rows, round(x_sum, 4) AS x_sum, round(x_first, 6) AS x_first,

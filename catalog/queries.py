@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barline.functions import dates, text
-from barline.operators import arima, clean, decomposition, features, forecast, metrics, pairs, registry, sequence, split
+from barline.operators import arima, autocov, clean, decomposition, features, forecast, metrics, pairs, registry, sequence, split
 from barline.operators.linear import gram_sums
 from barline.plans import incremental, preprocess, run, train, views
 from barline.schema import DATE, FEATURES, MODEL_PARAMS, OHLCV, SERIES
@@ -513,6 +513,36 @@ def q_arima_forecast(spark, sf):
     return arima.forecast_arima(arima.fit_arima(stored_panel(spark, sf)[0]))
 
 
+def _autocov_columns(fitted: DataFrame) -> DataFrame:
+    p = F.col("params")
+    part = lambda name, i: F.coalesce(F.get(p[name], F.lit(i)), F.lit(0.0))
+    return fitted.select(
+        SERIES, "fit_end", *[p["order"][i].cast("int").alias(n) for i, n in enumerate("pdq")],
+        *(F.round(c, 6).alias(n) for n, c in (("const", p["const"][0]), ("ar1", part("ar", 0)), ("ar2", part("ar", 1)), ("ma1", part("ma", 0)))),
+        F.round(p["sigma2"][0], 8).alias("sigma2"), F.round(p["aic"][0], 3).alias("aic"))
+
+
+def q_autocov_fit(spark, sf):
+    return _autocov_columns(autocov.fit_autocov(stored_panel(spark, sf)[0], 1, 1))
+
+
+def q_autocov_fit_210(spark, sf):
+    return _autocov_columns(autocov.fit_autocov(stored_panel(spark, sf)[0], order=(2, 1, 0)))
+
+
+def _autocov_forecast(spark, sf, order) -> DataFrame:
+    steps = arima.forecast_arima(layout.cut_lineage(autocov.fit_autocov(stored_panel(spark, sf)[0], order=order)))
+    return rounded(steps.drop("model"), 6)
+
+
+def q_autocov_forecast_101(spark, sf):
+    return _autocov_forecast(spark, sf, (1, 0, 1))
+
+
+def q_autocov_forecast_210(spark, sf):
+    return _autocov_forecast(spark, sf, (2, 1, 0))
+
+
 def q_decomposition_fit(spark, sf):
     fitted = decomposition.fit_decomposition(stored_panel(spark, sf)[0])
     p = F.col("params")
@@ -880,6 +910,8 @@ def queries() -> dict:
         "ar1_fit": q_ar1_fit,
         "ar1_forecast": q_ar1_forecast,
         "arima_fit": q_arima_fit,
+        "autocov_fit": q_autocov_fit, "autocov_fit_210": q_autocov_fit_210,
+        "autocov_forecast_101": q_autocov_forecast_101, "autocov_forecast_210": q_autocov_forecast_210,
         "arima_forecast": q_arima_forecast,
         "decomposition_fit": q_decomposition_fit,
         "decomposition_forecast": q_decomposition_forecast,
