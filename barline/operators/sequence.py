@@ -183,70 +183,99 @@ def fit_sequence_regression(
     )
 
 
-def _roll(window, coef, mean, const, shape, steps, masks=None):
-    """Feed each prediction back as the close, hold the other features, slide the window.
-
-    ``window`` is (passes, look_back * k); ``masks`` yields one keep-weight matrix per step.
-    """
-    k, target = int(shape[1]), int(shape[2])
-    window = window.copy()
-    out = np.empty((len(window), steps))
-    for step in range(steps):
-        deviation = window - mean
-        if masks is not None:
-            deviation *= next(masks)
-        last = window[:, -k:]
-        value = last[:, target] + const + deviation @ coef
-        new = last.copy()
-        new[:, target] = value
-        window = np.concatenate([window[:, k:], new], axis=1)
-        out[:, step] = value
-    return out
-
-
-@F.pandas_udf(T.ArrayType(T.DoubleType()))
-def _point_path(
-    window: pd.Series, coef: pd.Series, mean: pd.Series, const: pd.Series, shape: pd.Series, horizon: pd.Series
-) -> pd.Series:
-    return pd.Series([
-        _roll(np.atleast_2d(w), c, m, k[0], s, int(h))[0]
-        for w, c, m, k, s, h in zip(window, coef, mean, const, shape, horizon)
-    ])
-
-
-def _stochastic_paths(dropout: float):
-    @F.pandas_udf("array<array<double>>")
-    def paths(
-        window: pd.Series, coef: pd.Series, mean: pd.Series, const: pd.Series, shape: pd.Series,
-        horizon: pd.Series, seeds: pd.Series,
-    ) -> pd.Series:
-        def masks(rngs, width):
-            while True:
-                yield np.stack([g.random(width) >= dropout for g in rngs]) / (1.0 - dropout)
-
-        out = []
-        for w, c, m, k, s, h, seed in zip(window, coef, mean, const, shape, horizon, seeds):
-            rngs = [np.random.Generator(np.random.PCG64(int(x) & 0xFFFFFFFFFFFFFFFF)) for x in seed]
-            start = np.repeat(np.atleast_2d(w), len(rngs), axis=0)
-            out.append([list(p) for p in _roll(start, c, m, k[0], s, int(h), masks(rngs, len(w)))])
-        return pd.Series(out)
-
-    return paths
-
-
-def _inputs() -> list[Column]:
-    return [F.col("params")[c] for c in ("window", "coef", "mean", "const", "shape")]
+BLOCK_PASSES = 16  # passes that are rolled on together
+BLOCK_VALUES = 1 << 22  # window values of all passes of a block
+STEP_ROWS = 1 << 16  # rows that a task holds before it sends them on
+
+
+def mask_key(i: Column, seed: int) -> Column:
+    """32 bits that belong to pass ``i`` of a series."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", F.col(SERIES), i, F.lit(seed))), 1, 8), 16, 10).cast("long")
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """The 32-bit finaliser of MurmurHash3, on an array of uint32."""
+    x = (x ^ (x >> np.uint32(16))) * np.uint32(0x85EBCA6B)
+    x = (x ^ (x >> np.uint32(13))) * np.uint32(0xC2B2AE35)
+    return x ^ (x >> np.uint32(16))
+
+
+def kept(keys: np.ndarray, step: int, width: int, dropout: float) -> np.ndarray:
+    """Which of ``width`` inputs stay in a step: a hash of (key, step, input), so no draw depends on an earlier one."""
+    stride = np.uint32(0x9E3779B9)
+    at_step = _mixed(keys + np.uint32(step * int(stride) & 0xFFFFFFFF))
+    return _mixed(at_step[..., None] + np.arange(width, dtype="uint32") * stride) >= np.uint32(dropout * 2**32)
+
+
+def _alike(batches):
+    """Parts of batches whose regressions have one shape, longest horizon first, small enough to be rolled on together."""
+    for p in batches:
+        p = p[p["h"] > 0]
+        shapes = p["shape"].map(tuple)
+        for shape, part in p.groupby(shapes, sort=False):
+            width = int(shape[0] * shape[1])
+            rows = max(1, BLOCK_VALUES // (width * BLOCK_PASSES))
+            part = part.sort_values("h", ascending=False, kind="stable").reset_index(drop=True)
+            for start in range(0, len(part), rows):
+                yield part[start:start + rows].reset_index(drop=True), int(shape[1]), int(shape[2])
+
+
+def _rolled(p: pd.DataFrame, k: int, target: int, keys: np.ndarray | None, dropout: float):
+    """(step, predictions of the series that go on, by pass): each prediction is fed back as the close, the other
+    features are held, the window slides.  All series and passes move at once."""
+    coef, mean = np.stack(p["coef"])[:, None], np.stack(p["mean"])[:, None]
+    const, h = np.array([c[0] for c in p["const"]])[:, None], p["h"].to_numpy()
+    window = np.repeat(np.stack(p["window"])[:, None], 1 if keys is None else keys.shape[1], axis=1)
+    for step in range(1, int(h[0]) + 1):
+        n = int(np.searchsorted(-h, -step, "right"))
+        window = window[:n]
+        deviation = window - mean[:n]
+        if keys is not None:
+            deviation *= kept(keys[:n], step, window.shape[2], dropout) / (1.0 - dropout)
+        last = window[:, :, -k:].copy()
+        last[:, :, target] += const[:n] + np.matmul(deviation, coef[:n].swapaxes(1, 2))[:, :, 0]
+        window = np.concatenate([window[:, :, k:], last], axis=2)
+        yield step, last[:, :, target]
+
+
+def _sent(p: pd.DataFrame, values, first_pass: int):
+    """Rows (series, model, pass, step, value) of what ``_rolled`` gives."""
+    held, rows, h = [], 0, int(p["h"].iloc[0])
+    for step, v in values:
+        n, passes = v.shape
+        at = np.repeat(np.arange(n), passes)
+        held.append(pd.DataFrame({
+            SERIES: p[SERIES].to_numpy()[at], "model": p["model"].to_numpy()[at], "pass": np.tile(np.arange(passes, dtype="int32") + first_pass, n),
+            "step": np.full(n * passes, step, "int32"), "value": v.ravel()}))
+        rows += n * passes
+        if rows >= STEP_ROWS or step == h:
+            yield pd.concat(held, ignore_index=True)
+            held, rows = [], 0
+
+
+def _inputs(params: DataFrame, horizon: Column, *more: Column) -> DataFrame:
+    p = F.col("params")
+    return params.where(p.isNotNull()).select(
+        SERIES, "model", *(p[c].alias(c) for c in ("window", "coef", "mean", "const", "shape")), F.coalesce(horizon.cast("int"), F.lit(0)).alias("h"), *more)
+
+
+def _keys(passes: int, seed: int) -> Column:
+    return F.transform(F.sequence(F.lit(1), F.lit(passes)), lambda i: mask_key(i, seed)).alias("keys")
+
+
+PASS_ROWS = f"{SERIES} string, model string, pass int, step int, value double"
+MOMENTS = f"{SERIES} string, model string, step int, n long, mean double, m2 double"
 
 
 def forecast_recursive(params: DataFrame, horizon: int | Column = HORIZON) -> DataFrame:
     """Deterministic forecast in scaled units."""
     h = horizon if isinstance(horizon, Column) else F.lit(horizon)
-    path = _point_path(*_inputs(), h.cast("int"))
-    return (
-        params.where(F.col("params").isNotNull())
-        .select(SERIES, "model", F.posexplode(path).alias("_p", "forecast"))
-        .select(SERIES, "model", (F.col("_p") + 1).alias("step"), "forecast")
-    )
+
+    def path(batches):
+        for p, k, target in _alike(batches):
+            yield from _sent(p, _rolled(p, k, target, None, 0.0), 1)
+
+    return _inputs(params, h).mapInPandas(path, PASS_ROWS).select(SERIES, "model", "step", F.col("value").alias("forecast"))
 
 
 def fan_out_stochastic(
@@ -255,18 +284,50 @@ def fan_out_stochastic(
 ) -> DataFrame:
     """Every series forecast ``passes`` times under random dropout: (series, model, pass, step, value).
 
-    Each pass draws from a generator seeded by a hash of (series, pass), so a task that is run again
-    gives the same rows.  The passes of a series come from one input row; its window is not copied.
+    What is dropped is a hash of (series, pass, step, input), so a task that is run again gives the same
+    rows, and so does any other cut of the series or passes.
     """
     h = horizon if isinstance(horizon, Column) else F.lit(horizon)
-    seeds = F.transform(F.sequence(F.lit(1), F.lit(passes)), lambda i: F.xxhash64(F.col(SERIES), i, F.lit(seed)))
-    paths = _stochastic_paths(dropout)(*_inputs(), h.cast("int"), seeds)
-    return (
-        params.where(F.col("params").isNotNull())
-        .select(SERIES, "model", F.posexplode(paths).alias("pass", "_path"))
-        .select(SERIES, "model", "pass", F.posexplode("_path").alias("_p", "value"))
-        .select(SERIES, "model", (F.col("pass") + 1).alias("pass"), (F.col("_p") + 1).alias("step"), "value")
-    )
+
+    def paths(batches):
+        for p, k, target in _alike(batches):
+            keys = np.stack(p["keys"]).astype("uint32")
+            for start in range(0, passes, BLOCK_PASSES):
+                yield from _sent(p, _rolled(p, k, target, keys[:, start:start + BLOCK_PASSES], dropout), start + 1)
+
+    return _inputs(params, h, _keys(passes, seed)).mapInPandas(paths, PASS_ROWS)
+
+
+def stochastic_moments(
+    params: DataFrame, horizon: int | Column = HORIZON, passes: int = STOCHASTIC_PASSES,
+    dropout: float = DROPOUT, seed: int = SEED,
+) -> DataFrame:
+    """(series, model, step, n, mean, m2) of the same passes, m2 being the sum of squared distances from the mean.
+
+    Blocks of passes are merged where they are made, so only a row per series and step leaves the task.
+    """
+    h = horizon if isinstance(horizon, Column) else F.lit(horizon)
+
+    def moments(batches):
+        for p, k, target in _alike(batches):
+            keys = np.stack(p["keys"]).astype("uint32")
+            mean, m2 = np.zeros((len(p), int(p["h"].iloc[0]))), np.zeros((len(p), int(p["h"].iloc[0])))
+            for start in range(0, passes, BLOCK_PASSES):
+                block = keys[:, start:start + BLOCK_PASSES]
+                for step, v in _rolled(p, k, target, block, dropout):
+                    at, size = (slice(0, len(v)), step - 1), block.shape[1]
+                    own = v.mean(axis=1)
+                    apart = own - mean[at]
+                    m2[at] += ((v - own[:, None]) ** 2).sum(axis=1) + apart**2 * (start * size / (start + size))
+                    mean[at] += apart * (size / (start + size))
+            for first in range(0, mean.shape[1], max(1, STEP_ROWS // len(p))):
+                steps = np.arange(first, min(mean.shape[1], first + max(1, STEP_ROWS // len(p))))
+                row, col = np.nonzero(steps[None] < p["h"].to_numpy()[:, None])
+                yield pd.DataFrame({
+                    SERIES: p[SERIES].to_numpy()[row], "model": p["model"].to_numpy()[row], "step": (steps[col] + 1).astype("int32"),
+                    "n": np.full(len(row), passes), "mean": mean[row, steps[col]], "m2": m2[row, steps[col]]})
+
+    return _inputs(params, h, _keys(passes, seed)).mapInPandas(moments, MOMENTS)
 
 
 def stochastic_interval(passes: DataFrame, confidence: float = CONFIDENCE) -> DataFrame:
@@ -284,4 +345,7 @@ def stochastic_forecast(
     params: DataFrame, horizon: int | Column = HORIZON, confidence: float = CONFIDENCE,
     passes: int = STOCHASTIC_PASSES, dropout: float = DROPOUT, seed: int = SEED,
 ) -> DataFrame:
-    return stochastic_interval(fan_out_stochastic(params, horizon, passes, dropout, seed), confidence)
+    """Mean over the passes with a band of z population deviations, per step, without a shuffle."""
+    half = z_value(confidence) * F.sqrt(F.col("m2") / F.col("n"))
+    return stochastic_moments(params, horizon, passes, dropout, seed).select(
+        SERIES, "model", "step", F.col("mean").alias("forecast"), (F.col("mean") - half).alias("lower"), (F.col("mean") + half).alias("upper"))

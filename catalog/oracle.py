@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from statistics import NormalDist
 
-from barline.schema import CONFIDENCE, FEATURES, KPSS_CRITICAL, OHLCV, ROLLING_WINDOWS, TRAIN_RATIO, VAL_RATIO
+from barline.schema import CONFIDENCE, DROPOUT, FEATURES, KPSS_CRITICAL, OHLCV, ROLLING_WINDOWS, SEED, TRAIN_RATIO, VAL_RATIO
 from catalog.queries import AS_OF, BENCH_ORDER, FEATURE_PLACES, LONG_NATION
 
 Z = NormalDist().inv_cdf((1 + CONFIDENCE) / 2)
@@ -176,6 +176,32 @@ ac_path AS (
                CASE step WHEN 0 THEN 1 WHEN 1 THEN ma1 ELSE 0 END + ar1 * psi1 + ar2 * psi2 AS psi FROM ac_path WHERE step < 30))"""
 
 
+def _passes(passes: int, steps: int) -> str:
+    """Passes under dropout of the regression with ruled weights over the last five rows of two features.  What stays is the
+    32-bit finaliser of MurmurHash3 twice: of (key of series and pass, step), then of that and the input."""
+    def mixed(source: str, value: str, name: str) -> str:
+        return f"""(SELECT * EXCLUDE (u1, u2, u3), xor(u3, u3 >> 16) AS {name} FROM (
+    SELECT *, (xor(u2, u2 >> 13) * 3266489909::UBIGINT) & 4294967295 AS u3 FROM (
+    SELECT *, (xor(u1, u1 >> 16) * 2246822507::UBIGINT) & 4294967295 AS u2 FROM (
+    SELECT *, (({value}) & 4294967295)::UBIGINT AS u1 FROM {source}))))"""
+    keyed = f"""(SELECT series, pass, step, ('0x' || substr(md5(series || '|' || pass || '|{SEED}'), 1, 8))::UBIGINT AS key
+      FROM (SELECT DISTINCT series FROM scaled) CROSS JOIN range(1, {passes + 1}) r(pass) CROSS JOIN range(1, {steps + 1}) t(step))"""
+    inputs = f"(SELECT * FROM {mixed(keyed, 'key + step::UBIGINT * 2654435769::UBIGINT', 'at_step')} CROSS JOIN range(10) i(j))"
+    return f"""masks AS (
+  SELECT series, pass, step, list(CASE WHEN h >= {DROPOUT} * 4294967296 // 1 THEN 1 / (1 - {DROPOUT}::DOUBLE) ELSE 0 END ORDER BY j) AS m
+  FROM {mixed(inputs, 'at_step + j::UBIGINT * 2654435769::UBIGINT', 'h')} GROUP BY series, pass, step),
+windows AS (
+  SELECT series, flatten(list([close, rolling_std_5] ORDER BY date)) AS x FROM (
+    SELECT series, date, close, rolling_std_5 FROM scaled WHERE split IN ('train', 'val')
+    QUALIFY row_number() OVER (PARTITION BY series ORDER BY date DESC) <= 5) GROUP BY series),
+rolled AS (
+  SELECT series, pass, 0 AS step, x, 0::DOUBLE AS value FROM windows CROSS JOIN range(1, {passes + 1}) r(pass)
+  UNION ALL SELECT series, pass, step, list_concat(x[3:], [new, x[10]]), new FROM (
+    SELECT series, pass, step + 1 AS step, x,
+           x[9] + 0.01 + list_sum([(x[j] - 0.5) * m[j] * 0.3::DOUBLE * CASE WHEN j % 2 = 1 THEN 1 ELSE -1 END / j FOR j IN range(1, 11)]) AS new
+    FROM rolled JOIN (SELECT series, pass, step - 1 AS step, m FROM masks) USING (series, pass, step)))"""
+
+
 AUTOCOV_OUT = """ SELECT series, fit_end, p::INTEGER AS p, d::INTEGER AS d, q::INTEGER AS q, round(const, 6) AS const, round(ar1, 6) AS ar1, round(ar2, 6) AS ar2,
   round(ma1, 6) AS ma1, round(sigma2, 8) AS sigma2, round(aic, 3) AS aic FROM ac_best JOIN (SELECT series, max(date) AS fit_end FROM ac_w GROUP BY series) USING (series)"""
 AUTOCOV_STEPS = f""" SELECT series, step, round(y, 6) AS forecast, round(y - {Z!r}::DOUBLE * sqrt(sigma2 * var), 6) AS lower,
@@ -477,6 +503,11 @@ WHERE k <= 60 GROUP BY series""",
         "sequence_length_guard": _with(NATION_BARS, _clipped("bars", 3.0), _featured(), _labelled()) + """
 SELECT series, n_train, CASE WHEN n_train <= 320 THEN 'train split not longer than the look-back' END AS too_short
 FROM (SELECT series, count(*) FILTER (split = 'train') AS n_train FROM split GROUP BY series)""",
+        "fan_out_stochastic": _recursive(_with(*TO_SCALED, "RECURSIVE_MARK " + _passes(8, 12)) + """
+SELECT series, pass::INTEGER AS pass, step::INTEGER AS step, round(value, 6) AS value FROM rolled WHERE step > 0"""),
+        "stochastic_masks": _recursive(_with(*TO_SCALED, "RECURSIVE_MARK " + _passes(50, 30)) + f"""
+SELECT series, step::INTEGER AS step, round(avg(value), 6) AS forecast, round(avg(value) - {Z!r}::DOUBLE * stddev_pop(value), 6) AS lower,
+  round(avg(value) + {Z!r}::DOUBLE * stddev_pop(value), 6) AS upper FROM rolled WHERE step > 0 GROUP BY series, step"""),
         "stochastic_interval": f"""
 SELECT series, 'lstm' AS model, step, round(m, 5) AS forecast, round(m - {Z!r}::DOUBLE * s, 5) AS lower,
   round(m + {Z!r}::DOUBLE * s, 5) AS upper

@@ -596,6 +596,23 @@ def q_stochastic_forecast(spark, sf):
     return sequence.stochastic_forecast(_sequence_params(spark, sf))
 
 
+def _ruled_params(spark, sf) -> DataFrame:
+    """Parameters of a look-back of 5 rows of two features whose weights follow a rule; the windows are the tables' own."""
+    windows = sequence.last_sequence(scaled_rows(spark, sf), ["close", "rolling_std_5"], 5)
+    weights = [0.3 * (-1) ** j / (j + 1) for j in range(10)]
+    known = {"coef": weights, "mean": [0.5] * 10, "const": [0.01], "shape": [5.0, 2.0, 0.0]}
+    return windows.select(SERIES, F.lit("lstm").alias("model"), F.create_map(
+        F.lit("window"), F.flatten("x"), *[c for n, v in known.items() for c in (F.lit(n), F.array(*map(F.lit, v)))]).alias("params"))
+
+
+def q_fan_out_stochastic(spark, sf):
+    return rounded(sequence.fan_out_stochastic(_ruled_params(spark, sf), 12, 8).select(SERIES, "pass", "step", "value"), 6)
+
+
+def q_stochastic_masks(spark, sf):
+    return rounded(sequence.stochastic_forecast(_ruled_params(spark, sf)).drop("model"), 6)
+
+
 def q_stochastic_interval(spark, sf):
     """Mean and band over the orders of a series and day, taken as passes of one step."""
     passes = table(spark, sf, "orders").select(
@@ -923,6 +940,7 @@ def queries() -> dict:
         "sequence_forecast": q_sequence_forecast,
         "stochastic_forecast": q_stochastic_forecast,
         "stochastic_interval": q_stochastic_interval,
+        "fan_out_stochastic": q_fan_out_stochastic, "stochastic_masks": q_stochastic_masks,
         "model_summary": q_model_summary,
         "business_dates": q_business_dates,
         "last_known": q_last_known,

@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -292,6 +294,56 @@ def test_stochastic_passes_repeat_exactly(sequence_params):
     assert (still.upper - still.lower).to_numpy() == pytest.approx(np.zeros(4), abs=1e-9)
 
 
+def test_passes_and_moments_equal_a_plain_loop(spark):
+    """Series of two shapes and of different horizons in one table; 20 passes make two blocks whose moments are merged."""
+    rng = np.random.default_rng(5)
+    rows, h = [], {"a": 6, "b": 2, "c": 4, "none": 0}
+    for name, look_back, k in (("a", 3, 2), ("b", 3, 2), ("c", 2, 3), ("none", 3, 2)):
+        width = look_back * k
+        rows.append((name, "lstm", {"window": rng.random(width).tolist(), "coef": rng.normal(0, 0.2, width).tolist(), "mean": [0.5] * width,
+                                    "const": [0.01], "shape": [float(look_back), float(k), 1.0]}))
+    params = spark.createDataFrame(rows, "series string, model string, params map<string, array<double>>").unionByName(
+        spark.createDataFrame([("unfit", "lstm", None)], "series string, model string, params map<string, array<double>>")).coalesce(1)
+    steps = F.coalesce(*(F.when(F.col("series") == s, n) for s, n in h.items()))
+
+    def mixed(x):
+        for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+            x = (x ^ (x >> shift)) * factor % 2**32
+        return x ^ (x >> 16)
+
+    want = {}
+    for name, _, p in rows:
+        k, target, width = int(p["shape"][1]), int(p["shape"][2]), len(p["coef"])
+        for number in range(1, 21):
+            key = int(hashlib.md5(f"{name}|{number}|7".encode()).hexdigest()[:8], 16)
+            window = list(p["window"])
+            for step in range(1, h[name] + 1):
+                at = mixed((key + step * 0x9E3779B9) % 2**32)
+                keep = [mixed((at + j * 0x9E3779B9) % 2**32) >= int(0.3 * 2**32) for j in range(width)]
+                new = window[-k:]
+                new[target] += p["const"][0] + sum((x - m) * c / 0.7 for x, m, c, z in zip(window, p["mean"], p["coef"], keep) if z)
+                window = window[k:] + new
+                want[name, number, step] = new[target]
+    got = {(r.series, r["pass"], r.step): r.value for r in sequence.fan_out_stochastic(params, steps, 20, 0.3, 7).collect()}
+    assert got == pytest.approx(want, rel=1e-12)
+    found = {(r.series, r.step): (r.forecast, r.upper) for r in sequence.stochastic_forecast(params, steps, 0.9, 20, 0.3, 7).collect()}
+    assert len(found) == 12
+    for (name, step), (mean, upper) in found.items():
+        values = [want[name, i, step] for i in range(1, 21)]
+        assert mean == pytest.approx(np.mean(values), rel=1e-10) and upper - mean == pytest.approx(z_value(0.9) * np.std(values), rel=1e-8)
+    plan = sequence.stochastic_forecast(params, steps)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_hash_masks_keep_their_share():
+    keys = np.arange(40, dtype="uint32").reshape(4, 10)
+    kept = np.stack([sequence.kept(keys, step, 500, 0.2) for step in range(1, 11)])
+    assert kept.mean() == pytest.approx(0.8, abs=0.003)
+    assert np.abs(kept.mean(axis=(1, 2, 3)) - 0.8).max() < 0.02 and np.abs(kept.mean(axis=(0, 1, 2)) - 0.8).max() < 0.1
+    flat = kept.reshape(-1, 500).astype(float)
+    assert np.abs(np.corrcoef(flat[:, :20].T) - np.eye(20)).max() < 0.25
+
+
 def test_registry(fitted):
     with pytest.raises(ValueError):
         registry.get("nothing")
