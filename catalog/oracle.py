@@ -202,6 +202,9 @@ rolled AS (
     FROM rolled JOIN (SELECT series, pass, step - 1 AS step, m FROM masks) USING (series, pass, step)))"""
 
 
+MEAN_STEP = """moved AS (SELECT *, close - lag(close) OVER (PARTITION BY series ORDER BY date) AS moved FROM scaled WHERE split IN ('train', 'val')),
+mean_step AS (
+  SELECT series, max(date) AS fit_end, arg_max(close, date) AS last, avg(moved) AS slope, stddev_pop(moved) AS spread FROM moved GROUP BY series)"""
 AUTOCOV_OUT = """ SELECT series, fit_end, p::INTEGER AS p, d::INTEGER AS d, q::INTEGER AS q, round(const, 6) AS const, round(ar1, 6) AS ar1, round(ar2, 6) AS ar2,
   round(ma1, 6) AS ma1, round(sigma2, 8) AS sigma2, round(aic, 3) AS aic FROM ac_best JOIN (SELECT series, max(date) AS fit_end FROM ac_w GROUP BY series) USING (series)"""
 AUTOCOV_STEPS = f""" SELECT series, step, round(y, 6) AS forecast, round(y - {Z!r}::DOUBLE * sqrt(sigma2 * var), 6) AS lower,
@@ -482,6 +485,13 @@ SELECT series, round(kpss_level, 6) AS kpss_level, round(kpss_difference, 6) AS
         "ar1_forecast": _with(*TO_SCALED, AR1, _ar1_path(STEPS_30)) + """
 SELECT series, 'arima' AS model, step, round(forecast, 6) AS forecast, round(forecast - half, 6) AS lower,
   round(forecast + half, 6) AS upper FROM path""",
+        "grouped_fit": _with(*TO_SCALED, MEAN_STEP) + """ SELECT series, 'mean_step' AS model, fit_end,
+  CASE WHEN series NOT LIKE '3%' THEN round(last, 6) END AS last, CASE WHEN series NOT LIKE '3%' THEN round(slope, 6) END AS slope,
+  CASE WHEN series NOT LIKE '3%' THEN round(spread, 6) END AS spread, CASE WHEN series LIKE '3%' THEN 'ValueError: not this one' END AS error FROM mean_step""",
+        "grouped_forecast": _with(*TO_SCALED, MEAN_STEP) + """ SELECT series, 'mean_step' AS model, step::INTEGER AS step,
+  round((last + step * slope) / f_close + lo_close, 3) AS forecast, round((last + step * slope - spread * sqrt(step)) / f_close + lo_close, 3) AS lower,
+  round((last + step * slope + spread * sqrt(step)) / f_close + lo_close, 3) AS upper
+FROM mean_step JOIN limits USING (series) CROSS JOIN range(1, 21) r(step) WHERE series NOT LIKE '3%'""",
         "autocov_fit": _recursive(_with(*TO_SCALED, KPSS, _autocov(f"""SELECT series, CASE WHEN kpss_level <= {KPSS_CRITICAL} THEN 0
           WHEN kpss_difference <= {KPSS_CRITICAL} THEN 1 ELSE 2 END AS d FROM kpss_wide""", "(0, 0), (0, 1), (1, 0), (1, 1)")) + AUTOCOV_OUT),
         "autocov_fit_210": _recursive(_with(*TO_SCALED, _autocov("SELECT DISTINCT series, 1 AS d FROM scaled", "(2, 0)")) + AUTOCOV_OUT),

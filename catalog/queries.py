@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barline.functions import dates, text
-from barline.operators import arima, autocov, clean, decomposition, features, forecast, metrics, pairs, registry, sequence, split
+from barline.operators import arima, autocov, clean, decomposition, features, forecast, grouped, metrics, pairs, registry, sequence, split
 from barline.operators.linear import gram_sums
 from barline.plans import incremental, preprocess, run, train, views
 from barline.schema import DATE, FEATURES, MODEL_PARAMS, OHLCV, SERIES
@@ -543,6 +543,33 @@ def q_autocov_forecast_210(spark, sf):
     return _autocov_forecast(spark, sf, (2, 1, 0))
 
 
+def _user_model():
+    """A model of one series as a user would write it: it goes on by its mean step, and cannot do series that start with 3."""
+    def fit(frame):
+        if frame[SERIES][0].startswith("3"):
+            raise ValueError("not this one")
+        y = frame["close"]
+        return {"last": y.iloc[-1], "slope": (y.iloc[-1] - y.iloc[0]) / (len(y) - 1), "spread": y.diff().std(ddof=0)}
+
+    def predict(params, horizon, confidence):
+        return [[params["last"][0] + k * params["slope"][0] + side * params["spread"][0] * k**0.5 for side in (0, -1, 1)] for k in range(1, horizon + 1)]
+
+    return grouped.grouped("mean_step", fit, predict, ["close"])
+
+
+def q_grouped_fit(spark, sf):
+    p = F.col("params")
+    fitted = _user_model().fit(scaled_rows(spark, sf))
+    return fitted.select(SERIES, "model", "fit_end", *(F.round(p[c][0], 6).alias(c) for c in ("last", "slope", "spread")), "error")
+
+
+def q_grouped_forecast(spark, sf):
+    scaled, scaler = stored_panel(spark, sf)
+    registry.register(_user_model())
+    params = layout.cut_lineage(registry.fit("mean_step", scaled))
+    return rounded(forecast.in_prices(registry.get("mean_step").forecast(params, 20), "mean_step", scaler, forecast.BANDS), 3)
+
+
 def q_decomposition_fit(spark, sf):
     fitted = decomposition.fit_decomposition(stored_panel(spark, sf)[0])
     p = F.col("params")
@@ -927,6 +954,7 @@ def queries() -> dict:
         "ar1_fit": q_ar1_fit,
         "ar1_forecast": q_ar1_forecast,
         "arima_fit": q_arima_fit,
+        "grouped_fit": q_grouped_fit, "grouped_forecast": q_grouped_forecast,
         "autocov_fit": q_autocov_fit, "autocov_fit_210": q_autocov_fit_210,
         "autocov_forecast_101": q_autocov_forecast_101, "autocov_forecast_210": q_autocov_forecast_210,
         "arima_forecast": q_arima_forecast,
