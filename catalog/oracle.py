@@ -370,6 +370,12 @@ SELECT series, coalesce(a < b, true) AND coalesce(c < d, true) AS ordered FROM e
         "benchmarkable_cases": _with(NATION_BARS) + """
 SELECT n_name AS series FROM nation WHERE n_regionkey > 1
   AND n_name IN (SELECT series FROM bars GROUP BY series HAVING max(year(date)) >= 1995)""",
+        "run_ledger": _with(ORDER_BARS, """usable AS (
+  SELECT series, count(*) >= 252 AS ok, dense_rank() OVER (ORDER BY series) AS place FROM bars GROUP BY series),
+asked(number, asked_mode, mode, lowest, highest) AS (VALUES (1, 'forecast_only', 'full', 1, 2), (3, 'single', 'single', 1, 99), (4, 'forecast_only', 'forecast_only', 2, 2))""") + """
+SELECT '2024-01-05' AS run_id, asked_mode, mode, count(*) FILTER (ok) AS series_fetched,
+  CASE WHEN mode = 'forecast_only' THEN 0 ELSE count(*) FILTER (ok) END AS series_trained, count(*) FILTER (ok) AS series_forecast,
+  bool_and(ok) AS success FROM asked a JOIN usable u ON place BETWEEN lowest AND highest GROUP BY number, asked_mode, mode""",
         "job": _with(ORDER_BARS, "ok AS (SELECT count(*) FILTER (n >= 252) AS n, count(*) AS total FROM (SELECT count(*) AS n FROM bars GROUP BY series))") + """
 SELECT 'full' AS mode, n AS series_fetched, n AS series_trained, n AS series_forecast, 3 * n AS models_trained,
   n = total AS success FROM ok""",

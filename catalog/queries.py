@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from barline.functions import dates, text
 from barline.operators import arima, autocov, clean, decomposition, features, forecast, grouped, metrics, pairs, registry, sequence, split
 from barline.operators.linear import gram_sums
-from barline.plans import incremental, preprocess, run, train, views
+from barline.plans import incremental, preprocess, requests, run, train, views
 from barline.schema import DATE, FEATURES, MODEL_PARAMS, OHLCV, SERIES
 from barline.sources import bars as bar_tables
 from barline.sources import layout, publish, tables
@@ -233,6 +233,26 @@ def q_incremental_panel(spark, sf):
     return layout.load_series(spark, f"{root}/panel")
 
 
+def q_run_ledger(spark, sf):
+    """Requests composed from the priorities of orders: to forecast only the first two (nothing is stored, so it becomes a full
+    run), the same again in other order and case, to train singly, and to forecast the second only.  All are sent twice."""
+    folder, bars = scratch(spark), order_bars(spark, sf)
+    names = table(spark, sf, "orders").agg(F.array_sort(F.collect_set("o_orderpriority")).alias("n"))
+
+    def request(at: int, mode: str, tickers: Column) -> DataFrame:
+        fields = F.struct(F.lit(mode).alias("mode"), tickers.alias("tickers"), F.array(F.lit("arima")).alias("models"), F.lit(False).alias("benchmark"))
+        return names.select(F.lit(at).alias("at"), F.to_json(fields).alias("payload"))
+
+    n = F.col("n")
+    asked = forecast.combine_forecasts([
+        request(1, "forecast_only", F.slice(n, 1, 2)), request(2, "forecast_only", F.transform(F.reverse(F.slice(n, 1, 2)), F.lower)),
+        request(3, "single", n), request(4, "forecast_only", F.slice(n, 2, 1))])
+    day = datetime.date(2024, 1, 5)
+    requests.answer(spark, asked, bars, folder, day)
+    return requests.answer(spark, asked, bars, folder, day).select(
+        "run_id", "asked_mode", "mode", "series_fetched", "series_trained", "series_forecast", "success")
+
+
 def q_fresh_job(spark, sf):
     """Stored bars of nations after a job whose source has doubled prices: only those that were stale have been loaded again."""
     folder, bars = scratch(spark), nation_bars(spark, sf)
@@ -1001,5 +1021,6 @@ def queries() -> dict:
         "joined_upper": q_joined_upper,
         "json_text": q_json_text,
         "job": q_job,
+        "run_ledger": q_run_ledger,
         "job_second_run": q_job_second_run,
     }
