@@ -128,7 +128,8 @@ def forecast_test(
 ) -> DataFrame:
     """Point forecasts over the whole test split of each series, in price units."""
     sizes = scaled.groupBy(SERIES).agg(F.count_if(F.col("split") == "test").cast("int").alias("n_test"))
-    asked = params.join(sizes.where("n_test > 0"), SERIES)
+    shared = params.where(F.col(SERIES).isNull()).withColumn("n_test", F.lit(None).cast("int"))
+    asked = params.join(sizes.where("n_test > 0"), SERIES).unionByName(shared)
     parts = []
     for name in models:
         fc = get(name).point(asked.where(F.col("model") == name), F.col("n_test"))

@@ -51,6 +51,12 @@ def fitted_guard(pairs: DataFrame, params: DataFrame) -> DataFrame:
     )
 
 
+def params_of(params: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Parameter rows of the wanted series, or pairs, and the rows without a series that models share among theirs."""
+    on = [c for c in (SERIES, "model") if c in wanted.columns]
+    return params.join(wanted, on, "left_semi").unionByName(params.where(F.col(SERIES).isNull()))
+
+
 def untrained_pairs(params: DataFrame, pairs: DataFrame) -> DataFrame:
     """Requested pairs without fitted parameters."""
     fitted = params.where(F.col("params").isNotNull())

@@ -21,7 +21,8 @@ class Forecaster:
     other series, so all are needed to fit one.  ``forecast(params,
     horizon, confidence)`` rows of (series, model, step, forecast, lower, upper) and ``point(params,
     horizon)`` the same without band; there the horizon is a column.  ``scaled`` tells whether the
-    forecasts are in scaled units or in prices.  A library that works on one series at a time can sit
+    forecasts are in scaled units or in prices.  A pooled model may store what its series share in one row without a series;
+    ``resume(scaled, origin=...)`` then gives the rows of further series under the shared row that is stored.  A library that works on one series at a time can sit
     inside ``fit`` as ``groupBy("series").applyInPandas``.
     """
 
@@ -31,6 +32,7 @@ class Forecaster:
     point: Callable[..., DataFrame]
     scaled: bool = True
     pooled: bool = False
+    resume: Callable[..., DataFrame] | None = None
 
 
 _known = {
@@ -41,7 +43,7 @@ _known = {
     ),
     "lstm": Forecaster(
         "lstm", sequence.fit_sequence_regression, sequence.stochastic_forecast, sequence.forecast_recursive,
-        pooled=True,
+        pooled=True, resume=sequence.series_windows,
     ),
 }
 
@@ -63,7 +65,8 @@ def fit(name: str, scaled: DataFrame, origin: str = "val_end") -> DataFrame:
 
 
 def model_summary(params: DataFrame) -> DataFrame:
-    """One line of text per fitted model."""
+    """One line of text per fitted model; rows without a series, which models share among theirs, have none."""
+    params = params.where(F.col(SERIES).isNotNull())
     p = F.col("params")
     arima_line = F.format_string(
         "ARIMA(%s): order=(%d,%d,%d), fitted to %s", F.col(SERIES),
@@ -75,7 +78,7 @@ def model_summary(params: DataFrame) -> DataFrame:
     )
     window_line = F.format_string(
         "Look-back regression(%s): features=%d, look-back=%d, coefficients=%d, fitted to %s", F.col(SERIES),
-        p["shape"][1].cast("int"), p["shape"][0].cast("int"), F.size(p["coef"]) + 1, F.col("fit_end").cast("string"),
+        p["shape"][1].cast("int"), p["shape"][0].cast("int"), (p["shape"][0] * p["shape"][1]).cast("int") + 1, F.col("fit_end").cast("string"),
     )
     line = (
         F.when(p.isNull(), F.format_string("%s(%s): not fitted", F.upper("model"), F.col(SERIES)))

@@ -4,6 +4,9 @@ One ridge regression is pooled over all series, whose features share the 0..1 sc
 is summed on the executors and has a fixed size, (60 x 13 + 2) squared, whatever the data.
 The regularisation is the one with the smallest validation loss, the counterpart of early stopping;
 that loss follows from the Gram matrix of the validation rows, without another pass.
+
+The coefficients are stored once, in a parameter row without a series; the row of a series holds its last window.
+Series that come later take the stored coefficients and need their window only.
 """
 
 from __future__ import annotations
@@ -22,9 +25,11 @@ from barline.functions.numeric import z_value
 from barline.operators.linear import unpack
 from barline.operators.split import train_plus_val
 from barline.schema import (
-    CONFIDENCE, DATE, DROPOUT, FEATURES, HORIZON, LOOK_BACK, SEED, SERIES, STOCHASTIC_PASSES, TARGET, by_date,
+    CONFIDENCE, DATE, DROPOUT, FEATURES, HORIZON, LOOK_BACK, MODEL_PARAMS, SEED, SERIES, STOCHASTIC_PASSES, TARGET, by_date,
 )
 
+MODEL = "lstm"  # its name in the registry
+
 # Penalties per row, smallest first.
 PENALTIES = [1e-4, 1e-3, 1e-2, 1e-1, 1.0]
 TOO_SHORT = "train split not longer than the look-back"
@@ -150,37 +155,59 @@ def fit_pooled(scaled: DataFrame, cols: list[str] = FEATURES, look_back: int = L
     }
 
 
+def shared_record(fit: dict, cols: list[str], look_back: int) -> dict[str, list[float]]:
+    """What all series of a fit have in common, as model parameters."""
+    return {
+        "coef": [float(v) for v in fit["coef"]], "mean": [float(v) for v in fit["mean"]], "const": [fit["const"]],
+        "shape": _shape(cols, look_back), "penalty": [fit["penalty"], float(fit["checked"])],
+    }
+
+
+def _shape(cols: list[str], look_back: int) -> list[float]:
+    return [float(look_back), float(len(cols)), float(cols.index(TARGET))]
+
+
+def series_windows(scaled: DataFrame, cols: list[str] = FEATURES, look_back: int = LOOK_BACK, origin: str = "val_end") -> DataFrame:
+    """Model parameter rows of the series without what they share: the last window and the shape of the regression.
+
+    A series whose train split is not longer than the look-back gets an error instead.
+    """
+    rows = last_sequence(scaled, cols, look_back, origin).join(sequence_length_guard(scaled, look_back), SERIES)
+    error = F.coalesce(F.col("too_short"), F.when(F.size("x") < look_back, TOO_SHORT))
+    own = F.create_map(F.lit("window"), F.flatten("x"), F.lit("shape"), F.array(*map(F.lit, _shape(cols, look_back))))
+    return rows.select(
+        SERIES, F.lit(MODEL).alias("model"), "fit_end", F.when(error.isNull(), own).alias("params"), error.alias("error"))
+
+
 def fit_sequence_regression(
     scaled: DataFrame, cols: list[str] = FEATURES, look_back: int = LOOK_BACK, origin: str = "val_end"
 ) -> DataFrame:
-    """Pooled fit plus the last window of each series.  Returns model parameter rows.
+    """Pooled fit.  Returns model parameter rows: one without a series, which holds the coefficients once for all series,
+    and one for each series, which holds its last window.
 
-    A series whose train split is not longer than the look-back gets an error instead.
+    Without a train split longer than the look-back there are errors only, and no row without a series.
     """
-    spark = scaled.sparkSession
     fit = fit_pooled(scaled, cols, look_back)
-    windows = last_sequence(scaled, cols, look_back, origin)
-    rows = windows.join(sequence_length_guard(scaled, look_back), SERIES)
-    error = F.coalesce(F.col("too_short"), F.when(F.size("x") < look_back, TOO_SHORT))
-    head = [SERIES, F.lit("lstm").alias("model"), "fit_end"]
+    rows = series_windows(scaled, cols, look_back, origin)
     if not fit:
         none = F.lit(None).cast("map<string,array<double>>")
-        return rows.select(*head, none.alias("params"), F.lit(TOO_SHORT).alias("error"))
-    shared = spark.createDataFrame(
-        [([float(v) for v in fit["coef"]], [float(v) for v in fit["mean"]], [fit["const"]],
-          [float(look_back), float(len(cols)), float(cols.index(TARGET))],
-          [fit["penalty"], float(fit["checked"])])],
-        "coef array<double>, mean array<double>, const array<double>, shape array<double>, penalty array<double>",
-    )
-    names = ["coef", "mean", "const", "shape", "penalty"]
-    # One row, as wide as the caller made the regression, so this product is a bounded broadcast.
-    return rows.crossJoin(F.broadcast(shared)).select(
-        *head,
-        F.when(error.isNull(), F.create_map(
-            F.lit("window"), F.flatten("x"), *[c for n in names for c in (F.lit(n), F.col(n))]
-        )).alias("params"),
-        error.alias("error"),
-    )
+        return rows.withColumns({"params": none, "error": F.lit(TOO_SHORT)})
+    record = [(None, MODEL, None, shared_record(fit, cols, look_back), None)]
+    return rows.unionByName(scaled.sparkSession.createDataFrame(record, MODEL_PARAMS))
+
+
+def with_shared(params: DataFrame) -> DataFrame:
+    """Rows of series that can be forecast, with ``coef``, ``mean`` and ``const`` as columns: a series' own ones where its row
+    holds them, else those of the row of its model without a series.
+
+    That row is one for each pooled model and as wide as its regression, which bounds the broadcast.
+    """
+    p, names = F.col("params"), ["coef", "mean", "const"]
+    shared = params.where(F.col(SERIES).isNull() & p["coef"].isNotNull() & p["window"].isNull()).select(
+        "model", *(p[c].alias(f"_{c}") for c in names))
+    both = params.where(p["window"].isNotNull()).join(F.broadcast(shared), "model", "left")
+    full = both.withColumns({c: F.coalesce(p[c], F.col(f"_{c}")) for c in names})
+    return full.where(F.col("coef").isNotNull()).drop(*(f"_{c}" for c in names))
 
 
 BLOCK_PASSES = 16  # passes that are rolled on together
@@ -255,8 +282,8 @@ def _sent(p: pd.DataFrame, values, first_pass: int):
 
 def _inputs(params: DataFrame, horizon: Column, *more: Column) -> DataFrame:
     p = F.col("params")
-    return params.where(p.isNotNull()).select(
-        SERIES, "model", *(p[c].alias(c) for c in ("window", "coef", "mean", "const", "shape")), F.coalesce(horizon.cast("int"), F.lit(0)).alias("h"), *more)
+    return with_shared(params).select(
+        SERIES, "model", *(p[c].alias(c) for c in ("window", "shape")), "coef", "mean", "const", F.coalesce(horizon.cast("int"), F.lit(0)).alias("h"), *more)
 
 
 def _keys(passes: int, seed: int) -> Column:

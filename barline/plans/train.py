@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from barline.operators.forecast import forecast_test
 from barline.operators.metrics import aggregate_summary, benchmark_table, evaluate_models, naive_metrics
-from barline.operators.pairs import all_pairs, attach_models, benchmarkable_series, distinct_series, untrained_pairs
+from barline.operators.pairs import all_pairs, attach_models, benchmarkable_series, distinct_series, params_of, untrained_pairs
 from barline.operators.registry import fit, get
 from barline.schema import MODEL_PARAMS, MODELS, SERIES
 from barline.sources.tables import read_benchmark, read_model_params, write_benchmark, write_model_params
@@ -29,8 +29,8 @@ def train_all(
 ) -> tuple[DataFrame, DataFrame]:
     """Fit and store every (series, model); returns the parameters of these pairs and the training report.
 
-    Without ``overwrite`` only the pairs that have no stored parameters are fitted; a pooled model sees
-    all series even then.  A series that cannot be fitted carries its error; a model whose whole job
+    Without ``overwrite`` only the pairs that have no stored parameters are fitted.  A pooled model then goes on with what it has
+    stored for all series, and sees all series again only where it has stored nothing of the kind.  A series that cannot be fitted carries its error; a model whose whole job
     fails is reported as failed for its series, does not stop the others, and has no parameters in the
     result, whatever an earlier run stored.
     """
@@ -49,10 +49,15 @@ def train_all(
                 if missing.isEmpty():
                     seconds[m] = 0.0
                     continue
-            some = missing is not None and not get(m).pooled
-            fitted = fit(m, scaled.join(missing, SERIES, "left_semi") if some else scaled, origin)
+            resume = None
+            if missing is not None and get(m).resume and not stored.where(
+                    F.col(SERIES).isNull() & (F.col("model") == m) & F.col("params").isNotNull()).isEmpty():
+                resume = get(m).resume
+            some = missing is not None and (resume or not get(m).pooled)
+            rows = scaled.join(missing, SERIES, "left_semi") if some else scaled
+            fitted = resume(rows, origin=origin) if resume else fit(m, rows, origin)
             if missing is not None:
-                fitted = fitted.join(missing, SERIES, "left_semi")
+                fitted = params_of(fitted, missing)
             write_model_params(fitted.select(*MODEL_PARAMS.names), path)
         except Exception as problem:  # whatever a forecaster raises must not stop the others
             problems[m] = str(problem).splitlines()[0]
@@ -60,7 +65,7 @@ def train_all(
     params = read_model_params(spark, path, models=[m for m in models if m not in problems])
     if params is None:
         params = spark.createDataFrame([], MODEL_PARAMS)
-    params = params.join(pairs, [SERIES, "model"], "left_semi")
+    params = params_of(params, pairs)
     return params, training_report(pairs, params, seconds, problems, path)
 
 

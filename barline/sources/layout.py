@@ -11,9 +11,10 @@ import hashlib
 import json
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -90,7 +91,9 @@ def save_series(
             for name, value in zip(extra, group):
                 own = own & (F.col(name) == F.lit(value))
             in_touched = in_touched | own
-        kept = old.where(in_touched).join(rows.select(*keys).distinct(), keys, "left_anti")
+        new = rows.select(*(F.col(k).alias(f"_{k}") for k in keys)).distinct()
+        same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))  # a row without a series is a key, too
+        kept = old.where(in_touched).join(new, same, "left_anti")
         rows = kept.unionByName(rows, allowMissingColumns=True).select(rows.columns)
     order = [c for c in (*extra, "bucket", SERIES, DATE) if c in rows.columns]
     file = F.pmod(F.xxhash64(SERIES, F.lit("file")), F.lit(files))
@@ -103,15 +106,16 @@ def save_series(
 
 
 def load_series(spark: SparkSession, path: str, series: list[str] | None = None) -> DataFrame | None:
-    """The table, or the chosen series of it; None when there is no table."""
+    """The table, or the chosen series of it; None when there is no table.  None among the series means rows without one."""
     table = read_or_none(spark, path)
     if table is None:
         return None
     if series is not None:
         in_bucket = F.lit(False)
         for s in series:
-            in_bucket = in_bucket | (F.col("bucket") == _bucket(F.lit(s), F.col("buckets")))
-        table = table.where(in_bucket & F.col(SERIES).isin(series))
+            in_bucket = in_bucket | (F.col("bucket") == _bucket(F.lit(s).cast("string"), F.col("buckets")))
+        chosen = F.col(SERIES).isin([s for s in series if s is not None])
+        table = table.where(in_bucket & (chosen | F.col(SERIES).isNull() if None in series else chosen))
     return table.drop(*LAYOUT)
 
 

@@ -86,15 +86,19 @@ def write_training_report(report: DataFrame, path: str, totals_path: str) -> Non
 
 
 def write_model_params(params: DataFrame, path: str) -> None:
-    """Store parameters; a given (series, model) replaces its old row."""
+    """Store parameters; a given (series, model) replaces its old row, so what a model's series share in a row without a
+    series is replaced for all of them."""
     save_series(params, path, extra=("model",))
 
 
 def read_model_params(
     spark: SparkSession, path: str, series: list[str] | None = None, models: list[str] | None = None
 ) -> DataFrame | None:
-    """Stored parameters, restricted by partition pruning; missing pairs are simply absent."""
-    table = load_series(spark, path, series)
+    """Stored parameters, restricted by partition pruning; missing pairs are simply absent.
+
+    Rows without a series, which models share among the chosen series, are read with them.
+    """
+    table = load_series(spark, path, None if series is None else [*series, None])
     if table is not None and models is not None:
         table = table.where(F.col("model").isin(models))
     return table
@@ -113,7 +117,8 @@ def publish_tables(
     for name in tables or [*BY_SERIES, *PLAIN]:
         try:
             if name in BY_SERIES:
-                rows = load_series(spark, f"{src}/{name}", series)
+                shared = [None] if name == "model_params" else []  # what the series of a model have in common
+                rows = load_series(spark, f"{src}/{name}", None if series is None else [*series, *shared])
                 if rows is not None and models is not None and "model" in rows.columns:
                     rows = rows.where(F.col("model").isin(models))
                 if rows is not None:

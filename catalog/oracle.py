@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from statistics import NormalDist
 
+from barline.operators.sequence import PENALTIES
 from barline.schema import CONFIDENCE, DROPOUT, FEATURES, KPSS_CRITICAL, OHLCV, ROLLING_WINDOWS, SEED, TRAIN_RATIO, VAL_RATIO
-from catalog.queries import AS_OF, BENCH_ORDER, FEATURE_PLACES, LONG_NATION
+from catalog.queries import AS_OF, BENCH_ORDER, FEATURE_PLACES, LONG_NATION, PAIR
 
 Z = NormalDist().inv_cdf((1 + CONFIDENCE) / 2)
 SPLITS = ("train", "val", "test")
@@ -202,6 +203,50 @@ rolled AS (
     FROM rolled JOIN (SELECT series, pass, step - 1 AS step, m FROM masks) USING (series, pass, step)))"""
 
 
+def _pooled(look_back: int, cols: list[str], penalties: list[float]) -> str:
+    """Ridge regression of the next step of the close on the last rows, pooled over the series: one Gauss-Jordan step per
+    recursion for each penalty, then the penalty of smallest loss over the validation windows."""
+    k = look_back * len(cols)
+    x = [f"lag({c}, {n}) OVER s" for n in range(look_back, 0, -1) for c in cols]
+    gram = ", ".join("[" + ", ".join(f"sum(v[{i}] * v[{j}])" for j in range(1, k + 2)) + "]" for i in range(1, k + 2))
+    rates = ", ".join(f"{p!r}::DOUBLE" for p in penalties)
+    return f"""RECURSIVE_MARK lags AS (
+  SELECT split, [{", ".join(x)}, close - lag(close) OVER s]::DOUBLE[] AS v FROM scaled WHERE split IN ('train', 'val')
+  WINDOW s AS (PARTITION BY series, split ORDER BY date) QUALIFY row_number() OVER s > {look_back}),
+centre AS (SELECT [{", ".join(f"avg(v[{i}])" for i in range(1, k + 2))}] AS m FROM lags WHERE split = 'train'),
+grams AS (
+  SELECT split, count(*) AS n, [{gram}] AS g
+  FROM (SELECT split, [v[i] - m[i] FOR i IN range(1, {k + 2})] AS v FROM lags CROSS JOIN centre) GROUP BY split),
+solve AS (
+  SELECT p, 1 AS k, [[g[i][j] + CASE WHEN i = j THEN p * n ELSE 0 END FOR j IN range(1, {k + 2})] FOR i IN range(1, {k + 1})] AS a
+  FROM grams CROSS JOIN (SELECT unnest([{rates}]) AS p) WHERE split = 'train'
+  UNION ALL SELECT p, k + 1, [[CASE WHEN i = k THEN a[k][j] / a[k][k] ELSE a[i][j] - a[i][k] * a[k][j] / a[k][k] END
+    FOR j IN range(1, {k + 2})] FOR i IN range(1, {k + 1})] FROM solve WHERE k <= {k}),
+fits AS (SELECT p, [a[i][{k + 1}] FOR i IN range(1, {k + 1})] AS w FROM solve WHERE k = {k + 1}),
+pooled AS (
+  SELECT p, w, m[:{k}] AS mean, m[{k + 1}] AS const FROM (
+    SELECT p, w, list_sum(flatten([[r[i] * g[i][j] * r[j] FOR j IN range(1, {k + 2})] FOR i IN range(1, {k + 2})])) AS loss
+    FROM (SELECT p, w, list_concat([-c FOR c IN w], [1::DOUBLE]) AS r FROM fits) CROSS JOIN grams WHERE split = 'val') CROSS JOIN centre
+  ORDER BY loss LIMIT 1),
+windows AS (
+  SELECT series, max(date) AS fit_end, flatten(list([{", ".join(cols)}] ORDER BY date)) AS x FROM (
+    SELECT series, date, {", ".join(cols)} FROM scaled WHERE split IN ('train', 'val')
+    QUALIFY row_number() OVER (PARTITION BY series ORDER BY date DESC) <= {look_back}) GROUP BY series)"""
+
+
+POOLED = _pooled(5, PAIR, PENALTIES)
+POOLED_ROWS = """, parts AS (
+  SELECT NULL::VARCHAR AS series, NULL::DATE AS fit_end, 'coef' AS part, w AS v FROM pooled
+  UNION ALL SELECT NULL, NULL, 'mean', mean FROM pooled UNION ALL SELECT NULL, NULL, 'const', [const] FROM pooled
+  UNION ALL SELECT NULL, NULL, 'penalty', [p, 1] FROM pooled UNION ALL SELECT NULL, NULL, 'shape', [5, 2, 0]
+  UNION ALL SELECT series, fit_end, 'window', x FROM windows UNION ALL SELECT series, fit_end, 'shape', [5, 2, 0] FROM windows)
+SELECT series, fit_end, part, (i - 1)::INTEGER AS at, round(v[i], 6) AS value FROM (SELECT *, unnest(range(1, len(v) + 1)) AS i FROM parts)"""
+POOLED_STEPS = """, rolled AS (
+  SELECT series, 0 AS step, x, 0::DOUBLE AS value FROM windows
+  UNION ALL SELECT series, step + 1, list_concat(x[3:], [new, x[10]]), new FROM (
+    SELECT series, step, x, x[9] + const + list_sum([(x[j] - mean[j]) * w[j] FOR j IN range(1, 11)]) AS new
+    FROM rolled CROSS JOIN pooled WHERE step < 20))
+SELECT series, step::INTEGER AS step, round(value, 6) AS forecast FROM rolled WHERE step > 0"""
 MEAN_STEP = """moved AS (SELECT *, close - lag(close) OVER (PARTITION BY series ORDER BY date) AS moved FROM scaled WHERE split IN ('train', 'val')),
 mean_step AS (
   SELECT series, max(date) AS fit_end, arg_max(close, date) AS last, avg(moved) AS slope, stddev_pop(moved) AS spread FROM moved GROUP BY series)"""
@@ -521,6 +566,8 @@ SELECT series, n_train, CASE WHEN n_train <= 320 THEN 'train split not longer th
 FROM (SELECT series, count(*) FILTER (split = 'train') AS n_train FROM split GROUP BY series)""",
         "fan_out_stochastic": _recursive(_with(*TO_SCALED, "RECURSIVE_MARK " + _passes(8, 12)) + """
 SELECT series, pass::INTEGER AS pass, step::INTEGER AS step, round(value, 6) AS value FROM rolled WHERE step > 0"""),
+        "sequence_fit_shared": _recursive(_with(*TO_SCALED, POOLED) + POOLED_ROWS),
+        "sequence_forecast_shared": _recursive(_with(*TO_SCALED, POOLED) + POOLED_STEPS),
         "stochastic_masks": _recursive(_with(*TO_SCALED, "RECURSIVE_MARK " + _passes(50, 30)) + f"""
 SELECT series, step::INTEGER AS step, round(avg(value), 6) AS forecast, round(avg(value) - {Z!r}::DOUBLE * stddev_pop(value), 6) AS lower,
   round(avg(value) + {Z!r}::DOUBLE * stddev_pop(value), 6) AS upper FROM rolled WHERE step > 0 GROUP BY series, step"""),

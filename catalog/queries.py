@@ -631,10 +631,30 @@ def _sequence_params(spark, sf) -> DataFrame:
 def q_sequence_fit(spark, sf):
     p = F.col("params")
     return _sequence_params(spark, sf).select(
-        SERIES, "model", "fit_end", F.size(p["coef"]).alias("n_coef"), p["penalty"][0].alias("penalty"), "error"
+        SERIES, "model", "fit_end", F.size(p["coef"]).alias("n_coef"), p["penalty"][0].alias("penalty"), F.size(p["window"]).alias("n_window"), "error"
     )
 
 
+PAIR = ["close", "rolling_std_5"]
+
+
+def _pair_params(spark, sf) -> DataFrame:
+    """The look-back regression of five rows of two features, stored and read back."""
+    path = f"{scratch(spark)}/model_params"
+    tables.write_model_params(sequence.fit_sequence_regression(stored_panel(spark, sf)[0], PAIR, 5), path)
+    return tables.read_model_params(spark, path, models=["lstm"])
+
+
+def q_sequence_fit_shared(spark, sf):
+    """All parameters as rows: the coefficients once, without a series, and the windows of the series."""
+    parts = _pair_params(spark, sf).select(SERIES, "fit_end", F.explode("params").alias("part", "values"))
+    return parts.select(SERIES, "fit_end", "part", F.posexplode("values").alias("at", "value")).withColumn("value", F.round("value", 6))
+
+
+def q_sequence_forecast_shared(spark, sf):
+    return rounded(sequence.forecast_recursive(_pair_params(spark, sf), 20).drop("model"), 6)
+
+
 def q_sequence_forecast(spark, sf):
     return sequence.forecast_recursive(_sequence_params(spark, sf))
 
@@ -984,7 +1004,8 @@ def queries() -> dict:
         "sequences": q_sequences,
         "last_sequence": q_last_sequence,
         "sequence_length_guard": q_sequence_length_guard,
-        "sequence_fit": q_sequence_fit,
+        "sequence_fit": q_sequence_fit, "sequence_fit_shared": q_sequence_fit_shared,
+        "sequence_forecast_shared": q_sequence_forecast_shared,
         "sequence_forecast": q_sequence_forecast,
         "stochastic_forecast": q_stochastic_forecast,
         "stochastic_interval": q_stochastic_interval,

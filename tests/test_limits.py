@@ -53,7 +53,7 @@ def test_a_regression_wider_than_two_thousand(spark):
     frame = labelled(420, split=0.9, **more)
     cols = ["close", *more]
     params = sequence.fit_sequence_regression(panel(spark, {"A": frame}), cols, look_back=60)
-    assert len(params.first().params["coef"]) == 60 * 35
+    assert len(params.where("series IS NULL").first().params["coef"]) == 60 * 35
     assert sequence.forecast_recursive(params, 3).count() == 3
 
 
