@@ -247,6 +247,8 @@ POOLED_STEPS = """, rolled AS (
     SELECT series, step, x, x[9] + const + list_sum([(x[j] - mean[j]) * w[j] FOR j IN range(1, 11)]) AS new
     FROM rolled CROSS JOIN pooled WHERE step < 20))
 SELECT series, step::INTEGER AS step, round(value, 6) AS forecast FROM rolled WHERE step > 0"""
+CSV_BARS = """csv_bars AS (SELECT '^' || series AS series, date, round(open, 4) AS open, round(high, 4) AS high, round(low, 4) AS low,
+  round(CASE WHEN series < '5' THEN close END, 4) AS close, volume FROM bars)"""
 MEAN_STEP = """moved AS (SELECT *, close - lag(close) OVER (PARTITION BY series ORDER BY date) AS moved FROM scaled WHERE split IN ('train', 'val')),
 mean_step AS (
   SELECT series, max(date) AS fit_end, arg_max(close, date) AS last, avg(moved) AS slope, stddev_pop(moved) AS spread FROM moved GROUP BY series)"""
@@ -373,6 +375,8 @@ def oracle_sql() -> dict[str, str]:
         "bars_table": _with(ORDER_BARS) + BAR_COLUMNS,
         "read_panel": _with(NATION_BARS) + BAR_COLUMNS + """ WHERE series IN (
   SELECT n_name FROM nation WHERE n_regionkey = (SELECT max(n_regionkey) FROM nation))""",
+        "read_bars_csv": _with(ORDER_BARS, CSV_BARS) + "SELECT * FROM csv_bars",
+        "read_panel_csv": _with(ORDER_BARS, CSV_BARS) + "SELECT * FROM csv_bars WHERE series > '^3'",
         "stale_series": _with(ORDER_BARS, EVENT_BARS_2) + """
 SELECT series FROM (SELECT series, max(date) AS d FROM bars GROUP BY series
   UNION ALL SELECT DISTINCT series, NULL FROM event_bars)

@@ -6,9 +6,12 @@ series per nation, and the short panel of ``events`` serve the rejection cases.
 
 from __future__ import annotations
 
+import csv
 import datetime
 import uuid
 
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -127,6 +130,38 @@ def q_bars_table(spark, sf):
     return bar_tables.read_bars(spark, path, "table").select(SERIES, DATE, *OHLCV)
 
 
+def _csv_files(spark, sf) -> str:
+    """A folder with one CSV file per series of orders, written by its tasks: names with a caret and some with a blank, columns in
+    other orders and cases, one series all quoted, one without Close."""
+    folder = f"{scratch(spark)}/raw"
+    bars = order_bars(spark, sf).withColumn(SERIES, F.concat(F.lit("^"), SERIES))
+
+    def write(frame):
+        name = frame[SERIES].iloc[0]
+        frame = frame.drop(columns=SERIES).sort_values(DATE)
+        if name.startswith("^5"):
+            frame = frame.drop(columns="close")
+        if name < "^3":
+            frame = frame[frame.columns[::-1]].rename(columns=str.capitalize)
+        files, at = fs.FileSystem.from_uri(folder)
+        files.create_dir(at, recursive=True)
+        with files.open_output_stream(f"{at}/{name}.csv") as out:
+            out.write(frame.to_csv(index=False, quoting=csv.QUOTE_ALL if name.startswith("^2") else csv.QUOTE_MINIMAL).encode())
+        return pd.DataFrame({SERIES: [name], "n": [len(frame)]})
+
+    bars.groupBy(SERIES).applyInPandas(write, f"{SERIES} string, n long").write.parquet(f"{folder}-written")
+    return folder
+
+
+def q_read_bars_csv(spark, sf):
+    return bar_tables.read_bars(spark, _csv_files(spark, sf)).select(SERIES, DATE, *OHLCV)
+
+
+def q_read_panel_csv(spark, sf):
+    universe = table(spark, sf, "orders").where("o_orderpriority > '3'").select(F.concat(F.lit("^"), "o_orderpriority").alias(SERIES)).distinct()
+    return bar_tables.read_panel(spark, _csv_files(spark, sf), universe).select(SERIES, DATE, *OHLCV)
+
+
 def q_read_panel(spark, sf):
     """Stored nation bars restricted to the nations of the largest region key."""
     path = f"{scratch(spark)}/bars"
@@ -927,6 +962,8 @@ def queries() -> dict:
         "daily_bars_events": lambda spark, sf: rounded(event_bars(spark, sf), 4),
         "bars_table": lambda spark, sf: rounded(q_bars_table(spark, sf), 4),
         "read_panel": lambda spark, sf: rounded(q_read_panel(spark, sf), 4),
+        "read_bars_csv": lambda spark, sf: rounded(q_read_bars_csv(spark, sf), 4),
+        "read_panel_csv": lambda spark, sf: rounded(q_read_panel_csv(spark, sf), 4),
         "stale_series": q_stale_series,
         "forecast_table": q_forecast_table,
         "all_forecasts": q_all_forecasts,

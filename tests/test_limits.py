@@ -107,6 +107,29 @@ def test_csv_names_and_headers_by_file(spark, tmp_path):
     assert bar_tables.read_panel(spark, str(folder), universe).select("series").distinct().count() == 3
 
 
+def test_csv_lines_of_all_kinds(spark, tmp_path, monkeypatch):
+    """Whole files and files in blocks give the same rows; blank and short lines, quotes, line ends and a byte order mark."""
+    texts = {
+        "crlf": "\r\n Date ,CLOSE,Close\r\n2024-01-02, 1.5 ,9\r\n\r\n2024-01-03,x,9\r\n2024-01-02,2,9",
+        "mark": '\ufeff"Date","Name","Close"\n"2024-01-02","a, ""b""","3"\n2024-01-03,c',
+        "empty": "", "header": "date,close\n", "other": "day,close\n2024-01-02,1\n", "deep/down": "close,date\nNaN,2024-01-05\nInfinity,no\n7,2024-01-08\n",
+    }
+    for name, text in texts.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / f"{name}.csv").write_bytes(text.encode())
+    want = {"crlf": [("2024-01-02", 1.5), ("2024-01-03", None), ("2024-01-02", 2.0)], "mark": [("2024-01-02", 3.0), ("2024-01-03", None)],
+            "down": [("2024-01-05", None), (None, None), ("2024-01-08", 7.0)]}
+
+    def found(folders):
+        rows = bar_tables.read_bars(spark, folders).orderBy("ingest_ordinal").collect()
+        return {s: [(str(r.date) if r.date else None, r.close) for r in rows if r.series == s] for s in {r.series for r in rows}}
+
+    both = [str(tmp_path), str(tmp_path / "deep")]
+    assert found(both) == want
+    monkeypatch.setattr(bar_tables, "LARGE", 40)
+    assert found(both[1]) == {"down": want["down"]}
+
+
 def test_an_unreadable_table_is_no_absent_table(spark, tmp_path):
     assert read_or_none(spark, str(tmp_path / "none")) is None
     (tmp_path / "odd").mkdir()
