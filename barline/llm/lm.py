@@ -11,13 +11,13 @@ these were.  The bits' costs add up to the log-probability of the text by mixing
 Contexts of bits end at word borders, so the tables are sums over distinct words times their counts: a word count by
 Spark, then sums of arrays of fixed size.  Across word borders every pair of neighbouring words is counted, in a stored
 table that grows with the learned texts (``pair_counts``): keys of 64 bits, dealt by themselves into buckets.  Texts are
-scored in batches; the distinct pairs of a batch go to the buckets and come back with their counts.  A word then has the
+scored in batches; the distinct pairs of a batch go to the buckets, and their counts come back in the same order.  A word then has the
 share that it has after the word before, but for the mass of new pairs, which is given out by mixing; that mass is the
 share of pairs seen once, by how often the word before was seen.  Words past those with codes have their own counts in
 that table, so how often they were seen tells even where their bytes meet in the tables of fixed size.  The score is that of an even mixture of both models, the
 one with pairs and the one without, so a text is never charged more than a bit for the worse one.  Mixing is sequential in a text but runs over many texts at once; it starts
-afresh every ``SPAN`` bits, so long texts are cut into lanes too and are scored whole.  Weights start from those that
-mixing ends with on about ``WARM`` learned texts, chosen by a hash.
+afresh every ``SPAN`` bits, so long texts are cut into lanes too and are scored whole.  Weights start from the mean of those
+that mixing ends with in the lanes of all learned texts.
 
 The word distribution needs the count of every word.  Those of the ``HEAD`` most frequent words go to the tasks with their
 codes; other words meet their counts in a join.  Null texts are empty: they have the end only.  Repeated rows are scored each.
@@ -38,10 +38,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barline.llm.common import by_size, hash_sample, pieces, store
+from barline.llm.common import by_size, pieces, store
 
 HEAD = 1 << 18  # most frequent words, which have codes of their own and whose counts tasks hold
-WARM = 2000  # texts that the starting weights come from
 SPAN = 8192  # bits after which mixing starts afresh
 GROUP = 16  # bits between updates
 RATE = 0.02  # of the weights
@@ -55,7 +54,6 @@ PARTS = 16  # tasks that sum up tables
 _K = len(SLOTS)
 _BASE = np.cumsum([0, *SLOTS])
 _CHUNK = 1 << 17  # slots of a piece of a table that is summed by itself
-_END = "\n"  # the end of a text, as a word of its own
 SEEN = (5,)  # how often the whole word so far has to be seen for the next gate
 _GATES = 2 + len(SEEN)  # the first is for the symbols of words
 PAIRS = 1 << 21  # words of the learned texts for each bucket of pairs
@@ -93,7 +91,7 @@ def _count(batches):
 def vocabulary(docs: DataFrame) -> DataFrame:
     """Stores (word, n) over all given texts."""
     counted = docs.select("text").mapInArrow(_count, "word string, n long")
-    return store(counted.groupBy("word").agg(F.sum("n").alias("n")), "vocabulary")
+    return store(counted.groupBy("word").agg(F.sum("n").alias("n")), "vocabulary", release=True)
 
 
 def most_frequent(words: DataFrame, limit: int, least: int = 1) -> dict[bytes, int]:
@@ -265,8 +263,8 @@ def tables(vocabulary: DataFrame, codes: dict) -> tuple[np.ndarray, np.ndarray]:
         gate = (1 + np.searchsorted(SEEN, n, "right")).astype(np.uint8)
         return pa.table({"chunk": chunk["chunk"].slice(0, 1), "logits": pa.array([logit.tobytes()], pa.binary()), "gates": pa.array([gate.tobytes()], pa.binary())})
 
-    summed = vocabulary.coalesce(PARTS).mapInArrow(add, "chunk long, sums binary").groupBy("chunk").applyInArrow(
-        together, "chunk long, logits binary, gates binary")
+    summed = store(vocabulary.coalesce(PARTS).mapInArrow(add, "chunk long, sums binary").groupBy("chunk").applyInArrow(
+        together, "chunk long, logits binary, gates binary"), "tables", release=True)
     rows = sorted(summed.collect())  # of fixed size
     if not rows:
         return np.zeros(int(_BASE[-1]), np.float16), np.ones(SLOTS[-1], np.uint8)
@@ -340,39 +338,78 @@ def pair_counts(docs: DataFrame, codes: dict, buckets: int) -> tuple[DataFrame,
                          "seen": pa.array([np.bincount(bins, n, _BINS).astype(np.int64).tolist()]), "once": pa.array([np.bincount(bins[n == 1], minlength=_BINS).tolist()])})
 
     counted = store(docs.select("text").mapInArrow(count, "bucket long, keys binary, counts binary, bins binary").groupBy("bucket").applyInArrow(
-        together, "bucket long, keys binary, counts binary, seen array<long>, once array<long>"), "pairs")
+        together, "bucket long, keys binary, counts binary, seen array<long>, once array<long>"), "pairs", release=True)
     sums = counted.agg(*(F.coalesce(F.sum(F.col(c)[i]), F.lit(0)) for c in ("seen", "once") for i in range(_BINS))).first()
     return counted.select("bucket", "keys", "counts"), np.array(sums, np.int64).reshape(2, _BINS)
 
 
+def wanted(distinct: list[bytes], flat: np.ndarray, words: dict) -> np.ndarray:
+    """The keys that a batch of texts asks for, ascending: its pairs, and its words without a code."""
+    _, pair, alone = pair_keys(distinct, flat)
+    keys = np.sort(np.concatenate([pair, alone[[w not in words for w in distinct]]]))
+    return keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
+
+
+def gathered(batches):
+    """(batch, place of the first, texts) of texts of one batch that follow each other."""
+    batch, first, texts = -1, 0, []
+    for rows in pieces(batches):
+        for b, row, text in zip(*(rows[c].to_pylist() for c in ("batch", "row", "text"))):
+            if b != batch or row != first + len(texts):
+                if texts:
+                    yield batch, first, texts
+                batch, first, texts = b, row, []
+            texts.append(text)
+    if texts:
+        yield batch, first, texts
+
+
 def answers(batched: DataFrame, model: dict) -> DataFrame:
-    """(batch, keys, counts): of the pairs and of the words without a code in a batch of texts, those that were learned."""
+    """(batch, first, texts, bucket, counts): how often what these texts of a batch ask of a bucket was learned, 0 if never.
+
+    The counts are in the order of the keys, which the batch can make again, and as narrow as the largest of them.
+    """
     words, buckets = batched.sparkSession.sparkContext.broadcast(model["codes"]["words"]), model["buckets"]
 
     def ask(batches):
-        for rows in pieces(batches):
-            for batch in rows["batch"].unique().to_pylist():
-                distinct, flat, _ = numbered([t for t, b in zip(rows["text"].to_pylist(), rows["batch"].to_pylist()) if b == batch])
-                _, pair, alone = pair_keys(distinct, flat)
-                keys = np.unique(np.concatenate([pair, alone[[w not in words.value for w in distinct]]]))
-                for bucket, at in _dealt(keys, buckets):
-                    yield pa.RecordBatch.from_arrays([pa.array([bucket]), pa.array([batch]), pa.array([keys[at].tobytes()], pa.binary())], names=["bucket", "batch", "keys"])
+        for batch, first, texts in gathered(batches):
+            distinct, flat, _ = numbered(texts)
+            keys = wanted(distinct, flat, words.value)
+            for bucket, at in _dealt(keys, buckets):
+                yield pa.RecordBatch.from_arrays([*(pa.array([x]) for x in (bucket, batch, first, len(texts))), pa.array([keys[at].tobytes()], pa.binary())], names=["bucket", "batch", "first", "texts", "keys"])
 
     def look(asked: pa.Table, held: pa.Table) -> pa.Table:
-        found = []
+        known, n = np.empty(0, np.uint64), np.zeros(1, np.int64)
         if held.num_rows:
-            known, n = np.frombuffer(held["keys"][0].as_py(), np.uint64), np.frombuffer(held["counts"][0].as_py(), np.int64)
-            for batch, raw in zip(asked["batch"].to_pylist(), asked["keys"]):
-                keys = np.frombuffer(raw.as_py(), np.uint64)
-                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-                hit = known[at] == keys
-                if hit.any():
-                    found.append((batch, keys[hit].tobytes(), n[at[hit]].tobytes()))
-        batch, keys, counts = zip(*found) if found else ((), (), ())
-        return pa.table({"batch": pa.array(batch, pa.int64()), "keys": pa.array(keys, pa.binary()), "counts": pa.array(counts, pa.binary())})
-
-    asked = batched.mapInArrow(ask, "bucket long, batch long, keys binary")
-    return asked.groupBy("bucket").cogroup(model["pairs"].groupBy("bucket")).applyInArrow(look, "batch long, keys binary, counts binary")
+            known, n = np.frombuffer(held["keys"][0].as_py(), np.uint64), np.append(np.frombuffer(held["counts"][0].as_py(), np.int64), 0)
+        counts = []
+        for raw in asked["keys"]:
+            keys = np.frombuffer(raw.as_py(), np.uint64)
+            at = np.searchsorted(known, keys)
+            at[np.append(known, np.uint64(0))[at] != keys] = len(known)
+            found = n[at]
+            counts.append(found.astype(np.min_scalar_type(found.max())).tobytes())
+        return pa.table({**{c: asked[c] for c in ("batch", "first", "texts", "bucket")}, "counts": pa.array(counts, pa.binary())})
+
+    asked = batched.mapInArrow(ask, "bucket long, batch long, first long, texts long, keys binary")
+    return asked.groupBy("bucket").cogroup(model["pairs"].groupBy("bucket")).applyInArrow(look, "batch long, first long, texts long, bucket long, counts binary")
+
+
+def answered(texts: list, distinct: list[bytes], flat: np.ndarray, found: pa.Table, words: dict, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The keys that a batch asked for, ascending, and their counts, from all its answers."""
+    parts: dict = defaultdict(dict)
+    for first, size, bucket, raw in zip(*(found[c].to_pylist() for c in ("first", "texts", "bucket", "counts"))):
+        parts[first, size][bucket] = raw
+    held = []
+    for (first, size), given in parts.items():
+        keys = wanted(*(numbered(texts[first:first + size])[:2] if size < len(texts) else (distinct, flat)), words)
+        n = np.zeros(len(keys), np.int64)
+        for bucket, at in _dealt(keys, buckets):
+            n[at] = np.frombuffer(given[bucket], f"u{len(given[bucket]) // len(at)}")
+        held.append((keys, n))
+    keys, n = held[0] if len(held) == 1 else (np.concatenate(x) for x in zip(*held))
+    order = np.argsort(keys, kind="stable")
+    return keys[order], n[order]
 
 
 def with_pairs(distinct, flat, symbol_cost, spelled_cost, held: tuple[np.ndarray, np.ndarray], model: dict) -> np.ndarray:
@@ -451,12 +488,13 @@ def mix(inputs: np.ndarray, marks: np.ndarray, bits: np.ndarray, begin: np.ndarr
         for g in range(_GATES):
             dense[g, :live] += np.einsum("bl,blk->lk", miss * (gate == g), logit)
         own[slot] = told + np.float32(OWN_RATE) * sign * real / (one + np.exp(learned))
-    return -out, dense.sum(1)
+    return -out, dense.sum(1, dtype=np.float64)
 
 
 def score_texts(texts: list, model: dict):
-    """(distinct words, word numbers of all texts in a row, words per text, log10-probabilities by mixing, weights at the
-    end, costs of the words' symbols, costs of the bytes that spell them)."""
+    """(distinct words, word numbers of all texts in a row, words per text, log10-probabilities by mixing, sums over
+    lanes of the weights at the end and behind them the number of lanes, costs of the words' symbols, costs of the bytes
+    that spell them)."""
     distinct, flat, n_words = numbered(texts)
     inputs, marks, lengths = [], [], []
     for at in range(0, len(distinct), _WORDS):
@@ -493,11 +531,28 @@ def score_texts(texts: list, model: dict):
     upto = np.concatenate([[0.0], np.cumsum(costs[:-1], dtype=np.float64)])
     codes = model["codes"]
     told = end - reach + codes["word_lengths"][[codes["words"].get(w, -1) for w in distinct]][flat]  # where the symbol ends
-    return distinct, flat, n_words, total / np.log(10), ends / max(len(order), 1), upto[told] - upto[end - reach], upto[end] - upto[told]
+    return distinct, flat, n_words, total / np.log(10), np.append(ends, len(order)), upto[told] - upto[end - reach], upto[end] - upto[told]
 
 
 # --- the operator ---------------------------------------------------------------------------------
 
+def warmed(docs: DataFrame, model: dict) -> np.ndarray:
+    """The mean, over the lanes of all given texts, of the weights that mixing ends with."""
+    given = docs.sparkSession.sparkContext.broadcast(model)
+
+    def warm(batches):
+        ends = np.zeros(_GATES * (_K + 1) + 1)
+        for batch in by_size(batches, limit=BATCH):
+            if batch.num_rows:
+                ends += score_texts(batch["text"].to_pylist(), given.value)[4]
+        yield pa.RecordBatch.from_arrays([pa.array([ends.tolist()])], names=["ends"])
+
+    summed = docs.select("text").mapInArrow(warm, "ends array<double>").agg(*(F.sum(F.col("ends")[i]) for i in range(_GATES * (_K + 1) + 1))).first()
+    given.destroy()
+    *ends, lanes = summed
+    return (np.array(ends) / lanes).reshape(_GATES, _K + 1).astype(np.float32) if lanes else model["weights"]
+
+
 def learn(docs: DataFrame, train: Column) -> dict:
     """What scoring needs of the rows where ``train`` holds: counts of words and pairs as stored tables, code, logits, gates
     and weights."""
@@ -508,17 +563,7 @@ def learn(docs: DataFrame, train: Column) -> dict:
     codes = codes_of(words, HEAD)
     logits, gates = tables(words, codes)
     model = {"codes": codes, "logits": logits, "gates": gates, "weights": start_weights()}
-    texts = words.where(F.col("word") == _END).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    sample = hash_sample(learned.where("text IS NOT NULL"), texts, WARM, "doc_id", "text").select("text")
-
-    def warm(batches):
-        for batch in by_size(batches):
-            if batch.num_rows:
-                yield pa.RecordBatch.from_arrays([pa.array([score_texts(batch["text"].to_pylist(), model)[4].ravel().tolist()])], names=["w"])
-
-    ends = [np.array(r["w"]) for r in sample.repartition(1).mapInArrow(warm, "w array<double>").collect()]
-    if ends:
-        model["weights"] = np.mean(ends, axis=0).reshape(_GATES, _K + 1).astype(np.float32)
+    model["weights"] = warmed(learned.where("text IS NOT NULL"), model)
     buckets = 1 + int(total["n"] or 0) // PAIRS
     pairs, novel = pair_counts(learned, codes, buckets)
     return model | {"words": words, "tokens": int(total["n"] or 0), "distinct": int(total["v"]), "pairs": pairs, "novel": novel, "buckets": buckets}
@@ -529,22 +574,23 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     spark = docs.sparkSession
     words, n, v = model["words"], model["tokens"], model["distinct"]
     whole = n + 0.1 * (v + 1)
-    given = spark.sparkContext.broadcast({k: model[k] for k in ("codes", "logits", "gates", "weights", "novel")})
+    given = spark.sparkContext.broadcast({k: model[k] for k in ("codes", "logits", "gates", "weights", "novel", "buckets")})
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def deal(batches):
         first = TaskContext.get().partitionId() << 32
         for i, batch in enumerate(by_size(batches, limit=BATCH)):
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(batch.num_rows, first + i)), batch["doc_id"], batch["text"]], names=["batch", "doc_id", "text"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(batch.num_rows, first + i)), pa.array(np.arange(batch.num_rows)), batch["doc_id"], batch["text"]], names=["batch", "row", "doc_id", "text"])
 
     def run(batch: pa.Table, found: pa.Table) -> pa.Table:
         codes = given.value["codes"]
         counts = np.append(codes["counts"], 0)  # the last one is for words without a code
-        held = [np.frombuffer(b"".join(found[c].to_pylist()), of) for c, of in (("keys", np.uint64), ("counts", np.int64))]
-        order = np.argsort(held[0])
-        distinct, flat, n_words, mixed, _, symbol, spelled = score_texts(batch["text"].to_pylist(), given.value)
+        batch = batch.sort_by("row")
+        texts = batch["text"].to_pylist()
+        distinct, flat, n_words, mixed, _, symbol, spelled = score_texts(texts, given.value)
+        held = answered(texts, distinct, flat, found, codes["words"], given.value["buckets"])
         start = np.cumsum(n_words) - n_words
-        paired = np.add.reduceat(with_pairs(distinct, flat, symbol, spelled, tuple(x[order] for x in held), given.value), start)
+        paired = np.add.reduceat(with_pairs(distinct, flat, symbol, spelled, held, given.value), start)
         total = (np.logaddexp(mixed * np.log(10), paired) - np.log(2)) / np.log(10)
         seen = counts[[codes["words"].get(w, -1) for w in distinct]]
         cost = np.where(seen > 0, np.log10((seen + 0.1) / whole), 0.0)
@@ -556,10 +602,10 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
             pa.array(np.add.reduceat(cost[flat], start)), pa.array(total), pa.array(-total * np.log2(10) / size), pa.array(rest, pa.list_(pa.string()))],
             names=["doc_id", "n_tokens", "head_known", "head_score", "score", "bits_per_byte", "rest"])
 
-    batched = store(docs.select("doc_id", "text").mapInArrow(deal, f"batch long, doc_id {kind}, text string"), "batched")
+    batched = store(docs.select("doc_id", "text").mapInArrow(deal, f"batch long, row long, doc_id {kind}, text string"), "batched")
     scored = store(batched.groupBy("batch").cogroup(answers(batched, model).groupBy("batch")).applyInArrow(
         run, f"doc_id {kind}, n_tokens long, head_known long, head_score double, score double, bits_per_byte double, rest array<string>"
-    ).withColumn("rid", F.monotonically_increasing_id()), "scored")
+    ).withColumn("rid", F.monotonically_increasing_id()), "scored", release=True)
     rare = scored.select("rid", F.explode("rest").alias("word"))
     counted = rare.join(words, "word", "left").groupBy("rid").agg(
         F.count("n").alias("known"), F.sum(F.log10((F.coalesce("n", F.lit(0)) + 0.1) / whole)).alias("cost"))

@@ -347,6 +347,38 @@ def test_the_order_of_known_words_counts(spark):
     assert all(score[1000 + i] > score[2000 + i] + 20 for i in range(20))
 
 
+def test_starting_weights_come_from_all_learned_texts(spark):
+    """However many they are; every lane counts once."""
+    rng = random.Random(12)
+    rows = [(i, words(rng, rng.randint(1, 30)) + f" own{i}" * rng.randint(0, 9)) for i in range(2300)] + [(3000, None)]
+    table = docs(spark, rows).repartition(5)
+    model = lm.learn(table, F.lit(True))
+    texts = [t for _, t in rows if t is not None]
+    *ends, lanes = lm.score_texts(texts, model | {"weights": lm.start_weights()})[4]
+    assert lanes == len(texts)
+    assert np.allclose(model["weights"].ravel(), np.array(ends) / lanes, rtol=1e-5, atol=1e-6)
+
+
+def test_pairs_are_answered_however_a_batch_is_read(spark, monkeypatch):
+    """Texts of a batch that are read apart ask apart; each pair has the count that it was learned with, 0 if it was not."""
+    monkeypatch.setattr(lm, "PAIRS", 40)  # several buckets
+    rng = random.Random(13)
+    taught = [words(rng, 12) for _ in range(60)]
+    asked = [*taught[:9], "never seen before", "", None]
+    model = lm.learn(docs(spark, list(enumerate(taught))), F.lit(True))
+    batched = docs(spark, list(enumerate(asked))).select(F.lit(7).cast("long").alias("batch"), F.col("doc_id").cast("long").alias("row"), "text")
+    found = lm.answers(batched.repartition(4), model).toArrow()
+    assert len(set(found["bucket"].to_pylist())) > 1 and len(set(found["first"].to_pylist())) > 1
+    distinct, flat, _ = lm.numbered(asked)
+    keys, n = lm.answered(asked, distinct, flat, found, model["codes"]["words"], model["buckets"])
+    given, learned = dict(zip(keys.tolist(), n.tolist())), Counter()
+    for text in taught:
+        own = lm.words_of(text)
+        learned.update(zip([b"\n", *own], own))
+    before, pair, _ = lm.pair_keys(distinct, flat)
+    assert [given[k] for k in pair.tolist()] == [learned[distinct[b], distinct[w]] for b, w in zip(before.tolist(), flat.tolist())]
+
+
 def test_words_without_a_code_have_their_counted_share(small):
     """However dear their bytes are in tables of fixed size."""
     codes, _ = small
