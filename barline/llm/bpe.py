@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barline.llm.common import added, by_size, grown
+from barline.llm.common import added, by_size, giving_back, grown
 
 LONG = 200  # bytes from which a pre-token is merged by itself
 CACHE = 400_000  # pre-tokens whose ids a task remembers
@@ -293,7 +293,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
             yield grown(batch, [pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary()),
                                 pa.array([encoder.decode(x) for x in ids], pa.binary())], ["n_tokens", "ids", "decoded"])
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(giving_back(run), schema)
 
 
 def digests(encoded: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barline.llm.common import added, grown, masked, pieces, store
+from barline.llm.common import added, giving_back, grown, masked, pieces, store
 from barline.llm.components import components
 
 WORDS = 5  # of a shingle
@@ -99,7 +99,7 @@ def sketch(docs: DataFrame) -> DataFrame:
             yield grown(batch, [pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(minima, pa.binary())],
                         [n for n, _ in fields])
 
-    whole = base.mapInArrow(run, schema)
+    whole = base.mapInArrow(giving_back(run), schema)
     return store(whole.withColumn("digest", F.when(F.col("n_shingles") > 0, F.col("digest"))), "sketches")
 
 
@@ -220,11 +220,11 @@ def links(sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
     tiles = member.select("node", "band", "key", "part", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("other")).select(
         "key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "node", "band", "part")
     dealt = tiles.join(signs, "node").repartition(*_TILE).sortWithinPartitions(*_TILE, "node")
-    left = store(dealt.mapInArrow(_prune, "key long, i long, j long, node long, others array<long>"), "candidates")
+    left = store(dealt.mapInArrow(giving_back(_prune), "key long, i long, j long, node long, others array<long>"), "candidates")
     needed = nodes.select("node", "copies", "text").join(left.select("node").distinct(), "node", "left_semi")
-    sets = needed.mapInArrow(_codes, "node long, copies long, codes binary")
+    sets = needed.mapInArrow(giving_back(_codes), "node long, copies long, codes binary")
     exact = left.join(sets, "node").repartition(*_TILE).sortWithinPartitions(*_TILE, "node")
-    return texts, store(exact.mapInArrow(_verify, "node long, texts long, links long, to long"), "links")
+    return texts, store(exact.mapInArrow(giving_back(_verify), "node long, texts long, links long, to long"), "links")
 
 
 def classes(sketched: DataFrame) -> DataFrame:

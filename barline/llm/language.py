@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barline.llm.common import added, grown, pieces
+from barline.llm.common import added, giving_back, grown, pieces
 
 PROFILE = 400  # n-grams of a language
 LEADING = 300  # n-grams of a document that are compared
@@ -77,7 +77,7 @@ def profiles(docs: DataFrame, profile: int = PROFILE) -> DataFrame:
     """(lang, gram, rank): the ``profile`` most frequent n-grams of each language over all given documents."""
     counted = (
         docs.select("lang", "text").where("lang IS NOT NULL AND text IS NOT NULL")
-        .mapInArrow(_count, "lang string, gram long, n long")
+        .mapInArrow(giving_back(_count), "lang string, gram long, n long")
         .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     )
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
@@ -124,7 +124,7 @@ def identify(docs: DataFrame, ranked: DataFrame, leading: int = LEADING, profile
             yield grown(batch, [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
                         ["lang_pred", "score"])
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(giving_back(run), schema)
 
 
 def learned(docs: DataFrame, train: Column, to_predict: DataFrame | None = None) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barline.llm.common import store
+from barline.llm.common import giving_back, store
 
 BLOCK = 256  # words
 SLOTS = 1024  # blocks of a shard
@@ -204,4 +204,4 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, block: int = BLOCK, limit:
                 columns["n_chars"] = pa.array([len(t) for t in texts], columns["n_chars"].type)
             yield pa.RecordBatch.from_arrays([columns[n] for n in names], names=names)
 
-    return whole.mapInArrow(cut, T.StructType(fields))
+    return whole.mapInArrow(giving_back(cut), T.StructType(fields))

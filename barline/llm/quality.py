@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barline.llm.common import SPACES, added, grown, masked, pieces, quoted, store, without
+from barline.llm.common import SPACES, added, giving_back, grown, masked, pieces, quoted, store, without
 
 WINDOW = 8  # words of a window that may repeat
 SYMBOLS = "#*$%&|<>"
@@ -87,7 +87,7 @@ def measure(docs: DataFrame) -> DataFrame:
             found = list(zip(*(counts(t) for t in batch["text"].to_pylist()))) or [()] * len(COUNTS)
             yield grown(batch, [pa.array(x, pa.int64()) for x in found], COUNTS)
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(giving_back(run), schema)
 
 
 def vector() -> Column:

@@ -1,7 +1,12 @@
 """The stages one after the other, each against what it says it does."""
 
+import os
+import random
+
 import public_tokenizers
+import pyarrow as pa
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
@@ -51,3 +56,23 @@ def test_only_the_tables_of_the_last_stage_stay(spark, tmp_path, monkeypatch):
 def test_run_on_empty_documents(spark, tmp_path):
     table(spark, SF, "documents").limit(0).write.parquet(f"file://{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, f"file://{tmp_path}").count() == 0
+
+
+def test_workers_give_back_what_an_encoding_task_has_freed(spark):
+    """A worker is kept for the stages that follow, so it may not hold on to the memory of a task that is done."""
+    rng = random.Random(5)
+    texts = [(" ".join(str(rng.randrange(10**9)) for _ in range(20_000)),) for _ in range(16)]
+    rows = store(spark.createDataFrame(texts, "text string").repartition(1), "numbers")
+
+    def held(batches):
+        for batch in batches:
+            with open("/proc/self/smaps_rollup") as lines:
+                own = next(int(x.split()[1]) for x in lines if x.startswith("Pss_Anon"))
+            yield pa.RecordBatch.from_arrays([pa.array([os.getpid()]), pa.array([own // 1024])], names=["pid", "mb"])
+
+    def workers():
+        return {r["pid"]: r["mb"] for r in spark.range(0, 8, 1, 8).mapInArrow(held, "pid long, mb long").collect()}
+
+    before = workers()
+    bpe.encode(rows, corpus_pipeline.RANKS, public_tokenizers.PATTERN).agg(F.sum("n_tokens")).first()
+    assert max(workers().values()) < max(before.values()) + 60
