@@ -14,7 +14,8 @@ table that grows with the learned texts (``pair_counts``): keys of 64 bits, deal
 scored in batches; the distinct pairs of a batch go to the buckets, and their counts come back in the same order.  A word then has the
 share that it has after the word before, but for the mass of new pairs, which is given out by mixing; that mass is the
 share of pairs seen once, by how often the word before was seen.  Words past those with codes have their own counts in
-that table, so how often they were seen tells even where their bytes meet in the tables of fixed size.  The score is that of an even mixture of both models, the
+that table, so how often they were seen tells even where their bytes meet in the tables of fixed size.  Where rows are learned and scored
+at once, each pair of a batch goes to its bucket once, to be counted and asked for.  The score is that of an even mixture of both models, the
 one with pairs and the one without, so a text is never charged more than a bit for the worse one.  Mixing is sequential in a text but runs over many texts at once; it starts
 afresh every ``SPAN`` bits, so long texts are cut into lanes too and are scored whole.  Weights start from the mean of those
 that mixing ends with in the lanes of all learned texts.
@@ -27,18 +28,18 @@ from __future__ import annotations
 
 import heapq
 from bisect import bisect_left
-from collections import Counter, defaultdict
-from itertools import accumulate
-from itertools import count as counter
+from collections import defaultdict
+from itertools import accumulate, repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barline.llm.common import by_size, pieces, store
+from barline.llm.common import by_size, giving_back, pieces, store
 
 HEAD = 1 << 18  # most frequent words, which have codes of their own and whose counts tasks hold
 SPAN = 8192  # bits after which mixing starts afresh
@@ -47,7 +48,7 @@ RATE = 0.02  # of the weights
 MAP_RATE = 0.02  # of the refining scale
 OWN = 1 << 12  # slots of the table that a lane learns itself
 OWN_RATE = 0.6
-LANES = 2048  # mixed at a time
+LANES = 512  # mixed at a time
 DELTA = 0.1  # added to the counts of both bits
 SLOTS = (1 << 16, 1 << 19, 1 << 21, 1 << 22)  # of the tables: one, two and four bytes, whole word so far
 PARTS = 16  # tasks that sum up tables
@@ -59,7 +60,13 @@ _GATES = 2 + len(SEEN)  # the first is for the symbols of words
 PAIRS = 1 << 21  # words of the learned texts for each bucket of pairs
 BATCH = 2_000_000  # bytes of text scored together
 _BINS = 64  # of words before, by how often they were seen: 0 without a code; the last one is for words by themselves
-_WORDS = 20_000  # words whose bits are laid out at a time
+_WORDS = 20_000  # words whose bytes are counted at a time
+_PART = 2000  # words whose bits are laid out at a time
+_LAID = 1_000_000  # bits that are added to tables at a time
+_ROOM = 1 << 20  # bits of other words that have room beside those of words with codes
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+_SIGN = np.int32(-1 << 31)  # of a 32-bit float
+_GATE = OWN.bit_length() - 1  # place of the gate in a bit's mark
 _FLUSH = 400_000  # distinct words that a task counts before it hands them over
 
 
@@ -72,25 +79,43 @@ def words_of(text: str | None) -> list[bytes]:
     return words
 
 
-def _count(batches):
-    held: Counter = Counter()
+def split(texts) -> tuple[pa.Array, np.ndarray]:
+    """(words of all texts in a row, without ends; words per text), as ``words_of`` has them."""
+    given = texts if isinstance(texts, pa.Array) else texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else pa.array(texts, pa.string())
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(given, "")))  # which gives empty words beside outer blanks
+    found = lists.flatten()
+    real = pc.greater(pc.binary_length(found), 0)
+    upto = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
+    at = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
+    return found.filter(real), np.diff(upto[at])
 
-    def flush():
-        yield pa.RecordBatch.from_arrays([pa.array([w.decode() for w in held], pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
 
-    for batch in pieces(batches):
-        for text in batch["text"].to_pylist():
-            held.update(words_of(text))
-        if len(held) > _FLUSH:
-            yield from flush()
-            held.clear()
+def _count(batches):
+    def summed(parts):
+        return pa.concat_tables(parts).group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"])
+
+    held, rows = [], 0
+    for batch in by_size(batches):
+        if not batch.num_rows:
+            continue
+        found, n = split(batch["text"])
+        counted = found.value_counts()
+        held.append(pa.table({"word": pa.concat_arrays([counted.field("values"), pa.array(["\n"])]),
+                              "n": pa.concat_arrays([counted.field("counts"), pa.array([len(n)])])}))
+        rows += held[-1].num_rows
+        if rows > 2 * _FLUSH:
+            held = [summed(held)]
+            rows = held[0].num_rows
+            if rows > _FLUSH:
+                yield from held[0].to_batches()
+                held, rows = [], 0
     if held:
-        yield from flush()
+        yield from summed(held).to_batches()
 
 
 def vocabulary(docs: DataFrame) -> DataFrame:
     """Stores (word, n) over all given texts."""
-    counted = docs.select("text").mapInArrow(_count, "word string, n long")
+    counted = docs.select("text").mapInArrow(giving_back(_count), "word string, n long")
     return store(counted.groupBy("word").agg(F.sum("n").alias("n")), "vocabulary", release=True)
 
 
@@ -150,16 +175,19 @@ def alphabetic(weights: list[int]) -> list[tuple[int, int]]:
     return code
 
 
-def expand(words: list[bytes], codes: dict):
-    """Bits of the words one after the other: (slot of every table, bit, whether it tells the word), and for each word
-    its first bit and length.
+def symbols(words: list[bytes], codes: dict) -> np.ndarray:
+    """The number of each word's own code, -1 if it has none."""
+    return np.fromiter(map(codes["words"].get, words, repeat(-1)), np.int64, len(words))
+
+
+def _spelled(words: list[bytes], codes: dict, number: np.ndarray):
+    """Symbols of the words one after the other: (contexts of every table, bits of the code, whether it is a byte), the
+    first symbol of each word, and for each bit its value and the hash of its place in the code.
 
     A frequent word is one symbol of its own code.  Other words are the symbol that stands for all of them, then their
     bytes and a blank.
     """
-    known = codes["words"]
-    number = [known.get(w, -1) for w in words]
-    spelled = [b"" if i >= 0 else w + b" " for w, i in zip(words, number)]
+    spelled = [b"" if i >= 0 else w + b" " for w, i in zip(words, number.tolist())]
     sizes = np.array([len(w) for w in spelled], np.int64) + 1  # symbols
     start = np.cumsum(sizes) - sizes
     n = int(sizes.sum())
@@ -171,7 +199,6 @@ def expand(words: list[bytes], codes: dict):
     before = np.zeros((5, n), np.uint64)  # the byte k places before, from 1; 0 outside the word
     for k in range(1, 5):
         before[k, k:] = np.where(own[k:] > k, byte[:-k].astype(np.uint64) + np.uint64(1), 0)
-    mix = np.uint64(0x9E3779B97F4A7C15)
     one = before[1]
     two = one | before[2] << np.uint64(9)
     four = two | before[3] << np.uint64(18) | before[4] << np.uint64(27)
@@ -183,11 +210,10 @@ def expand(words: list[bytes], codes: dict):
         at = order[:np.searchsorted(descending, -place, "left")]
         here = start[at] + place
         prefix[here] = state[at]
-        state[at] = (state[at] + byte[here] + np.uint64(1)) * mix
+        state[at] = (state[at] + byte[here] + np.uint64(1)) * _MIX
         state[at] ^= state[at] >> np.uint64(29)
     value, length = codes["byte_bits"][byte], codes["byte_lengths"][byte]
-    symbol = np.array(number, np.int64)
-    value[start], length[start] = codes["word_bits"][symbol], codes["word_lengths"][symbol]  # -1 is the last one
+    value[start], length[start] = codes["word_bits"][number], codes["word_lengths"][number]  # -1 is the last one
     total = int(length.sum())
     first = np.cumsum(length) - length
     shift = (np.arange(total) - np.repeat(first, length)).astype(np.uint64)
@@ -195,11 +221,26 @@ def expand(words: list[bytes], codes: dict):
     bit = (value >> shift & np.uint64(1)).astype(np.int8)
     node = (value & ((np.uint64(1) << shift) - np.uint64(1))) | np.uint64(1) << shift  # the bits so far, after a 1
     node *= np.uint64(0xD6E8FEB86659FD93)
-    slots = np.empty((_K, total), np.int32)
-    for k, context in enumerate((one, two, four, prefix)):
-        x = np.repeat((context + np.uint64(1)) * np.uint64(0xFF51AFD7ED558CCD), length) ^ node
-        x = (x ^ x >> np.uint64(32)) * mix
-        slots[k] = (x >> np.uint64(64 - int(SLOTS[k]).bit_length() + 1)).astype(np.int32) + np.int32(_BASE[k])
+    return (one, two, four, prefix), length, is_byte, start, bit, node
+
+
+def _slots(k: int, context: np.ndarray, length: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """Slots in table ``k`` of the bits of symbols with these contexts."""
+    x = np.repeat((context + np.uint64(1)) * np.uint64(0xFF51AFD7ED558CCD), length)
+    x ^= node
+    x ^= x >> np.uint64(32)
+    x *= _MIX
+    x >>= np.uint64(64 - int(SLOTS[k]).bit_length() + 1)
+    return x.astype(np.int32) + np.int32(_BASE[k])
+
+
+def expand(words: list[bytes], codes: dict):
+    """Bits of the words one after the other: (slot of every table, bit, whether it tells the word), and for each word
+    its first bit and length."""
+    contexts, length, is_byte, start, bit, node = _spelled(words, codes, symbols(words, codes))
+    slots = np.empty((_K, len(bit)), np.int32)
+    for k, context in enumerate(contexts):
+        slots[k] = _slots(k, context, length, node)
     word_bits = np.add.reduceat(length, start)
     return slots, bit, np.repeat(~is_byte, length), np.cumsum(word_bits) - word_bits, word_bits
 
@@ -218,7 +259,7 @@ def codes_of(words: DataFrame, frequent: int) -> dict:
             total += np.bincount(np.frombuffer(b"".join(raw), np.uint8), weight, 256).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(256)), pa.array(total)], names=["byte", "n"])
 
-    counts |= dict(map(tuple, words.mapInArrow(count_bytes, "byte long, n long").groupBy("byte").agg(F.sum("n")).collect()))
+    counts |= dict(map(tuple, words.mapInArrow(giving_back(count_bytes), "byte long, n long").groupBy("byte").agg(F.sum("n")).collect()))
     return make_codes(top, total, [counts[i] for i in range(256)])
 
 
@@ -244,15 +285,30 @@ def tables(vocabulary: DataFrame, codes: dict) -> tuple[np.ndarray, np.ndarray]:
 
     def add(batches):
         total = np.zeros((2, int(_BASE[-1])), np.float32)
-        for batch in pieces(batches, _WORDS):
+        held, bits = [], 0
+
+        def put():
+            nonlocal bits
+            weight = np.concatenate([w for _, w in held])
+            for k in range(_K):
+                low, size = int(_BASE[k]), SLOTS[k]
+                both = np.bincount(np.concatenate([slots[k] for slots, _ in held]) - 2 * low, weight, 2 * size).reshape(-1, 2)
+                total[1, low:low + size] += both[:, 1]
+                both[:, 0] += both[:, 1]
+                total[0, low:low + size] += both[:, 0]
+            held.clear()
+            bits = 0
+
+        for batch in pieces(batches, _PART):
             if not batch.num_rows:
                 continue
             slots, bit, _, _, length = expand([w.encode() for w in batch["word"].to_pylist()], codes)
-            weight = np.repeat(batch["n"].to_numpy(), length).astype(np.float64)
-            for k in range(_K):
-                low, size = int(_BASE[k]), SLOTS[k]
-                total[0, low:low + size] += np.bincount(slots[k] - low, weight, size).astype(np.float32)
-                total[1, low:low + size] += np.bincount(slots[k] - low, weight * bit, size).astype(np.float32)
+            held.append((2 * slots + bit, np.repeat(batch["n"].to_numpy(), length).astype(np.float64)))
+            bits += len(bit)
+            if bits > _LAID:
+                put()
+        if held:
+            put()
         for at in range(0, total.shape[1], _CHUNK):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([at // _CHUNK], pa.int64()), pa.array([total[:, at:at + _CHUNK].tobytes()], pa.binary())], names=["chunk", "sums"])
@@ -263,7 +319,7 @@ def tables(vocabulary: DataFrame, codes: dict) -> tuple[np.ndarray, np.ndarray]:
         gate = (1 + np.searchsorted(SEEN, n, "right")).astype(np.uint8)
         return pa.table({"chunk": chunk["chunk"].slice(0, 1), "logits": pa.array([logit.tobytes()], pa.binary()), "gates": pa.array([gate.tobytes()], pa.binary())})
 
-    summed = store(vocabulary.coalesce(PARTS).mapInArrow(add, "chunk long, sums binary").groupBy("chunk").applyInArrow(
+    summed = store(vocabulary.coalesce(PARTS).mapInArrow(giving_back(add), "chunk long, sums binary").groupBy("chunk").applyInArrow(
         together, "chunk long, logits binary, gates binary"), "tables", release=True)
     rows = sorted(summed.collect())  # of fixed size
     if not rows:
@@ -276,12 +332,15 @@ def tables(vocabulary: DataFrame, codes: dict) -> tuple[np.ndarray, np.ndarray]:
 
 def numbered(texts: list) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """(distinct words, word numbers of all texts in a row, words per text)."""
-    number: dict = defaultdict(counter().__next__)
-    owns = []
-    for text in texts:
-        words = words_of(text)
-        owns.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
-    return list(number), np.concatenate(owns), np.array([len(o) for o in owns], np.int64)
+    found, n = split(texts)
+    coded = found.dictionary_encode()
+    distinct = [*coded.dictionary.cast(pa.binary()).to_pylist(), b"\n"]
+    n_words = n + 1
+    flat = np.full(int(n_words.sum()), len(distinct) - 1, np.int32)
+    inner = np.ones(len(flat), bool)
+    inner[np.cumsum(n_words) - 1] = False  # ends
+    flat[inner] = coded.indices.to_numpy()
+    return distinct, flat, n_words
 
 
 def _key(before, word: np.ndarray) -> np.ndarray:
@@ -309,90 +368,110 @@ def _dealt(keys: np.ndarray, buckets: int):
     return zip(bucket[order[at]].astype(np.int64).tolist(), np.split(order, at[1:])) if len(keys) else ()
 
 
-def pair_counts(docs: DataFrame, codes: dict, buckets: int) -> tuple[DataFrame, np.ndarray]:
-    """Stores (bucket, keys, counts) of all pairs of neighbouring words and of the words without a code; and for each bin
-    the number of words in it and of those whose key was seen once."""
-    def count(batches):
+_PAIRS = "bucket long, batch long, first long, texts long, keys binary, counts binary, bins binary"
+
+
+def pair_rows(batched: DataFrame, model: dict) -> DataFrame:
+    """(bucket, batch, first, texts, keys, counts, bins): of these texts of a batch, the distinct keys of a bucket, which are
+    their pairs of neighbouring words and their words without a code; how often the learned ones among them hold each; and
+    the bins of the words before.  Counts and bins are null where no text is learned, as without a column ``learned``."""
+    given, buckets, told = model["shared"], model["buckets"], "learned" in batched.columns
+
+    def ask(batches):
+        codes = given.value["codes"]
         level = np.append(1 + np.floor(np.log2(codes["counts"])), 0).astype(np.int8)
-        for batch in by_size(batches):
-            if not batch.num_rows:
-                continue
-            distinct, flat, _ = numbered(batch["text"].to_pylist())
-            symbol = np.array([codes["words"].get(w, -1) for w in distinct], np.int64)
+        for batch, first, texts, learned in gathered(batches):
+            distinct, flat, n_words = numbered(texts)
+            symbol = symbols(distinct, codes)
             before, pair, alone = pair_keys(distinct, flat)
-            keys, first, n = np.unique(pair, return_index=True, return_counts=True)
             rest = np.flatnonzero(symbol < 0)
-            keys = np.concatenate([keys, alone[rest]])
-            n = np.concatenate([n, np.bincount(flat, minlength=len(distinct))[rest]]).astype(np.int64)
-            bins = np.concatenate([level[symbol[before[first]]], np.full(len(rest), _BINS - 1, np.int8)])
+            keys = np.concatenate([pair, alone[rest]])
+            order = np.argsort(keys)
+            at = np.flatnonzero(np.diff(keys[order], prepend=~keys[order[:1]]))
+            keys = keys[order[at]]
+            n = bins = None
+            if any(learned):
+                weight = np.repeat(np.array(learned, np.int64), n_words)
+                n = np.concatenate([weight, np.bincount(flat, weight, len(distinct))[rest].astype(np.int64)])
+                n = np.add.reduceat(n[order], at)
+                n = n.astype(np.min_scalar_type(n.max()))
+                bins = np.concatenate([level[symbol[before]], np.full(len(rest), _BINS - 1, np.int8)])[order[at]]
             for bucket, at in _dealt(keys, buckets):
-                yield pa.RecordBatch.from_arrays([pa.array([bucket]), *(pa.array([x[at].tobytes()], pa.binary()) for x in (keys, n, bins))], names=["bucket", "keys", "counts", "bins"])
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array([x], pa.int64()) for x in (bucket, batch, first, len(texts))), *(pa.array([None if x is None else x[at].tobytes()], pa.binary()) for x in (keys, n, bins))],
+                    names=["bucket", "batch", "first", "texts", "keys", "counts", "bins"])
+
+    return batched.select("batch", "row", "text", *(["learned"] if told else [])).mapInArrow(giving_back(ask), _PAIRS)
+
 
-    def together(rows: pa.Table) -> pa.Table:
-        keys, n, bins = (np.concatenate([np.frombuffer(x.as_py(), kind) for x in rows[c]]) for c, kind in (("keys", np.uint64), ("counts", np.int64), ("bins", np.int8)))
-        order = np.argsort(keys, kind="stable")
-        keys, n, bins = keys[order], n[order], bins[order]
-        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        keys, n, bins = keys[first], np.add.reduceat(n, first), bins[first]
-        return pa.table({"bucket": rows["bucket"].slice(0, 1), "keys": pa.array([keys.tobytes()], pa.binary()), "counts": pa.array([n.tobytes()], pa.binary()),
-                         "seen": pa.array([np.bincount(bins, n, _BINS).astype(np.int64).tolist()]), "once": pa.array([np.bincount(bins[n == 1], minlength=_BINS).tolist()])})
+def _narrow(raw: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(raw, f"u{len(raw) // size}")
 
-    counted = store(docs.select("text").mapInArrow(count, "bucket long, keys binary, counts binary, bins binary").groupBy("bucket").applyInArrow(
-        together, "bucket long, keys binary, counts binary, seen array<long>, once array<long>"), "pairs", release=True)
-    sums = counted.agg(*(F.coalesce(F.sum(F.col(c)[i]), F.lit(0)) for c in ("seen", "once") for i in range(_BINS))).first()
-    return counted.select("bucket", "keys", "counts"), np.array(sums, np.int64).reshape(2, _BINS)
 
+def counted(rows: DataFrame) -> DataFrame:
+    """(batch, first, texts, bucket, counts, seen, once): how often what these texts of a batch ask of a bucket was learned
+    in all rows, 0 if never; and in a row of each bucket without a batch, for each bin the number of words in it and of
+    those whose key was seen once.
 
-def wanted(distinct: list[bytes], flat: np.ndarray, words: dict) -> np.ndarray:
+    The counts are in the order of the keys, which the batch can make again, and as narrow as the largest of them.
+    """
+    def look(asked: pa.Table) -> pa.Table:
+        every = [np.frombuffer(x.as_py(), np.uint64) for x in asked["keys"]]
+        learned = [(keys, _narrow(n.as_py(), len(keys)), np.frombuffer(bins.as_py(), np.int8)) for keys, n, bins in zip(every, asked["counts"], asked["bins"]) if n.is_valid]
+        known, n, seen, once = np.empty(0, np.uint64), np.zeros(0, np.int64), np.zeros(_BINS, np.int64), np.zeros(_BINS, np.int64)
+        if learned:
+            known, n, bins = (np.concatenate(x) for x in zip(*learned))
+            del learned
+            order = np.argsort(known)
+            known = known[order]
+            first = np.flatnonzero(np.diff(known, prepend=~known[:1]))
+            bins, n, known = bins[order[first]], np.add.reduceat(n[order], first, dtype=np.int64), known[first]
+            del order
+            seen, once = np.bincount(bins, n, _BINS).astype(np.int64), np.bincount(bins[n == 1], minlength=_BINS)
+        known, n = np.append(known, np.uint64(2**64 - 1)), np.append(n, 0)
+        out = [[None] * 3 + [asked["bucket"][0].as_py(), None, seen.tolist(), once.tolist()]]
+        for b, f, t, bucket, keys in zip(*(asked[c].to_pylist() for c in ("batch", "first", "texts", "bucket")), every):
+            if b is not None:
+                at = np.searchsorted(known, keys)
+                found = np.where(known[at] == keys, n[at], 0)
+                out.append([b, f, t, bucket, found.astype(np.min_scalar_type(found.max())).tobytes(), None, None])
+        kinds = [pa.int64()] * 4 + [pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+        return pa.Table.from_arrays([pa.array(x, k) for x, k in zip(zip(*out), kinds)], names=["batch", "first", "texts", "bucket", "counts", "seen", "once"])
+
+    return rows.groupBy("bucket").applyInArrow(look, "batch long, first long, texts long, bucket long, counts binary, seen array<long>, once array<long>")
+
+
+def novelty(found: DataFrame) -> np.ndarray:
+    """For each bin the number of words in it and of those whose key was seen once."""
+    return np.array(found.where("batch IS NULL").agg(*(F.coalesce(F.sum(F.col(c)[i]), F.lit(0)) for c in ("seen", "once") for i in range(_BINS))).first(), np.int64).reshape(2, _BINS)
+
+
+def wanted(distinct: list[bytes], flat: np.ndarray, symbol: np.ndarray) -> np.ndarray:
     """The keys that a batch of texts asks for, ascending: its pairs, and its words without a code."""
     _, pair, alone = pair_keys(distinct, flat)
-    keys = np.sort(np.concatenate([pair, alone[[w not in words for w in distinct]]]))
+    keys = np.sort(np.concatenate([pair, alone[symbol < 0]]))
     return keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
 
 
 def gathered(batches):
-    """(batch, place of the first, texts) of texts of one batch that follow each other."""
-    batch, first, texts = -1, 0, []
+    """(batch, place of the first, texts, whether each is learned) of texts of one batch that follow each other."""
+    batch, first, texts, learned = -1, 0, [], []
     for rows in pieces(batches):
-        for b, row, text in zip(*(rows[c].to_pylist() for c in ("batch", "row", "text"))):
+        flags = rows["learned"].to_pylist() if "learned" in rows.schema.names else [False] * rows.num_rows
+        for b, row, text, flag in zip(*(rows[c].to_pylist() for c in ("batch", "row", "text")), flags):
             if b != batch or row != first + len(texts):
                 if texts:
-                    yield batch, first, texts
-                batch, first, texts = b, row, []
+                    yield batch, first, texts, learned
+                batch, first, texts, learned = b, row, [], []
             texts.append(text)
+            learned.append(flag)
     if texts:
-        yield batch, first, texts
+        yield batch, first, texts, learned
 
 
 def answers(batched: DataFrame, model: dict) -> DataFrame:
-    """(batch, first, texts, bucket, counts): how often what these texts of a batch ask of a bucket was learned, 0 if never.
-
-    The counts are in the order of the keys, which the batch can make again, and as narrow as the largest of them.
-    """
-    words, buckets = batched.sparkSession.sparkContext.broadcast(model["codes"]["words"]), model["buckets"]
-
-    def ask(batches):
-        for batch, first, texts in gathered(batches):
-            distinct, flat, _ = numbered(texts)
-            keys = wanted(distinct, flat, words.value)
-            for bucket, at in _dealt(keys, buckets):
-                yield pa.RecordBatch.from_arrays([*(pa.array([x]) for x in (bucket, batch, first, len(texts))), pa.array([keys[at].tobytes()], pa.binary())], names=["bucket", "batch", "first", "texts", "keys"])
-
-    def look(asked: pa.Table, held: pa.Table) -> pa.Table:
-        known, n = np.empty(0, np.uint64), np.zeros(1, np.int64)
-        if held.num_rows:
-            known, n = np.frombuffer(held["keys"][0].as_py(), np.uint64), np.append(np.frombuffer(held["counts"][0].as_py(), np.int64), 0)
-        counts = []
-        for raw in asked["keys"]:
-            keys = np.frombuffer(raw.as_py(), np.uint64)
-            at = np.searchsorted(known, keys)
-            at[np.append(known, np.uint64(0))[at] != keys] = len(known)
-            found = n[at]
-            counts.append(found.astype(np.min_scalar_type(found.max())).tobytes())
-        return pa.table({**{c: asked[c] for c in ("batch", "first", "texts", "bucket")}, "counts": pa.array(counts, pa.binary())})
-
-    asked = batched.mapInArrow(ask, "bucket long, batch long, first long, texts long, keys binary")
-    return asked.groupBy("bucket").cogroup(model["pairs"].groupBy("bucket")).applyInArrow(look, "batch long, first long, texts long, bucket long, counts binary")
+    """(batch, first, texts, bucket, counts) of texts in batches, from what was learned before; see ``counted``."""
+    return counted(pair_rows(batched, model).unionByName(model["pairs"])).where("batch IS NOT NULL").drop("seen", "once")
 
 
 def answered(texts: list, distinct: list[bytes], flat: np.ndarray, found: pa.Table, words: dict, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -402,7 +481,8 @@ def answered(texts: list, distinct: list[bytes], flat: np.ndarray, found: pa.Tab
         parts[first, size][bucket] = raw
     held = []
     for (first, size), given in parts.items():
-        keys = wanted(*(numbered(texts[first:first + size])[:2] if size < len(texts) else (distinct, flat)), words)
+        own = numbered(texts[first:first + size])[:2] if size < len(texts) else (distinct, flat)
+        keys = wanted(*own, symbols(own[0], {"words": words}))
         n = np.zeros(len(keys), np.int64)
         for bucket, at in _dealt(keys, buckets):
             n[at] = np.frombuffer(given[bucket], f"u{len(given[bucket]) // len(at)}")
@@ -419,7 +499,7 @@ def with_pairs(distinct, flat, symbol_cost, spelled_cost, held: tuple[np.ndarray
     out by the bytes that spell them.  ``held`` has keys, sorted, and their counts.
     """
     codes = model["codes"]
-    symbol = np.array([codes["words"].get(w, -1) for w in distinct], np.int64)
+    symbol = symbols(distinct, codes)
     known, n = held
     known, n = np.append(known, np.uint64(2**64 - 1)), np.append(n, 0)
 
@@ -448,167 +528,277 @@ def start_weights() -> np.ndarray:
     return weights
 
 
-def mix(inputs: np.ndarray, marks: np.ndarray, bits: np.ndarray, begin: np.ndarray, lengths: np.ndarray, weights: np.ndarray, costs: np.ndarray):
-    """Log-probability of every lane, and the sum over lanes of the weights that they end with; ``costs`` gets the bits'.
+def _laid(words: list[bytes], number: np.ndarray, model: dict):
+    """For each bit of the words one after the other: in 64 bits the logit of the last table and the mark, which has the
+    bit's slot in the lane's own table, the gate, and as its sign whether it is 0; for bits of bytes the place of their
+    logits in the other tables; these logits; and each word's length.
 
-    ``inputs`` has for each distinct bit the logits, signed by the bit; ``marks`` the bit, its gate and its slot in the
-    lane's own table.  ``bits`` names the bits of all lanes; a lane begins at ``begin``, and ``lengths`` descend.  What a
-    lane reads beyond its length does not count.
+    Logits are signed by the bit.  Symbols of words have no bytes before, and so only the logit of the last table; the
+    word before has its say in ``with_pairs``.
+    """
+    logits, held = model["logits"], 0
+    packed, place, others, lengths = ([np.empty(0, kind)] for kind in (np.int64, np.int32, np.float32, np.int64))
+    others[0].shape = 0, _K - 1
+    for at in range(0, len(words), _PART):
+        contexts, length, is_byte, start, bit, node = _spelled(words[at:at + _PART], model["codes"], number[at:at + _PART])
+        last = _slots(_K - 1, contexts[-1], length, node)
+        inner = np.repeat(is_byte, length)
+        sign = bit.astype(np.float32) * 2 - 1
+        both = np.empty((len(bit), 2), np.int32)
+        both[:, 0] = (last & (OWN - 1)) | (bit.astype(np.int32) - 1 & _SIGN)
+        both[inner, 0] |= (model["gates"][last[inner] - np.int32(_BASE[_K - 1])].astype(np.int32) if "gates" in model else 1) << _GATE
+        np.multiply(logits[last], sign, out=both[:, 1].view(np.float32))
+        packed.append(both.view(np.int64).ravel())
+        inside, node, sign = length[is_byte], node[inner], sign[inner]
+        some = np.empty((len(sign), _K - 1), np.float32)
+        for k in range(_K - 1):
+            np.multiply(logits[_slots(k, contexts[k][is_byte], inside, node)], sign, out=some[:, k])
+        place.append((np.cumsum(inner) + (held - 1)).astype(np.int32))
+        held += len(some)
+        others.append(some)
+        lengths.append(np.add.reduceat(length, start))
+    return tuple(np.concatenate(x) for x in (packed, place, others, lengths))
+
+
+def laid(words: list[bytes], number: np.ndarray, model: dict):
+    """(bits in 64 bits each, how many of them are of words with codes, for the others the places of their logits in the
+    other tables, these logits), and each word's first bit and length.
+
+    The first ``GROUP`` bits are those that are read behind a text's end.  Words with codes are laid out once by a process
+    and stay in the model that it holds; the others follow them in the same array.
+    """
+    codes = model["codes"]
+    if "laid" not in codes:
+        every, lengths = list(codes["words"]), np.append(codes["word_lengths"][:-1], 0)  # the last one is for the others
+        first = np.cumsum(lengths) - lengths + GROUP
+        held = np.zeros(int(first[-1]) + _ROOM, np.int64)
+        for at in range(0, len(every), _PART):
+            packed = _laid(every[at:at + _PART], np.arange(at, min(at + _PART, len(every))), model)[0]
+            held[first[at]:first[at] + len(packed)] = packed
+        codes["laid"] = held, first, lengths
+    held, first, lengths = codes["laid"]
+    coded = int(first[-1])
+    start, length = first[number], lengths[number]
+    rest = np.flatnonzero(number < 0)
+    packed, place, others, length[rest] = _laid([words[i] for i in rest.tolist()], number[rest], model)
+    start[rest] = np.cumsum(length[rest]) - length[rest] + coded
+    if len(held) < coded + len(packed):
+        held = np.concatenate([held[:coded], np.empty(len(packed) + _ROOM, np.int64)])
+        codes["laid"] = held, first, lengths
+    held[coded:coded + len(packed)] = packed
+    return (held, coded, place, others), start, length
+
+
+def mix(given: tuple, bits: np.ndarray, begin: np.ndarray, lengths: np.ndarray, weights: np.ndarray, costs: np.ndarray | None):
+    """The sum over lanes of the weights that they end with; ``costs``, if wanted, gets the bits' costs.
+
+    ``given`` has the distinct bits (``laid``).  ``bits`` names those of all texts, and has ``GROUP`` in a row; a lane begins
+    with the row ``begin``, and ``lengths``, in bits, descend.  What a lane reads beyond its length does not count.
     """
-    lanes, k = len(begin), _K + 1
-    w = np.repeat(weights.astype(np.float32), lanes, axis=0).reshape(_GATES * lanes, k)
-    dense = w.reshape(_GATES, lanes, k)
+    packed, coded, place, others = given
+    lanes, one = len(begin), np.float32(1)
+    weights = weights.astype(np.float32)
+    by_table, by_own = np.full((lanes, 1), weights[0, -2]), np.full((lanes, 1), weights[0, -1])  # of the first gate
+    rest = np.repeat(weights[1:], lanes, axis=0)  # of the other gates
     own = np.zeros(lanes * OWN, np.float32)
-    scale = np.ones(lanes, np.float32)
-    out, row, one = np.zeros(lanes, np.float64), np.arange(lanes, dtype=np.int64), np.float32(1)
-    some = np.empty((GROUP, lanes, k), np.float32)
-    for step in range(0, int(lengths[0]), GROUP):
-        live = int(np.searchsorted(-lengths, -step, "left"))
-        ahead = np.arange(step, step + GROUP)[:, None]
-        at = bits.take(begin[:live] + ahead)
-        mark = marks.take(at)
-        sign = (mark & 1).astype(np.float32) * 2 - one
-        gate = mark >> 1 & 7
-        slot = row[:live] * OWN + (mark >> 4)
-        told = own.take(slot)
-        logit = some[:, :live]
-        logit[..., :_K] = inputs.take(at, axis=0)
-        learned = told * sign
-        logit[..., _K] = learned
-        x = np.einsum("blk,blk->bl", w.take(gate * lanes + row[:live], axis=0), logit)
+    row = np.arange(lanes)[:, None] * OWN
+    scale = np.ones((lanes, 1), np.float32)
+    steps = -(-lengths // GROUP)
+    for step in range(int(steps[0])):
+        live, after = np.searchsorted(-steps, (-step, -step - 1), "left").tolist()
+        rows = begin[:live] + step
+        at = bits.take(rows, axis=0)
+        both = packed.take(at).view(np.int32).reshape(live, GROUP, 2)
+        mark, logit = both[..., 0].copy(), both[..., 1].view(np.float32).copy()
+        sign = mark & _SIGN
+        slot = row[:live] + (mark & (OWN - 1))
+        learned = (own.take(slot).view(np.int32) ^ sign).view(np.float32)
+        x = logit * by_table[:live]
+        x += learned * by_own[:live]
+        gate = (mark.ravel() >> _GATE) & 7
+        byte = np.flatnonzero(gate != 0)
+        if len(byte):
+            key = (gate[byte] - 1) * np.int64(lanes) + byte // GROUP
+            some = np.empty((len(byte), _K + 1), np.float32)
+            some[:, :_K - 1] = others.take(place.take(at.ravel().take(byte) - coded), axis=0)
+            some[:, -2], some[:, -1] = logit.ravel().take(byte), learned.ravel().take(byte)
+            x.ravel()[byte] = np.einsum("ik,ik->i", some, rest.take(key, axis=0))
         np.clip(x, -12, 12, out=x)
-        real = (ahead < lengths[:live]).astype(np.float32)
-        miss = real / (one + np.exp(x))  # what was not given to the bit that came
-        cost = np.exp(-x * scale[:live])
-        given = np.log1p(cost) * real
-        out[:live] += given.sum(0)
-        costs[np.where(real > 0, begin[:live] + ahead, len(costs) - 1)] = given  # the last place counts for nothing
-        scale[:live] += np.float32(MAP_RATE) * (real * cost / (one + cost) * x).mean(0)
-        miss *= np.float32(RATE)
-        for g in range(_GATES):
-            dense[g, :live] += np.einsum("bl,blk->lk", miss * (gate == g), logit)
-        own[slot] = told + np.float32(OWN_RATE) * sign * real / (one + np.exp(learned))
-    return -out, dense.sum(1, dtype=np.float64)
-
-
-def score_texts(texts: list, model: dict):
+        miss = np.exp(x)
+        miss += one
+        np.divide(np.float32(RATE), miss, out=miss)  # of what was not given to the bit that came
+        if after < live:
+            real = np.arange(GROUP) < (lengths[after:live] - step * GROUP)[:, None]  # of lanes that end here
+            miss[after:] *= real
+        if costs is not None:
+            cost = np.exp(-x * scale[:live])
+            spent = np.log1p(cost)
+            if after < live:
+                spent[after:] *= real
+            costs[rows] = spent
+            cost /= cost + one
+            scale[:live, 0] += np.float32(MAP_RATE / GROUP) * np.einsum("lb,lb->l", cost, x)
+        if len(byte):
+            missed = miss.ravel().take(byte)
+            some *= missed[:, None]
+            rest += np.bincount((key[:, None] * (_K + 1) + np.arange(_K + 1)).ravel(), some.ravel(), rest.size).reshape(rest.shape)
+            miss.ravel()[byte] = 0
+        by_table[:live, 0] += np.einsum("lb,lb->l", miss, logit)
+        by_own[:live, 0] += np.einsum("lb,lb->l", miss, learned)
+        more = np.exp(learned)
+        more += one
+        np.divide(np.float32(OWN_RATE), more, out=more)
+        more += learned
+        own[slot] = (more.view(np.int32) ^ sign).view(np.float32)
+    ends = np.empty((_GATES, _K + 1))
+    ends[0] = weights[0].astype(np.float64) * lanes  # the first gate's bits have no other inputs
+    ends[0, -2:] = by_table.sum(dtype=np.float64), by_own.sum(dtype=np.float64)
+    ends[1:] = rest.reshape(_GATES - 1, lanes, _K + 1).sum(1, dtype=np.float64)
+    return ends
+
+
+def score_texts(texts, model: dict, numbers: tuple | None = None, cost: bool = True):
     """(distinct words, word numbers of all texts in a row, words per text, log10-probabilities by mixing, sums over
     lanes of the weights at the end and behind them the number of lanes, costs of the words' symbols, costs of the bytes
-    that spell them)."""
-    distinct, flat, n_words = numbered(texts)
-    inputs, marks, lengths = [], [], []
-    for at in range(0, len(distinct), _WORDS):
-        slots, bit, tells_word, _, length = expand(distinct[at:at + _WORDS], model["codes"])
-        sign = bit.astype(np.float32) * 2 - 1
-        some = np.empty((len(bit), _K), np.float32)
-        for k in range(_K):
-            np.multiply(model["logits"][slots[k]], sign, out=some[:, k])
-        some[tells_word, :_K - 1] = 0  # no bytes before; the word before has its say in ``with_pairs``
-        inputs.append(some)
-        known = model["gates"][slots[-1] - np.int32(_BASE[_K - 1])] if "gates" in model else 1
-        gates = np.where(tells_word, 0, known)
-        marks.append(bit.astype(np.int32) | gates.astype(np.int32) << 1 | (slots[-1] & (OWN - 1)) << 4)
-        lengths.append(length)
-    inputs, marks, length = (np.concatenate(x) for x in (inputs, marks, lengths))
-    start = np.cumsum(length) - length
+    that spell them).  Without ``cost`` only the weights are found, and what costs is None."""
+    distinct, flat, n_words = numbers or numbered(texts)
+    symbol = symbols(distinct, model["codes"])
+    given, start, length = laid(distinct, symbol, model)
+    last = np.cumsum(n_words)
     reach = length[flat]
-    end = np.cumsum(reach)
-    bits = np.zeros(end[-1] + SPAN + GROUP, np.int32)
-    bits[:end[-1]] = np.arange(end[-1], dtype=np.int32) + np.repeat((start[flat] - (end - reach)).astype(np.int32), reach)
-    text_bits = np.add.reduceat(reach, np.cumsum(n_words) - n_words)
+    text_bits = np.add.reduceat(reach, last - n_words)
+    rows = -(-text_bits // GROUP)
+    behind = np.insert(reach, last, rows * GROUP - text_bits)  # every text fills up its last row
+    where = np.insert(start[flat], last, 0)
+    first = np.cumsum(behind) - behind
+    bits = np.arange(int(rows.sum()) * GROUP, dtype=np.int32)
+    bits += np.repeat((where - first).astype(np.int32), behind)
+    bits = bits.reshape(-1, GROUP)
+    first_row = np.cumsum(rows) - rows
     lanes_of = -(-text_bits // SPAN)
-    owner = np.repeat(np.arange(len(texts)), lanes_of)
+    owner = np.repeat(np.arange(len(n_words)), lanes_of)
     nth = np.arange(len(owner)) - np.repeat(np.cumsum(lanes_of) - lanes_of, lanes_of)
-    begin = (np.cumsum(text_bits) - text_bits)[owner] + nth * SPAN
+    begin = first_row[owner] + nth * (SPAN // GROUP)
     size = np.minimum(SPAN, text_bits[owner] - nth * SPAN)
     order = np.argsort(-size, kind="stable")
-    begin, size, owner = begin[order], size[order], owner[order]
-    total, ends, costs = np.zeros(len(texts)), np.zeros((_GATES, _K + 1)), np.zeros(end[-1] + 1, np.float32)
+    begin, size = begin[order], size[order]
+    ends, costs = np.zeros((_GATES, _K + 1)), np.zeros((len(bits) + 1, GROUP), np.float32) if cost else None
     for some in range(0, len(order), LANES):
-        cost, last = mix(inputs, marks, bits, begin[some:some + LANES], size[some:some + LANES], model["weights"], costs)
-        np.add.at(total, owner[some:some + LANES], cost)
-        ends += last
-    upto = np.concatenate([[0.0], np.cumsum(costs[:-1], dtype=np.float64)])
-    codes = model["codes"]
-    told = end - reach + codes["word_lengths"][[codes["words"].get(w, -1) for w in distinct]][flat]  # where the symbol ends
-    return distinct, flat, n_words, total / np.log(10), np.append(ends, len(order)), upto[told] - upto[end - reach], upto[end] - upto[told]
+        ends += mix(given, bits, begin[some:some + LANES], size[some:some + LANES], model["weights"], costs)
+    ends = np.append(ends, len(order))
+    if not cost:
+        return distinct, flat, n_words, None, ends, None, None
+    begins = np.delete(first, last + np.arange(len(last)))
+    told = begins + model["codes"]["word_lengths"][symbol][flat]  # where the symbol ends
+    parts = np.add.reduceat(costs.ravel(), np.stack([begins, told], axis=1).ravel()).reshape(-1, 2).astype(np.float64)
+    parts[told == begins, 0] = 0  # ``reduceat`` has no empty sums
+    parts[told == begins + reach, 1] = 0
+    total = -np.add.reduceat(parts.sum(1), last - n_words)
+    return distinct, flat, n_words, total / np.log(10), ends, parts[:, 0], parts[:, 1]
 
 
 # --- the operator ---------------------------------------------------------------------------------
 
 def warmed(docs: DataFrame, model: dict) -> np.ndarray:
     """The mean, over the lanes of all given texts, of the weights that mixing ends with."""
-    given = docs.sparkSession.sparkContext.broadcast(model)
+    given, weights = model["shared"], model["weights"]
 
     def warm(batches):
         ends = np.zeros(_GATES * (_K + 1) + 1)
         for batch in by_size(batches, limit=BATCH):
             if batch.num_rows:
-                ends += score_texts(batch["text"].to_pylist(), given.value)[4]
+                ends += score_texts(batch["text"], given.value | {"weights": weights}, cost=False)[4]
         yield pa.RecordBatch.from_arrays([pa.array([ends.tolist()])], names=["ends"])
 
-    summed = docs.select("text").mapInArrow(warm, "ends array<double>").agg(*(F.sum(F.col("ends")[i]) for i in range(_GATES * (_K + 1) + 1))).first()
-    given.destroy()
+    summed = docs.select("text").mapInArrow(giving_back(warm), "ends array<double>").agg(*(F.sum(F.col("ends")[i]) for i in range(_GATES * (_K + 1) + 1))).first()
     *ends, lanes = summed
     return (np.array(ends) / lanes).reshape(_GATES, _K + 1).astype(np.float32) if lanes else model["weights"]
 
 
-def learn(docs: DataFrame, train: Column) -> dict:
-    """What scoring needs of the rows where ``train`` holds: counts of words and pairs as stored tables, code, logits, gates
-    and weights."""
-    learned = docs.where(train)
+def batches_of(docs: DataFrame, *more: str) -> DataFrame:
+    """Stores (batch, row, doc_id, text) and ``more``: the rows in batches of about ``BATCH`` bytes of text."""
+    def deal(batches):
+        first = TaskContext.get().partitionId() << 32
+        for i, batch in enumerate(by_size(batches, limit=BATCH)):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(batch.num_rows, first + i)), pa.array(np.arange(batch.num_rows)), *(batch[c] for c in columns)], names=["batch", "row", *columns])
+
+    columns = ["doc_id", "text", *more]
+    kinds = [f"{c} {docs.schema[c].dataType.simpleString()}" for c in columns]
+    return store(docs.select(*columns).mapInArrow(giving_back(deal), f"batch long, row long, {', '.join(kinds)}"), "batched")
+
+
+def _learned(learned: DataFrame) -> dict:
     words = vocabulary(learned)
     total = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-
+    tokens = int(total["n"] or 0)
     codes = codes_of(words, HEAD)
     logits, gates = tables(words, codes)
-    model = {"codes": codes, "logits": logits, "gates": gates, "weights": start_weights()}
+    model = {"codes": codes, "logits": logits, "gates": gates}
+    model["shared"] = learned.sparkSession.sparkContext.broadcast(model)
+    model |= {"weights": start_weights(), "words": words, "tokens": tokens, "distinct": int(total["v"]), "buckets": 1 + tokens // PAIRS}
     model["weights"] = warmed(learned.where("text IS NOT NULL"), model)
-    buckets = 1 + int(total["n"] or 0) // PAIRS
-    pairs, novel = pair_counts(learned, codes, buckets)
-    return model | {"words": words, "tokens": int(total["n"] or 0), "distinct": int(total["v"]), "pairs": pairs, "novel": novel, "buckets": buckets}
+    return model
+
+
+def learn(docs: DataFrame, train: Column) -> dict:
+    """What scoring needs of the rows where ``train`` holds: counts of words and pairs as stored tables, code, logits, gates
+    and weights."""
+    learned = batches_of(docs.where(train))
+    model = _learned(learned)
+    pairs = pair_rows(learned.withColumn("learned", F.lit(True)), model).withColumn("batch", F.lit(None).cast("long"))
+    return model | {"pairs": store(pairs, "pairs")}
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """Adds n_tokens, n_known, train_tokens, base_score, score and bits_per_byte to every (stored) row's doc_id."""
-    spark = docs.sparkSession
-    words, n, v = model["words"], model["tokens"], model["distinct"]
-    whole = n + 0.1 * (v + 1)
-    given = spark.sparkContext.broadcast({k: model[k] for k in ("codes", "logits", "gates", "weights", "novel", "buckets")})
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    batched = batches_of(docs)
+    return _scored(batched, pair_rows(batched, model).unionByName(model["pairs"]), model)
 
-    def deal(batches):
-        first = TaskContext.get().partitionId() << 32
-        for i, batch in enumerate(by_size(batches, limit=BATCH)):
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(batch.num_rows, first + i)), pa.array(np.arange(batch.num_rows)), batch["doc_id"], batch["text"]], names=["batch", "row", "doc_id", "text"])
+
+def learn_and_score(docs: DataFrame, train: Column) -> DataFrame:
+    """``score(docs, learn(docs, train))``, where every pair of words goes to its bucket once, to be counted and asked for."""
+    batched = batches_of(docs.withColumn("learned", F.coalesce(train, F.lit(False))), "learned")
+    model = _learned(batched.where("learned"))
+    return _scored(batched, pair_rows(batched, model), model)
+
+
+def _scored(batched: DataFrame, pairs: DataFrame, model: dict) -> DataFrame:
+    given, weights, buckets, words, n, v = (model[c] for c in ("shared", "weights", "buckets", "words", "tokens", "distinct"))
+    whole = n + 0.1 * (v + 1)
+    kind = batched.schema["doc_id"].dataType.simpleString()
+    found = store(counted(pairs), "counted", release=True)
+    novel = novelty(found)
 
     def run(batch: pa.Table, found: pa.Table) -> pa.Table:
         codes = given.value["codes"]
         counts = np.append(codes["counts"], 0)  # the last one is for words without a code
         batch = batch.sort_by("row")
-        texts = batch["text"].to_pylist()
-        distinct, flat, n_words, mixed, _, symbol, spelled = score_texts(texts, given.value)
-        held = answered(texts, distinct, flat, found, codes["words"], given.value["buckets"])
+        texts = batch["text"].combine_chunks()
+        numbers = numbered(texts)
+        distinct, flat, n_words, mixed, _, symbol, spelled = score_texts(texts, given.value | {"weights": weights}, numbers)
+        held = answered(texts, distinct, flat, found, codes["words"], buckets)
         start = np.cumsum(n_words) - n_words
-        paired = np.add.reduceat(with_pairs(distinct, flat, symbol, spelled, held, given.value), start)
+        paired = np.add.reduceat(with_pairs(distinct, flat, symbol, spelled, held, {"codes": codes, "novel": novel}), start)
         total = (np.logaddexp(mixed * np.log(10), paired) - np.log(2)) / np.log(10)
-        seen = counts[[codes["words"].get(w, -1) for w in distinct]]
+        seen = counts[symbols(distinct, codes)]
         cost = np.where(seen > 0, np.log10((seen + 0.1) / whole), 0.0)
         in_head = seen[flat] > 0
-        rest = [[distinct[i].decode() for i in flat[a:b][~in_head[a:b]].tolist()] for a, b in zip(start.tolist(), (start + n_words).tolist())]
+        rest = flat[~in_head]
+        names = pa.array(distinct, pa.binary()).cast(pa.string()).take(pa.array(rest))
+        rare = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(~in_head)])[np.append(start, len(flat))], pa.int32()), names)
         size = np.add.reduceat(np.array([len(w) + (w != b"\n") for w in distinct], np.int64)[flat], start)
         return pa.table([
             batch["doc_id"], pa.array(n_words), pa.array(np.add.reduceat(in_head.astype(np.int64), start)),
-            pa.array(np.add.reduceat(cost[flat], start)), pa.array(total), pa.array(-total * np.log2(10) / size), pa.array(rest, pa.list_(pa.string()))],
+            pa.array(np.add.reduceat(cost[flat], start)), pa.array(total), pa.array(-total * np.log2(10) / size), rare],
             names=["doc_id", "n_tokens", "head_known", "head_score", "score", "bits_per_byte", "rest"])
 
-    batched = store(docs.select("doc_id", "text").mapInArrow(deal, f"batch long, row long, doc_id {kind}, text string"), "batched")
-    scored = store(batched.groupBy("batch").cogroup(answers(batched, model).groupBy("batch")).applyInArrow(
+    scored = store(batched.select("batch", "row", "doc_id", "text").groupBy("batch").cogroup(found.where("batch IS NOT NULL").drop("seen", "once").groupBy("batch")).applyInArrow(
         run, f"doc_id {kind}, n_tokens long, head_known long, head_score double, score double, bits_per_byte double, rest array<string>"
     ).withColumn("rid", F.monotonically_increasing_id()), "scored", release=True)
     rare = scored.select("rid", F.explode("rest").alias("word"))
-    counted = rare.join(words, "word", "left").groupBy("rid").agg(
+    counts = rare.join(words, "word", "left").groupBy("rid").agg(
         F.count("n").alias("known"), F.sum(F.log10((F.coalesce("n", F.lit(0)) + 0.1) / whole)).alias("cost"))
-    return scored.join(counted, "rid", "left").select(
+    return scored.join(counts, "rid", "left").select(
         "doc_id", "n_tokens", (F.col("head_known") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
         (F.col("head_score") + F.coalesce("cost", F.lit(0.0))).alias("base_score"), "score", "bits_per_byte")

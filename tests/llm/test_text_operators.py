@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -389,3 +390,83 @@ def test_words_without_a_code_have_their_counted_share(small):
     held = (alone[[distinct.index(b"rareword")]], np.array([500]))
     cost = lm.with_pairs(distinct, flat, np.array([1.0, 1.0]), np.array([900.0, 0.0]), held, {"codes": codes, "novel": novel})
     assert cost[0] == pytest.approx(-1 + math.log(0.5 * (1 - 99 / 1002)))
+
+
+def test_words_are_split_as_bytes_are():
+    texts = [" \x0b a\x1cB\u0085 c\u00a0 \u00c9x\t\t", "", None, "\n \r\f", "A a \x00A", "one"]
+    distinct, flat, n_words = lm.numbered(texts)
+    assert [distinct[i] for i in flat] == [w for t in texts for w in lm.words_of(t)]
+    assert n_words.tolist() == [len(lm.words_of(t)) for t in texts] and len(set(distinct)) == len(distinct)
+    found = Counter()
+    for batch in lm._count([pa.record_batch([pa.array(texts)], names=["text"])]):
+        found.update(dict(zip(batch["word"].to_pylist(), batch["n"].to_pylist())))
+    assert found == Counter(w.decode() for t in texts for w in lm.words_of(t))
+
+
+def test_mixing_equals_a_plain_loop_over_bits(small, monkeypatch):
+    """Several lanes a text, lanes of unequal length mixed in several blocks, words with and without codes."""
+    monkeypatch.setattr(lm, "SPAN", 64)
+    monkeypatch.setattr(lm, "LANES", 3)
+    codes, count = small
+    rng = np.random.default_rng(14)
+    size = int(lm._BASE[-1])
+    model = {"codes": codes, "logits": rng.normal(0, 2, size).astype(np.float16), "gates": rng.integers(1, lm._GATES, lm.SLOTS[-1]).astype(np.uint8),
+             "weights": lm.start_weights()}
+    texts = ["alpha beta gamma " + " ".join(list(count)[5][:4].decode() + str(i) for i in range(7)), "", None, "x", " ".join(w.decode() for w in [*count][:30])]
+    distinct, flat, n_words, mixed, ends, by_symbol, by_bytes = lm.score_texts(texts, model)
+    at, lanes, summed = 0, 0, np.zeros((lm._GATES, lm._K + 1))
+    for text, n, found in zip(texts, n_words, mixed):
+        bits = []
+        for word in lm.words_of(text):
+            slots, bit, tells, _, _ = lm.expand([word], codes)
+            bits += [(s, b, t) for s, b, t in zip(slots.T, bit, tells)]
+        total = 0.0
+        for begin in range(0, len(bits), lm.SPAN):
+            lane = bits[begin:begin + lm.SPAN]
+            lanes += 1
+            w, own, scale = lm.start_weights().astype(float), {}, 1.0
+            for group in (lane[i:i + lm.GROUP] for i in range(0, len(lane), lm.GROUP)):
+                change, told, step = np.zeros_like(w), dict(own), 0.0
+                for s, b, t in group:
+                    sign, slot = 2 * int(b) - 1, int(s[-1]) & (lm.OWN - 1)
+                    gate = 0 if t else int(model["gates"][s[-1] - lm._BASE[-2]])
+                    logit = np.array([*(0.0 if t and k < lm._K - 1 else float(model["logits"][s[k]]) for k in range(lm._K)), own.get(slot, 0.0)]) * sign
+                    x = float(np.clip(w[gate] @ logit, -12, 12))
+                    cost = math.exp(-x * scale)
+                    total += math.log1p(cost)
+                    change[gate] += lm.RATE / (1 + math.exp(x)) * logit
+                    step += lm.MAP_RATE / lm.GROUP * cost / (1 + cost) * x
+                    told[slot] = own.get(slot, 0.0) + lm.OWN_RATE * sign / (1 + math.exp(logit[-1]))
+                w, own, scale = w + change, told, scale + step
+            summed += w
+        assert found == pytest.approx(-total / math.log(10), rel=1e-4)
+        assert (by_symbol + by_bytes)[at:at + n].sum() == pytest.approx(total, rel=1e-4)
+        at += n
+    assert ends[-1] == lanes > len(texts)
+    assert np.allclose(ends[:-1].reshape(summed.shape), summed, rtol=1e-4, atol=1e-4)
+
+
+def test_pairs_go_to_their_buckets_once(spark, monkeypatch):
+    """Learning and scoring at once gives what one after the other gives, and sends every key of a batch once."""
+    monkeypatch.setattr(lm, "PAIRS", 400)  # several buckets
+    rng = random.Random(15)
+    rows = [(i, words(rng, rng.randint(0, 30)) + f" own{i % 50}") for i in range(200)] + [(300, None), (None, "alpha beta"), (301, ""), (3, "again"), (3, "again")]
+    table, train = docs(spark, rows).repartition(3), F.col("doc_id") % 3 != 0
+    columns = ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]
+
+    def plain(df):
+        return Counter(tuple(round(v, 3) if isinstance(v, float) else v for v in r) for r in df.select(*columns).collect())
+
+    model = lm.learn(table, train)
+    assert model["buckets"] > 1
+    assert plain(lm.learn_and_score(table, train)) == plain(lm.score(table, model))
+    batched = lm.batches_of(table.withColumn("learned", F.coalesce(train, F.lit(False))), "learned")
+    want = Counter()
+    for batch, texts in batched.groupBy("batch").agg(F.collect_list(F.coalesce("text", F.lit("")))).collect():
+        pairs = {p for t in texts for p in zip([b"\n", *lm.words_of(t)], lm.words_of(t))}
+        alone = {w for t in texts for w in lm.words_of(t)} - set(model["codes"]["words"])
+        want[batch] += len(pairs) + len(alone)
+    sent = Counter()
+    for r in lm.pair_rows(batched, model).collect():
+        sent[r["batch"]] += len(r["keys"]) // 8
+    assert sent == want
