@@ -565,18 +565,18 @@ def laid(words: list[bytes], number: np.ndarray, model: dict):
     other tables, these logits), and each word's first bit and length.
 
     The first ``GROUP`` bits are those that are read behind a text's end.  Words with codes are laid out once by a process
-    and stay in the model that it holds; the others follow them in the same array.
+    and stay with the codes that it holds; the others follow them in the same array.
     """
     codes = model["codes"]
-    if "laid" not in codes:
+    if "laid" not in codes or codes["laid"][0] is not model["logits"]:  # they belong to these logits
         every, lengths = list(codes["words"]), np.append(codes["word_lengths"][:-1], 0)  # the last one is for the others
         first = np.cumsum(lengths) - lengths + GROUP
         held = np.zeros(int(first[-1]) + _ROOM, np.int64)
         for at in range(0, len(every), _PART):
             packed = _laid(every[at:at + _PART], np.arange(at, min(at + _PART, len(every))), model)[0]
             held[first[at]:first[at] + len(packed)] = packed
-        codes["laid"] = held, first, lengths
-    held, first, lengths = codes["laid"]
+        codes["laid"] = model["logits"], held, first, lengths
+    _, held, first, lengths = codes["laid"]
     coded = int(first[-1])
     start, length = first[number], lengths[number]
     rest = np.flatnonzero(number < 0)
@@ -584,7 +584,7 @@ def laid(words: list[bytes], number: np.ndarray, model: dict):
     start[rest] = np.cumsum(length[rest]) - length[rest] + coded
     if len(held) < coded + len(packed):
         held = np.concatenate([held[:coded], np.empty(len(packed) + _ROOM, np.int64)])
-        codes["laid"] = held, first, lengths
+        codes["laid"] = model["logits"], held, first, lengths
     held[coded:coded + len(packed)] = packed
     return (held, coded, place, others), start, length
 

@@ -443,6 +443,8 @@ def test_mixing_equals_a_plain_loop_over_bits(small, monkeypatch):
         assert (by_symbol + by_bytes)[at:at + n].sum() == pytest.approx(total, rel=1e-4)
         at += n
     assert ends[-1] == lanes > len(texts)
+    other = model | {"logits": -model["logits"]}  # the same codes with other logits
+    assert not np.allclose(lm.score_texts(texts, other)[3], mixed)
     assert np.allclose(ends[:-1].reshape(summed.shape), summed, rtol=1e-4, atol=1e-4)
 
 
