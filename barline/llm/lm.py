@@ -79,6 +79,11 @@ def words_of(text: str | None) -> list[bytes]:
     return words
 
 
+def raw(words) -> list[bytes]:
+    """The bytes of each word; an array of objects is made at once, a list of Arrow values one by one."""
+    return words.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+
+
 def split(texts) -> tuple[pa.Array, np.ndarray]:
     """(words of all texts in a row, without ends; words per text), as ``words_of`` has them."""
     given = texts if isinstance(texts, pa.Array) else texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else pa.array(texts, pa.string())
@@ -176,13 +181,13 @@ def alphabetic(weights: list[int]) -> list[tuple[int, int]]:
 
 
 def symbols(words: list[bytes], codes: dict) -> np.ndarray:
-    """The number of each word's own code, -1 if it has none."""
+    """The number of each word's own code, -1 if it has none.  What takes them as ``symbol`` looks none up itself."""
     return np.fromiter(map(codes["words"].get, words, repeat(-1)), np.int64, len(words))
 
 
 def _spelled(words: list[bytes], codes: dict, number: np.ndarray):
     """Symbols of the words one after the other: (contexts of every table, bits of the code, whether it is a byte), the
-    first symbol of each word, and for each bit its value and the hash of its place in the code.
+    first symbol of each word, and for each bit its symbol, its value and the hash of its place in the code.
 
     A frequent word is one symbol of its own code.  Other words are the symbol that stands for all of them, then their
     bytes and a blank.
@@ -214,19 +219,20 @@ def _spelled(words: list[bytes], codes: dict, number: np.ndarray):
         state[at] ^= state[at] >> np.uint64(29)
     value, length = codes["byte_bits"][byte], codes["byte_lengths"][byte]
     value[start], length[start] = codes["word_bits"][number], codes["word_lengths"][number]  # -1 is the last one
-    total = int(length.sum())
     first = np.cumsum(length) - length
-    shift = (np.arange(total) - np.repeat(first, length)).astype(np.uint64)
-    value = np.repeat(value, length)
+    of = np.repeat(np.arange(n), length)
+    shift = (np.arange(len(of)) - first.take(of)).astype(np.uint64)
+    value = value.take(of)
     bit = (value >> shift & np.uint64(1)).astype(np.int8)
-    node = (value & ((np.uint64(1) << shift) - np.uint64(1))) | np.uint64(1) << shift  # the bits so far, after a 1
+    node = np.uint64(1) << shift
+    node |= value & (node - np.uint64(1))  # the bits so far, after a 1
     node *= np.uint64(0xD6E8FEB86659FD93)
-    return (one, two, four, prefix), length, is_byte, start, bit, node
+    return (one, two, four, prefix), length, is_byte, start, of, bit, node
 
 
-def _slots(k: int, context: np.ndarray, length: np.ndarray, node: np.ndarray) -> np.ndarray:
+def _slots(k: int, context: np.ndarray, of: np.ndarray, node: np.ndarray) -> np.ndarray:
     """Slots in table ``k`` of the bits of symbols with these contexts."""
-    x = np.repeat((context + np.uint64(1)) * np.uint64(0xFF51AFD7ED558CCD), length)
+    x = ((context + np.uint64(1)) * np.uint64(0xFF51AFD7ED558CCD)).take(of)
     x ^= node
     x ^= x >> np.uint64(32)
     x *= _MIX
@@ -237,12 +243,12 @@ def _slots(k: int, context: np.ndarray, length: np.ndarray, node: np.ndarray) ->
 def expand(words: list[bytes], codes: dict):
     """Bits of the words one after the other: (slot of every table, bit, whether it tells the word), and for each word
     its first bit and length."""
-    contexts, length, is_byte, start, bit, node = _spelled(words, codes, symbols(words, codes))
+    contexts, length, is_byte, start, of, bit, node = _spelled(words, codes, symbols(words, codes))
     slots = np.empty((_K, len(bit)), np.int32)
     for k, context in enumerate(contexts):
-        slots[k] = _slots(k, context, length, node)
+        slots[k] = _slots(k, context, of, node)
     word_bits = np.add.reduceat(length, start)
-    return slots, bit, np.repeat(~is_byte, length), np.cumsum(word_bits) - word_bits, word_bits
+    return slots, bit, ~is_byte.take(of), np.cumsum(word_bits) - word_bits, word_bits
 
 
 def codes_of(words: DataFrame, frequent: int) -> dict:
@@ -254,9 +260,9 @@ def codes_of(words: DataFrame, frequent: int) -> dict:
     def count_bytes(batches):
         total = np.zeros(256, np.int64)
         for batch in pieces(batches, _WORDS):
-            raw = [w.encode() + b" " for w in batch["word"].to_pylist()]
-            weight = np.repeat(batch["n"].to_numpy(), [len(w) for w in raw])
-            total += np.bincount(np.frombuffer(b"".join(raw), np.uint8), weight, 256).astype(np.int64)
+            spelled = [w + b" " for w in raw(batch["word"])]
+            weight = np.repeat(batch["n"].to_numpy(), [len(w) for w in spelled])
+            total += np.bincount(np.frombuffer(b"".join(spelled), np.uint8), weight, 256).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(256)), pa.array(total)], names=["byte", "n"])
 
     counts |= dict(map(tuple, words.mapInArrow(giving_back(count_bytes), "byte long, n long").groupBy("byte").agg(F.sum("n")).collect()))
@@ -302,7 +308,7 @@ def tables(vocabulary: DataFrame, codes: dict) -> tuple[np.ndarray, np.ndarray]:
         for batch in pieces(batches, _PART):
             if not batch.num_rows:
                 continue
-            slots, bit, _, _, length = expand([w.encode() for w in batch["word"].to_pylist()], codes)
+            slots, bit, _, _, length = expand(raw(batch["word"]), codes)
             held.append((2 * slots + bit, np.repeat(batch["n"].to_numpy(), length).astype(np.float64)))
             bits += len(bit)
             if bits > _LAID:
@@ -334,7 +340,7 @@ def numbered(texts: list) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """(distinct words, word numbers of all texts in a row, words per text)."""
     found, n = split(texts)
     coded = found.dictionary_encode()
-    distinct = [*coded.dictionary.cast(pa.binary()).to_pylist(), b"\n"]
+    distinct = [*raw(coded.dictionary), b"\n"]
     n_words = n + 1
     flat = np.full(int(n_words.sum()), len(distinct) - 1, np.int32)
     inner = np.ones(len(flat), bool)
@@ -404,8 +410,8 @@ def pair_rows(batched: DataFrame, model: dict) -> DataFrame:
     return batched.select("batch", "row", "text", *(["learned"] if told else [])).mapInArrow(giving_back(ask), _PAIRS)
 
 
-def _narrow(raw: bytes, size: int) -> np.ndarray:
-    return np.frombuffer(raw, f"u{len(raw) // size}")
+def _narrow(held: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(held, f"u{len(held) // size}")
 
 
 def counted(rows: DataFrame) -> DataFrame:
@@ -474,49 +480,59 @@ def answers(batched: DataFrame, model: dict) -> DataFrame:
     return counted(pair_rows(batched, model).unionByName(model["pairs"])).where("batch IS NOT NULL").drop("seen", "once")
 
 
-def answered(texts: list, distinct: list[bytes], flat: np.ndarray, found: pa.Table, words: dict, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+def answered(texts: list, distinct: list[bytes], flat: np.ndarray, found: pa.Table, words: dict, buckets: int,
+             symbol: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The keys that a batch asked for, ascending, and their counts, from all its answers."""
     parts: dict = defaultdict(dict)
-    for first, size, bucket, raw in zip(*(found[c].to_pylist() for c in ("first", "texts", "bucket", "counts"))):
-        parts[first, size][bucket] = raw
+    for first, size, bucket, counts in zip(*(found[c].to_pylist() for c in ("first", "texts", "bucket", "counts"))):
+        parts[first, size][bucket] = counts
     held = []
     for (first, size), given in parts.items():
-        own = numbered(texts[first:first + size])[:2] if size < len(texts) else (distinct, flat)
-        keys = wanted(*own, symbols(own[0], {"words": words}))
+        whole = size >= len(texts)
+        own = (distinct, flat) if whole else numbered(texts[first:first + size])[:2]
+        keys = wanted(*own, symbol if whole and symbol is not None else symbols(own[0], {"words": words}))
         n = np.zeros(len(keys), np.int64)
         for bucket, at in _dealt(keys, buckets):
-            n[at] = np.frombuffer(given[bucket], f"u{len(given[bucket]) // len(at)}")
+            n[at] = _narrow(given[bucket], len(at))
         held.append((keys, n))
     keys, n = held[0] if len(held) == 1 else (np.concatenate(x) for x in zip(*held))
     order = np.argsort(keys, kind="stable")
     return keys[order], n[order]
 
 
-def with_pairs(distinct, flat, symbol_cost, spelled_cost, held: tuple[np.ndarray, np.ndarray], model: dict) -> np.ndarray:
+def with_pairs(distinct, flat, symbol_cost, spelled_cost, held: tuple[np.ndarray, np.ndarray], model: dict, symbol: np.ndarray | None = None) -> np.ndarray:
     """Natural log-probability of every word after the word before it, where mixing gives out the mass of new pairs.
 
     Words without a code have their shares of all such words, as counted, but for the mass of new ones, which is given
     out by the bytes that spell them.  ``held`` has keys, sorted, and their counts.
     """
     codes = model["codes"]
-    symbol = symbols(distinct, codes)
+    symbol = symbols(distinct, codes) if symbol is None else symbol
     known, n = held
     known, n = np.append(known, np.uint64(2**64 - 1)), np.append(n, 0)
 
     def lookup(keys):
+        order = np.argsort(keys)  # ascending ones are found faster, near each other
+        keys = keys[order]
         at = np.searchsorted(known, keys)
-        return np.where(known[at] == keys, n[at], 0)
+        counts = np.empty(len(keys), n.dtype)
+        counts[order] = np.where(known[at] == keys, n[at], 0)
+        return counts
 
     before, pair, alone = pair_keys(distinct, flat)
-    rest = lookup(alone)  # no keys of words with a code are asked for
-    seen = np.where(symbol >= 0, np.append(codes["counts"], 0)[symbol], rest)[before]
+    coded = symbol >= 0
+    rest = np.zeros(len(distinct), n.dtype)
+    rest[~coded] = lookup(alone[~coded])  # no keys of words with a code are asked for
+    seen = np.where(coded, np.append(codes["counts"], 0)[symbol], rest)[before]
     level = np.append(1 + np.floor(np.log2(codes["counts"])), 0).astype(np.int64)[symbol][before]
     total, once = model["novel"]
     new = (once + 1) / (total + 2)
     spells, share = new[-1], (1 - new[-1]) * rest / max(int(total[-1]), 1)
     new = np.where(seen > 0, new[level], 1.0)
     with np.errstate(divide="ignore"):
-        spelled = np.where(symbol[flat] >= 0, 0.0, np.logaddexp(np.log(share)[flat], (np.log(spells) if total[-1] else 0.0) - spelled_cost))
+        at = np.flatnonzero(~coded[flat])
+        spelled = np.zeros(len(flat))
+        spelled[at] = np.logaddexp(np.log(share)[flat[at]], (np.log(spells) if total[-1] else 0.0) - spelled_cost[at])
         return np.logaddexp(np.log((1 - new) * lookup(pair) / np.maximum(seen, 1)), np.log(new) - symbol_cost + spelled)
 
 
@@ -530,39 +546,39 @@ def start_weights() -> np.ndarray:
 
 def _laid(words: list[bytes], number: np.ndarray, model: dict):
     """For each bit of the words one after the other: in 64 bits the logit of the last table and the mark, which has the
-    bit's slot in the lane's own table, the gate, and as its sign whether it is 0; for bits of bytes the place of their
-    logits in the other tables; these logits; and each word's length.
+    bit's slot in the lane's own table, the gate, and as its sign whether it is 0; the logits of all tables, if any word has
+    bytes, which are read for bits of bytes only; and each word's length.
 
     Logits are signed by the bit.  Symbols of words have no bytes before, and so only the logit of the last table; the
     word before has its say in ``with_pairs``.
     """
-    logits, held = model["logits"], 0
-    packed, place, others, lengths = ([np.empty(0, kind)] for kind in (np.int64, np.int32, np.float32, np.int64))
-    others[0].shape = 0, _K - 1
+    logits = model["logits"]
+    packed, others, lengths = ([np.empty(0, kind)] for kind in (np.int64, np.float32, np.int64))
+    others[0].shape = 0, _K
     for at in range(0, len(words), _PART):
-        contexts, length, is_byte, start, bit, node = _spelled(words[at:at + _PART], model["codes"], number[at:at + _PART])
-        last = _slots(_K - 1, contexts[-1], length, node)
-        inner = np.repeat(is_byte, length)
+        contexts, length, is_byte, start, of, bit, node = _spelled(words[at:at + _PART], model["codes"], number[at:at + _PART])
+        last = _slots(_K - 1, contexts[-1], of, node)
         sign = bit.astype(np.float32) * 2 - 1
         both = np.empty((len(bit), 2), np.int32)
-        both[:, 0] = (last & (OWN - 1)) | (bit.astype(np.int32) - 1 & _SIGN)
-        both[inner, 0] |= (model["gates"][last[inner] - np.int32(_BASE[_K - 1])].astype(np.int32) if "gates" in model else 1) << _GATE
-        np.multiply(logits[last], sign, out=both[:, 1].view(np.float32))
+        mark = (last & (OWN - 1)) | (bit.astype(np.int32) - 1 & _SIGN)
+        np.multiply(logits.take(last), sign, out=both[:, 1].view(np.float32))
+        if is_byte.any():
+            inner = is_byte.take(of).astype(np.int32) << _GATE
+            mark |= inner * model["gates"].take(last - np.int32(_BASE[_K - 1])) if "gates" in model else inner
+            some = np.empty((len(bit), _K), np.float32)
+            for k in range(_K - 1):
+                np.multiply(logits.take(_slots(k, contexts[k], of, node)), sign, out=some[:, k])
+            some[:, -1] = both[:, 1].view(np.float32)
+            others.append(some)
+        both[:, 0] = mark
         packed.append(both.view(np.int64).ravel())
-        inside, node, sign = length[is_byte], node[inner], sign[inner]
-        some = np.empty((len(sign), _K - 1), np.float32)
-        for k in range(_K - 1):
-            np.multiply(logits[_slots(k, contexts[k][is_byte], inside, node)], sign, out=some[:, k])
-        place.append((np.cumsum(inner) + (held - 1)).astype(np.int32))
-        held += len(some)
-        others.append(some)
         lengths.append(np.add.reduceat(length, start))
-    return tuple(np.concatenate(x) for x in (packed, place, others, lengths))
+    return tuple(np.concatenate(x) for x in (packed, others, lengths))
 
 
 def laid(words: list[bytes], number: np.ndarray, model: dict):
-    """(bits in 64 bits each, how many of them are of words with codes, for the others the places of their logits in the
-    other tables, these logits), and each word's first bit and length.
+    """(bits in 64 bits each, how many of them are of words with codes, for the others their logits in all tables), and
+    each word's first bit and length.
 
     The first ``GROUP`` bits are those that are read behind a text's end.  Words with codes are laid out once by a process
     and stay with the codes that it holds; the others follow them in the same array.
@@ -580,13 +596,13 @@ def laid(words: list[bytes], number: np.ndarray, model: dict):
     coded = int(first[-1])
     start, length = first[number], lengths[number]
     rest = np.flatnonzero(number < 0)
-    packed, place, others, length[rest] = _laid([words[i] for i in rest.tolist()], number[rest], model)
+    packed, others, length[rest] = _laid([words[i] for i in rest.tolist()], number[rest], model)
     start[rest] = np.cumsum(length[rest]) - length[rest] + coded
     if len(held) < coded + len(packed):
         held = np.concatenate([held[:coded], np.empty(len(packed) + _ROOM, np.int64)])
         codes["laid"] = model["logits"], held, first, lengths
     held[coded:coded + len(packed)] = packed
-    return (held, coded, place, others), start, length
+    return (held, coded, others), start, length
 
 
 def mix(given: tuple, bits: np.ndarray, begin: np.ndarray, lengths: np.ndarray, weights: np.ndarray, costs: np.ndarray | None):
@@ -595,7 +611,8 @@ def mix(given: tuple, bits: np.ndarray, begin: np.ndarray, lengths: np.ndarray,
     ``given`` has the distinct bits (``laid``).  ``bits`` names those of all texts, and has ``GROUP`` in a row; a lane begins
     with the row ``begin``, and ``lengths``, in bits, descend.  What a lane reads beyond its length does not count.
     """
-    packed, coded, place, others = given
+    packed, coded, others = given
+    others = others.view(np.complex128).ravel()  # a row of 16 bytes as one value, which NumPy copies at once
     lanes, one = len(begin), np.float32(1)
     weights = weights.astype(np.float32)
     by_table, by_own = np.full((lanes, 1), weights[0, -2]), np.full((lanes, 1), weights[0, -1])  # of the first gate
@@ -618,12 +635,13 @@ def mix(given: tuple, bits: np.ndarray, begin: np.ndarray, lengths: np.ndarray,
         gate = (mark.ravel() >> _GATE) & 7
         byte = np.flatnonzero(gate != 0)
         if len(byte):
-            key = (gate[byte] - 1) * np.int64(lanes) + byte // GROUP
+            key = (gate.take(byte) - 1) * np.int64(lanes) + byte // GROUP
             some = np.empty((len(byte), _K + 1), np.float32)
-            some[:, :_K - 1] = others.take(place.take(at.ravel().take(byte) - coded), axis=0)
-            some[:, -2], some[:, -1] = logit.ravel().take(byte), learned.ravel().take(byte)
+            some[:, :_K] = others.take(at.ravel().take(byte) - coded).view(np.float32).reshape(-1, _K)
+            some[:, -1] = learned.ravel().take(byte)
             x.ravel()[byte] = np.einsum("ik,ik->i", some, rest.take(key, axis=0))
-        np.clip(x, -12, 12, out=x)
+        np.minimum(x, 12, out=x)
+        np.maximum(x, -12, out=x)
         miss = np.exp(x)
         miss += one
         np.divide(np.float32(RATE), miss, out=miss)  # of what was not given to the bit that came
@@ -657,12 +675,12 @@ def mix(given: tuple, bits: np.ndarray, begin: np.ndarray, lengths: np.ndarray,
     return ends
 
 
-def score_texts(texts, model: dict, numbers: tuple | None = None, cost: bool = True):
+def score_texts(texts, model: dict, numbers: tuple | None = None, cost: bool = True, symbol: np.ndarray | None = None):
     """(distinct words, word numbers of all texts in a row, words per text, log10-probabilities by mixing, sums over
     lanes of the weights at the end and behind them the number of lanes, costs of the words' symbols, costs of the bytes
     that spell them).  Without ``cost`` only the weights are found, and what costs is None."""
     distinct, flat, n_words = numbers or numbered(texts)
-    symbol = symbols(distinct, model["codes"])
+    symbol = symbols(distinct, model["codes"]) if symbol is None else symbol
     given, start, length = laid(distinct, symbol, model)
     last = np.cumsum(n_words)
     reach = length[flat]
@@ -776,12 +794,13 @@ def _scored(batched: DataFrame, pairs: DataFrame, model: dict) -> DataFrame:
         batch = batch.sort_by("row")
         texts = batch["text"].combine_chunks()
         numbers = numbered(texts)
-        distinct, flat, n_words, mixed, _, symbol, spelled = score_texts(texts, given.value | {"weights": weights}, numbers)
-        held = answered(texts, distinct, flat, found, codes["words"], buckets)
+        number = symbols(numbers[0], codes)
+        distinct, flat, n_words, mixed, _, symbol, spelled = score_texts(texts, given.value | {"weights": weights}, numbers, symbol=number)
+        held = answered(texts, distinct, flat, found, codes["words"], buckets, number)
         start = np.cumsum(n_words) - n_words
-        paired = np.add.reduceat(with_pairs(distinct, flat, symbol, spelled, held, {"codes": codes, "novel": novel}), start)
+        paired = np.add.reduceat(with_pairs(distinct, flat, symbol, spelled, held, {"codes": codes, "novel": novel}, number), start)
         total = (np.logaddexp(mixed * np.log(10), paired) - np.log(2)) / np.log(10)
-        seen = counts[symbols(distinct, codes)]
+        seen = counts[number]
         cost = np.where(seen > 0, np.log10((seen + 0.1) / whole), 0.0)
         in_head = seen[flat] > 0
         rest = flat[~in_head]

@@ -392,6 +392,39 @@ def test_words_without_a_code_have_their_counted_share(small):
     assert cost[0] == pytest.approx(-1 + math.log(0.5 * (1 - 99 / 1002)))
 
 
+def test_words_of_a_batch_are_looked_up_once(small, monkeypatch):
+    """What scores a batch takes the numbers of its words, and gives each word the share that a plain loop gives it."""
+    codes, count = small
+    size = int(lm._BASE[-1])
+    model = {"codes": codes, "logits": np.random.default_rng(16).normal(0, 2, size).astype(np.float16), "weights": lm.start_weights()}
+    texts = pa.array([" ".join(w.decode() for w in [*count][:20]) + " unseen one unseen", "", None, "alpha unseen"])
+    distinct, flat, n_words = numbers = lm.numbered(texts)
+    number = lm.symbols(distinct, codes)
+    assert (number < 0).any() and (number >= 0).any()
+    plain = lm.score_texts(texts, model)
+    before, pair, alone = lm.pair_keys(distinct, flat)
+    keys = lm.wanted(distinct, flat, number)
+    counts = (keys % np.uint64(3)).astype(np.int64)
+    found = pa.table([pa.array(x) for x in zip(*((0, len(texts), b, counts[at].astype(np.uint8).tobytes()) for b, at in lm._dealt(keys, 5)))],
+                     names=["first", "texts", "bucket", "counts"])
+    monkeypatch.setattr(lm, "symbols", None)  # nobody looks them up again
+    scored = lm.score_texts(texts, model, numbers, symbol=number)
+    assert all(np.array_equal(a, b) for a, b in zip(plain[3:], scored[3:]))
+    held = lm.answered(texts, distinct, flat, found, codes["words"], 5, number)
+    assert np.array_equal(held[0], keys) and np.array_equal(held[1], counts)
+    novel = np.zeros((2, lm._BINS), np.int64)
+    novel[0], novel[1] = np.arange(lm._BINS) + 50, np.arange(lm._BINS)
+    got = lm.with_pairs(distinct, flat, scored[5], scored[6], held, {"codes": codes, "novel": novel}, number)
+    known, new = dict(zip(keys.tolist(), counts.tolist())), (novel[1] + 1) / (novel[0] + 2)
+    for i, (b, w) in enumerate(zip(before.tolist(), flat.tolist())):
+        seen = int(codes["counts"][number[b]]) if number[b] >= 0 else known[int(alone[b])]
+        fresh = new[1 + int(math.log2(seen)) if number[b] >= 0 else 0] if seen else 1.0
+        p = math.exp(-scored[5][i])
+        if number[w] < 0:
+            p *= (1 - new[-1]) * known[int(alone[w])] / int(novel[0, -1]) + new[-1] * math.exp(-scored[6][i])
+        assert got[i] == pytest.approx(math.log((1 - fresh) * known[int(pair[i])] / max(seen, 1) + fresh * p), rel=1e-9)
+
+
 def test_words_are_split_as_bytes_are():
     texts = [" \x0b a\x1cB\u0085 c\u00a0 \u00c9x\t\t", "", None, "\n \r\f", "A a \x00A", "one"]
     distinct, flat, n_words = lm.numbered(texts)
